@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from jobloom.functions import jsonobj
 from jobloom.operators.latest import ARRIVAL, repeated_keys, winning_rows
 from jobloom.operators.merge import UPDATE, merge
+from jobloom.operators.publish import staged
 from jobloom.schemas import EMPLOYEES
+from jobloom.session import shared_dir
 
 KEYS = ["employee_id"]
 EVENT = ["topic", "partition", "offset"]
@@ -26,59 +28,55 @@ def _events(control: DataFrame) -> DataFrame:
 
 
 def parsed_rows(control: DataFrame) -> DataFrame:
-    """One row per entry of an event's input, with `bad` where the schema refuses it."""
+    """One row per entry of an event's input, with `reason` where the schema refuses it. An
+    event without a list gives one row with its reason."""
     row = F.col("row")
     size = F.size(row.try_cast("array<variant>"))
     number = F.try_variant_get(row, "$[0]", "int")
     name = F.try_variant_get(row, "$[1]", "string")
     integral = F.schema_of_variant(F.try_variant_get(row, "$[0]", "variant")) == "BIGINT"
     fits = (size == 2) & integral & number.isNotNull() & name.isNotNull()
+    reason = F.when(F.col("data").isNull(), "input_data is missing or not a list").when(
+        F.col("row").isNotNull() & ~F.coalesce(fits, F.lit(False)),
+        "input_data has a row that does not fit the schema",
+    )
     return (
         _events(control)
-        .select(*EVENT, "timestamp", "mode", F.explode("data").alias("row"))
+        .select("*", F.explode_outer("data").alias("row"))
         .select(*EVENT, "timestamp", "mode", number.alias("employee_id"),
-                name.alias("employee_name"), (~F.coalesce(fits, F.lit(False))).alias("bad"))
+                name.alias("employee_name"), F.col("row").isNotNull().alias("has_row"),
+                reason.alias("reason"))
     )
 
 
-def failures(control: DataFrame) -> DataFrame:
-    """Control events that cannot be imported, with the reason."""
-    rows = parsed_rows(control)
-    no_data = _events(control).filter("data is null").select(
-        *EVENT, F.lit("input_data is missing or not a list").alias("error")
-    )
-    bad = rows.filter("bad").select(
-        *EVENT, F.lit("input_data has a row that does not fit the schema").alias("error")
-    )
-    repeated = repeated_keys(rows.filter(F.col("mode") == UPDATE), EVENT, KEYS).select(
+def failures(rows: DataFrame) -> DataFrame:
+    """Events that cannot be imported, with the reason, from parsed rows."""
+    refused = rows.filter("reason is not null").select(*EVENT, F.col("reason").alias("error"))
+    updating = rows.filter((F.col("mode") == UPDATE) & F.col("has_row"))
+    repeated = repeated_keys(updating, EVENT, KEYS).select(
         *EVENT, F.lit("input_data repeats a key").alias("error")
     )
-    return (
-        no_data.unionByName(bad).unionByName(repeated)
-        .groupBy(*EVENT).agg(F.min("error").alias("error"))
-    )
-
-
-def good_rows(control: DataFrame) -> DataFrame:
-    """The rows of the events that can be imported."""
-    return parsed_rows(control).join(failures(control), EVENT, "left_anti").drop("bad")
+    return refused.unionByName(repeated).groupBy(*EVENT).agg(F.min("error").alias("error"))
 
 
-def merge_steps(control: DataFrame) -> list[tuple[DataFrame, str]]:
+def merge_steps(rows: DataFrame, failed: DataFrame) -> list[tuple[DataFrame, str]]:
     """Two merges that equal taking the control events of a batch one by one.
 
     Per key the last updating event wins; without one, the first inserting event counts if
     the key is new.
     """
-    rows = good_rows(control)
+    good = rows.filter("has_row").join(failed.select(*EVENT), EVENT, "left_anti")
     updating = F.coalesce(F.col("mode") == UPDATE, F.lit(False))
-    updates = winning_rows(rows.filter(updating), KEYS, "last", ARRIVAL)
-    inserts = winning_rows(rows.filter(~updating), KEYS, "first", ARRIVAL)
+    updates = winning_rows(good.filter(updating), KEYS, "last", ARRIVAL)
+    inserts = winning_rows(good.filter(~updating), KEYS, "first", ARRIVAL)
     return [(updates.select(*COLUMNS), UPDATE), (inserts.select(*COLUMNS), "insert")]
 
 
 def apply_control_events(target: DataFrame, control: DataFrame) -> DataFrame:
-    """The employees after all control events of a batch."""
-    for source, mode in merge_steps(control):
-        target = merge(target, source, KEYS, mode)
+    """The employees after all control events of a batch. Merging asks for the sources more
+    than once, so they are written down first."""
+    spark = control.sparkSession
+    rows = staged(parsed_rows(control), shared_dir(spark, "control"))
+    for source, mode in merge_steps(rows, failures(rows)):
+        target = merge(target, staged(source, shared_dir(spark, "source")), KEYS, mode)
     return target

@@ -11,6 +11,13 @@ from jobloom.operators.merge import UPDATE, merge
 ROW_LEVEL = {"delta", "iceberg", "hudi"}
 
 
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """The frame written down and read back: computed once, of known size, and safe from
+    lost executors."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def provider(spark: SparkSession, name: str) -> str | None:
     """Format of a catalog table, NULL for a view or an unknown name."""
     if not spark.catalog.tableExists(name):

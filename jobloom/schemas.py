@@ -1,49 +1,63 @@
 """Declared shapes of records and tables."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, BooleanType, DataType, DoubleType, FloatType, IntegerType, LongType,
+    StringType, StructField, StructType, TimestampType, VariantType,
+)
+
+BINARY, BOOLEAN, DOUBLE, FLOAT, INT, LONG, STRING, TIMESTAMP, VARIANT = (
+    BinaryType(), BooleanType(), DoubleType(), FloatType(), IntegerType(), LongType(),
+    StringType(), TimestampType(), VariantType(),
+)
+
+
+def shape(nullable: bool = True, **fields: DataType) -> StructType:
+    return StructType([StructField(n, t, nullable) for n, t in fields.items()])
+
 
 # One record of an event topic, as the Kafka source yields it.
-RECORD = StructType.fromDDL(
-    "key binary, value binary, topic string, partition int, offset bigint, "
-    "timestamp timestamp, timestampType int"
+RECORD = shape(
+    key=BINARY, value=BINARY, topic=STRING, partition=INT, offset=LONG,
+    timestamp=TIMESTAMP, timestampType=INT,
 )
 
-OUTPUT_FILE = "struct<file: string, crc64nvme: string>"
+OUTPUTS = ArrayType(shape(file=STRING, crc64nvme=STRING))
 
 # A job document. Its outputs come in parts of bounded size: a job with few files has the
 # one part 0, a job with many has several rows that repeat the other fields.
-JOB = StructType.fromDDL(
-    "id string, user string, state string, "
-    "image struct<registered_by: string, registered_on: timestamp, name: string, "
-    "digest: string, entrypoint: array<string>, tag: string>, "
-    "job_input struct<cluster: string, image: string, "
-    "params: struct<args: array<string>>, output_dir: string, "
-    f"input_files: array<{OUTPUT_FILE}>>, "
-    "input_file_count int, output_file_count bigint, "
-    "transition_times array<struct<state: string, time: string, trans_id: string, "
-    "notif_sent: boolean>>, "
-    f"outputs_part int, outputs array<{OUTPUT_FILE}>"
+JOB = shape(
+    id=STRING, user=STRING, state=STRING,
+    image=shape(registered_by=STRING, registered_on=TIMESTAMP, name=STRING, digest=STRING,
+                entrypoint=ArrayType(STRING), tag=STRING),
+    job_input=shape(cluster=STRING, image=STRING, params=shape(args=ArrayType(STRING)),
+                    output_dir=STRING, input_files=OUTPUTS),
+    input_file_count=INT,
+    transition_times=ArrayType(shape(state=STRING, time=STRING, trans_id=STRING,
+                                     notif_sent=BOOLEAN)),
+    output_file_count=LONG, outputs_part=INT, outputs=OUTPUTS,
 )
 
-REGISTRY = StructType.fromDDL("image string, module string, source_file string, meta variant")
+REGISTRY = shape(image=STRING, module=STRING, source_file=STRING, meta=VARIANT)
 
-DLQ = StructType.fromDDL(
-    "value binary, job_id string, route string, error_dlq string, error_dlq_trace string, "
-    "src_topic string, src_partition int, src_offset bigint, batch_id bigint"
+DLQ = shape(
+    value=BINARY, job_id=STRING, route=STRING, error_dlq=STRING, error_dlq_trace=STRING,
+    src_topic=STRING, src_partition=INT, src_offset=LONG, batch_id=LONG,
 )
 
 # One change of a job's import status; the current status is a fold over these.
-STATUS_CHANGE = StructType.fromDDL(
-    "job_id string, key string, value string, seq bigint, batch_id bigint"
-)
+STATUS_CHANGE = shape(job_id=STRING, key=STRING, value=STRING, seq=LONG, step=STRING,
+                      batch_id=LONG)
+
+# A job of a batch that could not be imported.
+FAILURE = shape(id=STRING, error=STRING, trace=STRING)
 
-EMPLOYEES = StructType.fromDDL("employee_id int not null, employee_name string not null")
+EMPLOYEES = shape(nullable=False, employee_id=INT, employee_name=STRING)
 
 # Column names and types of the quality table.
-QUALITY = StructType.fromDDL(
-    "Name string, cts_job_id string, Completeness float, Contamination float, "
-    "Completeness_Model_Used string, Translation_Table_Used int, Coding_Density float, "
-    "Contig_N50 int, Average_Gene_Length float, Genome_Size int, GC_Content float, "
-    "Total_Coding_Sequences int, Total_Contigs int, Max_Contig_Length int, "
-    "Additional_Notes string"
+QUALITY = shape(
+    Name=STRING, cts_job_id=STRING, Completeness=FLOAT, Contamination=FLOAT,
+    Completeness_Model_Used=STRING, Translation_Table_Used=INT, Coding_Density=FLOAT,
+    Contig_N50=INT, Average_Gene_Length=FLOAT, Genome_Size=INT, GC_Content=FLOAT,
+    Total_Coding_Sequences=INT, Total_Contigs=INT, Max_Contig_Length=INT,
+    Additional_Notes=STRING,
 )

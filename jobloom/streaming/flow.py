@@ -13,9 +13,9 @@ from jobloom.importers import employees
 from jobloom.importers.base import Importer
 from jobloom.operators import dlq, jobs as j, route as r, status as st
 from jobloom.operators.decode import decode
-from jobloom.operators.publish import merge_and_publish
+from jobloom.operators.publish import merge_and_publish, staged
 from jobloom.plans import importing as imp
-from jobloom.schemas import EMPLOYEES, RECORD
+from jobloom.schemas import EMPLOYEES, FAILURE, RECORD, STATUS_CHANGE
 from jobloom.sources.events import Topic, stream_events
 from jobloom.sources.tables import create_namespace
 
@@ -75,7 +75,6 @@ class Ingest:
     def stage_events(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """Route a batch to the end and write it down, so that later steps agree on it even
         if the job table changes meanwhile. Discarded events are not kept."""
-        spark = batch.sparkSession
         routed = r.route(decode(batch)).select(*RECORD.names, "job_id", "route").persist()
         try:
             events = routed.filter(F.col("route") == r.IMPORTABLE)
@@ -84,9 +83,7 @@ class Ingest:
             if self.images is None:
                 rest = routed.filter(~F.col("route").isin(r.IMPORTABLE, r.DISCARD))
                 full = full.unionByName(rest, allowMissingColumns=True)
-            path = self._stage(batch_id, "events")
-            full.write.mode("overwrite").parquet(path)
-            return spark.read.schema(full.schema).parquet(path)
+            return staged(full, self._stage(batch_id, "events"))
         finally:
             routed.unpersist()
 
@@ -95,22 +92,15 @@ class Ingest:
         """Plan one importer's work and write down its rows and failures."""
         spark = events.sparkSession
         path = self._stage(batch_id, f"{importer.name}/{attempt}")
-        winners = imp.winning_jobs(events, importer.mode)
-        jobs_path, files_path = f"{path}/jobs", f"{path}/files"
-        winners.write.mode("overwrite").parquet(jobs_path)
-        jobs = spark.read.schema(winners.schema).parquet(jobs_path)
-        owned = imp.owned_files(importer, jobs, self.outputs())
-        owned.write.mode("overwrite").parquet(files_path)
-        files = spark.read.schema(owned.schema).parquet(files_path)
+        jobs = staged(imp.winning_jobs(events, importer.mode), f"{path}/jobs")
+        files = staged(imp.owned_files(importer, jobs, self.outputs()), f"{path}/files")
         raw, missing = imp.scan_owned(spark, importer, files, self.files_root, path)
         plan = imp.plan_import(importer, jobs, files, raw, missing, self.files_root)
-        plan.failures.write.mode("overwrite").parquet(f"{path}/failures")
+        failed = staged(plan.failures, f"{path}/failures")
         # Few files for a small namespace, several for a large one.
         (plan.rows.hint("rebalance", imp.PREFIX).write.mode("overwrite").partitionBy(imp.PREFIX)
          .option("partitionOverwriteMode", "static").parquet(f"{path}/merge"))
-        schema = plan.rows.schema
-        return (spark.read.schema(schema).parquet(f"{path}/merge"),
-                spark.read.schema(plan.failures.schema).parquet(f"{path}/failures"))
+        return spark.read.schema(plan.rows.schema).parquet(f"{path}/merge"), failed
 
     def _culprits(self, importer: Importer, events: DataFrame, batch_id: int,
                   parts: int = 1, part: int = 0) -> list[tuple[str, str, str]]:
@@ -131,12 +121,11 @@ class Ingest:
     def run_importer(self, importer: Importer, events: DataFrame, batch_id: int) -> DataFrame:
         """Import the jobs of one importer for all namespaces; returns (id, error, trace)."""
         spark = events.sparkSession
-        failure = "id string, error string, trace string"
         try:
             rows, failed = self._stage_import(importer, events, batch_id, "all")
-            raised = spark.createDataFrame([], failure)
+            raised = spark.createDataFrame([], FAILURE)
         except Exception:
-            raised = spark.createDataFrame(self._culprits(importer, events, batch_id), failure)
+            raised = spark.createDataFrame(self._culprits(importer, events, batch_id), FAILURE)
             sound = events.join(raised.select(F.col("id").alias("job_id")), "job_id", "left_anti")
             rows, failed = self._stage_import(importer, sound, batch_id, "sound")
         for row in rows.select(imp.PREFIX).distinct().toLocalIterator():
@@ -156,14 +145,18 @@ class Ingest:
     def run_control(self, events: DataFrame, batch_id: int) -> None:
         """Apply control events; their failures only go to the audit table."""
         spark = events.sparkSession
-        control = decode(events)
-        failed = employees.failures(control)
+        rows = staged(employees.parsed_rows(decode(events)), self._stage(batch_id, "control"))
+        failed = staged(employees.failures(rows), self._stage(batch_id, "control_failed"))
         dlq.write_batch(failed, self.audit, batch_id)
+        steps = [
+            (staged(source, self._stage(batch_id, f"control_{mode}")), mode)
+            for source, mode in employees.merge_steps(rows, failed)
+        ]
         create_namespace(spark, self.control_namespace)
         merge_and_publish(
             spark, f"`{self.control_namespace}`.`employees`",
             f"{self.tables}/{self.control_namespace}/employees", EMPLOYEES,
-            employees.KEYS, employees.merge_steps(control), batch_id,
+            employees.KEYS, steps, batch_id,
         )
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -177,7 +170,7 @@ class Ingest:
         start_rows = _changes(starts, F.lit(st.START), 0, began)
         dlq.write_batch(start_rows, f"{self.status}/step=start", batch_id)
 
-        failed = spark.createDataFrame([], "id string, error string, trace string")
+        failed = spark.createDataFrame([], FAILURE)
         known = {i.name: i for i in self.importers}
         for row in importable.select("module").distinct().collect():
             mine = importable.filter(F.col("module") == row.module)
@@ -188,9 +181,7 @@ class Ingest:
                 failed = failed.unionByName(mine.select(
                     F.col("job_id").alias("id"), text.alias("error"), text.alias("trace")
                 ).distinct())
-        failed_path = self._stage(batch_id, "failed")
-        failed.write.mode("overwrite").parquet(failed_path)
-        failed = spark.read.schema(failed.schema).parquet(failed_path)
+        failed = staged(failed, self._stage(batch_id, "failed"))
 
         control = events.filter(F.col("route") == r.CONTROL)
         if not control.isEmpty():
@@ -221,9 +212,7 @@ class Ingest:
         dlq.write_batch(final, f"{self.status}/step=final", batch_id)
 
     def status_changes(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(
-            "job_id string, key string, value string, seq bigint, step string, batch_id bigint"
-        ).parquet(self.status)
+        return spark.read.schema(STATUS_CHANGE).parquet(self.status)
 
     def job_status(self, spark: SparkSession) -> DataFrame:
         """The current status of all jobs as rows (job_id, key, value)."""
