@@ -71,4 +71,4 @@ def bad_checksum(text: Column) -> Column:
 def check(df: DataFrame, rules: dict[str, Column], into: str = "violations") -> DataFrame:
     """Add the names of the broken rules, in the order given."""
     hits = F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])
-    return df.withColumn(into, F.array_compact(hits))
+    return df.withColumn(into, F.array_except(hits, F.array(F.lit(None).cast("string"))))

@@ -15,18 +15,17 @@ def with_object(df: DataFrame, data: Column, into: str) -> DataFrame:
     a second value or an early bracket loses or displaces the hash. Built in steps, so that
     the text is parsed once.
     """
-    text, mark, pair, first = (F.col(f"_{into}_{n}") for n in ("text", "mark", "pair", "first"))
+    text, mark, pair = (F.col(f"_{into}_{n}") for n in ("text", "mark", "pair"))
+    opens = F.startswith(F.ltrim(text, F.lit(" \t\n\r")), F.lit("{"))
     return (
         df.withColumn(f"_{into}_text", F.try_validate_utf8(data.cast("string")))
         .withColumn(f"_{into}_mark", F.xxhash64(text).cast("string"))
-        .withColumn(f"_{into}_pair", F.try_parse_json(
-            F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]'))))
-        .withColumn(f"_{into}_first", F.when(
+        .withColumn(f"_{into}_pair", F.when(opens, F.try_parse_json(
+            F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))))
+        .withColumn(into, F.when(
             F.try_variant_get(pair, "$[1]", "string") == mark,
             F.try_variant_get(pair, "$[0]", "variant")))
-        .withColumn(into, F.when(
-            F.startswith(F.schema_of_variant(first), F.lit("OBJECT")), first))
-        .drop(*(f"_{into}_{n}" for n in ("text", "mark", "pair", "first")))
+        .drop(*(f"_{into}_{n}" for n in ("text", "mark", "pair")))
     )
 
 
@@ -41,9 +40,14 @@ def keys(obj: Column) -> Column:
 
 
 def missing_keys(obj: Column, required: list[str]) -> Column:
-    """The required keys that the object lacks; a key with a null value is present."""
-    absent = [F.when(field(obj, k, "variant").isNull(), F.lit(k)) for k in required]
-    return F.when(obj.isNotNull(), F.array_compact(F.array(*absent)))
+    """The required keys that the object lacks; a key with a null value is present.
+
+    Looks the keys up rather than listing all of them, and without a lambda, which would
+    keep the whole operator out of code generation.
+    """
+    present = [F.when(field(obj, k, "variant").isNotNull(), F.lit(k)) for k in required]
+    lacking = F.array_except(F.array(*[F.lit(k) for k in required]), F.array(*present))
+    return F.when(obj.isNotNull(), lacking)
 
 
 def without_keys(obj: Column, names: list[str]) -> Column:

@@ -32,7 +32,8 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], mode: str = UPD
 
     Keys compare with `=`. In update mode a key must not repeat in the source. Two joins
     rather than a full outer one: this way Spark can broadcast a small source, and split a
-    hot key of a large target.
+    hot key of a large target. The source is asked for up to three times, so stage it if it
+    is costly.
     """
     columns = target.columns
     if set(source.columns) != set(columns):

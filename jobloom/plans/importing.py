@@ -5,16 +5,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
 from jobloom.importers.base import Importer
 from jobloom.operators.jobs import rows_with_owner
 from jobloom.operators.latest import ARRIVAL, repeated_keys, winning_rows
 from jobloom.operators.merge import UPDATE
-from jobloom.sources.files import FILE_COLUMN, missing_paths, path_slices, scan_delimited
+from jobloom.schemas import STRING, shape
+from jobloom.sources.files import missing_paths, path_slices, scan_delimited
 
 PREFIX = "namespace_prefix"
 
+LOST = shape(file=STRING)
+
 # Reasons in the order in which a job reports them.
 _MISSING_FILE, _NO_FILES, _BAD_CELL, _REPEATED = range(4)
 
@@ -68,18 +71,22 @@ def _checked_cells(rows: DataFrame, schema: StructType) -> DataFrame:
     return rows.select("id", *cells, first.alias("_bad"))
 
 
-def plan_import(importer: Importer, jobs: DataFrame, files: DataFrame, raw: DataFrame,
-                missing: DataFrame | None = None, root: str = "") -> Planned:
-    """Plan the import of file rows.
+def typed_rows(importer: Importer, jobs: DataFrame, files: DataFrame, raw: DataFrame,
+               root: str = "") -> DataFrame:
+    """Scanned file rows as the importer's rows, with `id` and `_bad`."""
+    owned = rows_with_owner(raw, files, root)
+    return _checked_cells(
+        importer.transform(owned, jobs.withColumnRenamed("job_id", "id")), importer.schema
+    )
 
-    jobs: one row per job (job_id, namespace_prefix, the arrival order, and what the
-    transform needs); files: (id, file) below `root`; raw: scanned file rows; missing: (file). A job with a
-    missing file, an unreadable cell or, when updating, a repeated key fails as a whole and
-    leaves no rows.
+
+def plan_typed(importer: Importer, jobs: DataFrame, files: DataFrame, typed: DataFrame,
+               missing: DataFrame | None = None) -> Planned:
+    """Decide which jobs fail and which rows win.
+
+    A job with a missing file, an unreadable cell or, when updating, a repeated key fails as
+    a whole and leaves no rows.
     """
-    about = jobs.withColumnRenamed("job_id", "id")
-    owned = rows_with_owner(raw, files, root)
-    typed = _checked_cells(importer.transform(owned, about), importer.schema)
     failed = _failure(
         typed.filter("_bad is not null").groupBy("id").agg(F.min("_bad").alias("_bad")),
         _BAD_CELL, F.concat(F.lit("A value does not fit column "), F.col("_bad")),
@@ -92,15 +99,26 @@ def plan_import(importer: Importer, jobs: DataFrame, files: DataFrame, raw: Data
     if missing is not None:
         failed = failed.unionByName(jobs_with_missing_files(files, missing))
     failed = first_reason(failed)
+    place = jobs.select(F.col("job_id").alias("id"), PREFIX, *ARRIVAL)
     good = (
-        typed.drop("_bad").join(failed.select("id"), "id", "left_anti")
-        .join(about.select("id", PREFIX, *ARRIVAL), "id")
+        typed.drop("_bad").join(failed.select("id"), "id", "left_anti").join(place, "id")
     )
     keep = "last" if importer.mode == UPDATE else "first"
     rows = winning_rows(good, [PREFIX, *importer.keys], keep)
     return Planned(rows.select(PREFIX, *importer.schema.names), failed)
 
 
+def plan_import(importer: Importer, jobs: DataFrame, files: DataFrame, raw: DataFrame,
+                missing: DataFrame | None = None, root: str = "") -> Planned:
+    """Plan the import of file rows.
+
+    jobs: one row per job (job_id, namespace_prefix, the arrival order, and what the
+    transform needs); files: (id, file) below `root`; raw: scanned file rows; missing: (file).
+    """
+    return plan_typed(importer, jobs, files, typed_rows(importer, jobs, files, raw, root),
+                      missing)
+
+
 def first_reason(failures: DataFrame) -> DataFrame:
     """One error per job."""
     return (
@@ -109,25 +127,25 @@ def first_reason(failures: DataFrame) -> DataFrame:
     )
 
 
-def scan_owned(spark: SparkSession, importer: Importer, files: DataFrame, root: str,
-               stage: str, slice_size: int = 20_000) -> tuple[DataFrame, DataFrame]:
-    """Read the files into a staged table; returns its rows and the missing files.
+def stage_typed(spark: SparkSession, importer: Importer, jobs: DataFrame, files: DataFrame,
+                root: str, stage: str, slice_size: int = 20_000
+                ) -> tuple[DataFrame, DataFrame]:
+    """Read the files and write down their typed rows; returns these and the missing files.
 
     The driver holds one slice of paths at a time, as every Spark file scan needs.
     """
     rows_path, lost_path = f"{stage}/rows", f"{stage}/missing"
-    schema = StructType([StructField(c, StringType())
-                         for c in [*importer.file_columns, FILE_COLUMN]])
+    columns = [StructField("id", STRING), *importer.schema, StructField("_bad", STRING)]
+    schema = StructType(columns)
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(rows_path)
-    spark.createDataFrame([], "file string").write.mode("overwrite").parquet(lost_path)
+    spark.createDataFrame([], LOST).write.mode("overwrite").parquet(lost_path)
     for paths in path_slices(files.select("file"), slice_size):
         gone = set(missing_paths(spark, [root + p for p in paths]))
         there = [root + p for p in paths if root + p not in gone]
         if there:
-            (scan_delimited(spark, there, importer.file_columns, importer.sep)
-             .write.mode("append").parquet(rows_path))
+            raw = scan_delimited(spark, there, importer.file_columns, importer.sep)
+            typed_rows(importer, jobs, files, raw, root).write.mode("append").parquet(rows_path)
         if gone:
             lost = [(p,) for p in paths if root + p in gone]
-            spark.createDataFrame(lost, "file string").write.mode("append").parquet(lost_path)
-    return (spark.read.schema(schema).parquet(rows_path),
-            spark.read.schema("file string").parquet(lost_path))
+            spark.createDataFrame(lost, LOST).write.mode("append").parquet(lost_path)
+    return spark.read.schema(schema).parquet(rows_path), spark.read.schema(LOST).parquet(lost_path)

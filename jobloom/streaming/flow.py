@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import traceback
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,6 +33,7 @@ class Ingest:
     headers: one row per job, without outputs; outputs: (id, file); both are read anew for
     each batch. `work` holds what a batch stages, `tables` the published tables. With
     `images`, the query takes only events of these images; with `not_images`, all but these.
+    `parallel_merges` namespaces are merged at a time.
     Give heavy images a query (and folders) of their own so that others need not wait.
     """
 
@@ -43,6 +46,7 @@ class Ingest:
     files_root: str = ""
     images: list[str] | None = None
     not_images: list[str] = field(default_factory=list)
+    parallel_merges: int = 8
     control_namespace: str = "live_integration_test"
     dlq_servers: str | None = None
     dlq_topic: str | None = None
@@ -94,8 +98,8 @@ class Ingest:
         path = self._stage(batch_id, f"{importer.name}/{attempt}")
         jobs = staged(imp.winning_jobs(events, importer.mode), f"{path}/jobs")
         files = staged(imp.owned_files(importer, jobs, self.outputs()), f"{path}/files")
-        raw, missing = imp.scan_owned(spark, importer, files, self.files_root, path)
-        plan = imp.plan_import(importer, jobs, files, raw, missing, self.files_root)
+        typed, missing = imp.stage_typed(spark, importer, jobs, files, self.files_root, path)
+        plan = imp.plan_typed(importer, jobs, files, typed, missing)
         failed = staged(plan.failures, f"{path}/failures")
         # Few files for a small namespace, several for a large one.
         (plan.rows.hint("rebalance", imp.PREFIX).write.mode("overwrite").partitionBy(imp.PREFIX)
@@ -128,14 +132,18 @@ class Ingest:
             raised = spark.createDataFrame(self._culprits(importer, events, batch_id), FAILURE)
             sound = events.join(raised.select(F.col("id").alias("job_id")), "job_id", "left_anti")
             rows, failed = self._stage_import(importer, sound, batch_id, "sound")
-        for row in rows.select(imp.PREFIX).distinct().toLocalIterator():
-            prefix = row[imp.PREFIX]
+        prefixes = [row[0] for row in rows.select(imp.PREFIX).distinct().collect()]
+
+        def merge_one(prefix: str) -> None:
             create_namespace(spark, prefix + importer.namespace)
             source = rows.filter(F.col(imp.PREFIX) == prefix).drop(imp.PREFIX)
             merge_and_publish(
                 spark, importer.table_name(prefix), self._table_path(prefix, importer),
                 importer.schema, importer.keys, [(source, importer.mode)], batch_id,
             )
+
+        with ThreadPoolExecutor(self.parallel_merges) as pool:
+            list(pool.map(inheritable_thread_target(merge_one), prefixes))
         trace = F.concat(F.lit("ImportError: "), F.col("error"))
         return failed.select("id", "error", trace.alias("trace")).unionByName(raised)
 

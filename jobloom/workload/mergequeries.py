@@ -10,6 +10,8 @@ from jobloom.operators import route as r, status as st
 from jobloom.operators.compare import differences
 from jobloom.operators.latest import winning_rows
 from jobloom.operators.merge import UPDATE, merge
+from jobloom.operators.publish import staged
+from jobloom.session import shared_dir
 from jobloom.workload.events import MESSAGES, routed
 from jobloom.workload.shapes import event_id, table
 
@@ -48,17 +50,23 @@ def first_per_key(spark: SparkSession, sf: str) -> DataFrame:
     return _winners(spark, sf, "first")
 
 
+def _staged(spark: SparkSession, sf: str, keep: str) -> DataFrame:
+    """The winners written down, as a merge asks for its source more than once."""
+    return staged(_winners(spark, sf, keep), shared_dir(spark, "winners"))
+
+
 def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    return merge(_target(spark, sf), _winners(spark, sf, "last"), KEYS, UPDATE)
+    return merge(_target(spark, sf), _staged(spark, sf, "last"), KEYS, UPDATE)
 
 
 def merge_insert_only(spark: SparkSession, sf: str) -> DataFrame:
-    return merge(_target(spark, sf), _winners(spark, sf, "first"), KEYS, INSERT)
+    return merge(_target(spark, sf), _staged(spark, sf, "first"), KEYS, INSERT)
 
 
 def merge_idempotent(spark: SparkSession, sf: str) -> DataFrame:
-    source = _winners(spark, sf, "last")
-    return merge(merge_upsert(spark, sf), source, KEYS, UPDATE)
+    source = _staged(spark, sf, "last")
+    once = merge(_target(spark, sf), source, KEYS, UPDATE)
+    return merge(once, source, KEYS, UPDATE)
 
 
 def table_differences(spark: SparkSession, sf: str) -> DataFrame:
