@@ -10,6 +10,9 @@ from jobloom.operators.merge import UPDATE, merge
 # Table formats that take row-level changes in place.
 ROW_LEVEL = {"delta", "iceberg", "hudi"}
 
+# Version of a table that was there before the first batch, which is batch 0.
+BASE = -1
+
 
 def staged(df: DataFrame, path: str) -> DataFrame:
     """The frame written down and read back: computed once, of known size, and safe from
@@ -92,7 +95,7 @@ def merge_and_publish(spark: SparkSession, name: str, location: str, schema: Str
             merge_in_place(spark, name, source, keys, mode)
         return
     if format_ is not None:
-        raise ValueError(f"{name} is a plain {format_} table; publish it as version 0 first")
+        raise ValueError(f"{name} is a plain {format_} table; publish its rows as version BASE first")
     table = base_version(spark, location, batch_id, schema)
     for source, mode in steps:
         table = merge(table, source, keys, mode)

@@ -143,7 +143,7 @@ class Ingest:
             )
 
         with ThreadPoolExecutor(self.parallel_merges) as pool:
-            list(pool.map(inheritable_thread_target(merge_one), prefixes))
+            list(pool.map(inheritable_thread_target(spark)(merge_one), prefixes))
         trace = F.concat(F.lit("ImportError: "), F.col("error"))
         return failed.select("id", "error", trace.alias("trace")).unionByName(raised)
 
