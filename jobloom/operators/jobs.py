@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom.functions.text import namespace_prefix
+from jobloom.operators.merge import fits_broadcast
 from jobloom.operators.route import COMPLETE
 from jobloom.sources.files import FILE_COLUMN, bare_path
 
@@ -43,6 +44,8 @@ def build_jobs(headers: DataFrame, files: DataFrame, part_size: int = 10_000) ->
     nested = (
         _with_parts(files, large)
         .withColumn("outputs_part", part.cast("int"))
+        # Collecting does not shrink the rows, so it is not worth doing before the exchange.
+        .repartition("id", "outputs_part")
         .groupBy("id", "outputs_part")
         .agg(F.sort_array(F.collect_list(F.struct("file", "crc64nvme"))).alias("outputs"))
     )
@@ -95,6 +98,17 @@ def import_record(headers: DataFrame) -> DataFrame:
     )
 
 
+def asked_for(headers: DataFrame, ids: DataFrame) -> DataFrame:
+    """The headers that a small set of ids (column job_id) asks for, else all of them.
+
+    A batch asks for few of all jobs: with the ids broadcast, the job table is scanned but
+    not exchanged. Many ids are left to the join that follows.
+    """
+    if not fits_broadcast(ids):
+        return headers
+    return headers.join(ids.select(F.col("job_id").alias("id")), "id", "left_semi")
+
+
 def enrich(events: DataFrame, headers: DataFrame) -> DataFrame:
     """Join events to the import record of their job; `job_found` tells hits from misses.
 

@@ -46,16 +46,18 @@ def _version_path(location: str, version: int) -> str:
     return f"{location.rstrip('/')}/v={version}"
 
 
-def complete_versions(spark: SparkSession, location: str) -> list[int]:
-    """Versions written to the end, in order."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+def complete_versions(spark: SparkSession, location: str, prefix: str = "v=") -> list[int]:
+    """Numbers of the folders `prefix`<number> that were written to the end, in order."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    path = hadoop_path(location)
     fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not fs.exists(path):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(path)]
-    versions = sorted(int(n[2:]) for n in names if n.startswith("v="))
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return [v for v in versions if fs.exists(done(_version_path(location, v) + "/_SUCCESS"))]
+    return sorted(
+        int(n.removeprefix(prefix)) for n in names
+        if n.startswith(prefix) and fs.exists(hadoop_path(f"{location}/{n}/_SUCCESS"))
+    )
 
 
 def read_version(spark: SparkSession, location: str, version: int, schema: StructType) -> DataFrame:

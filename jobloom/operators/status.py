@@ -21,7 +21,8 @@ def iso_utc(at: Column) -> Column:
 
 
 def current_status(changes: DataFrame, order: list[str]) -> DataFrame:
-    """The present value of each key of each job, as rows (job_id, key, value).
+    """The present value of each key of each job, as rows (job_id, key, value) and the order
+    of its last change, so that a fold can go on from them.
 
     The last change of a key wins; a start removes earlier complete and error marks. The
     changes are combined before the first exchange; only one row per job and key is left for
@@ -39,7 +40,8 @@ def current_status(changes: DataFrame, order: list[str]) -> DataFrame:
     )
     return (
         last.withColumn("_started", started).filter(~gone)
-        .select("job_id", "key", F.col("_last.value").alias("value"))
+        .select("job_id", "key", F.col("_last.value").alias("value"),
+                *[F.col(f"_last.at.{o}").alias(o) for o in order])
     )
 
 

@@ -44,9 +44,10 @@ DLQ = shape(
     src_topic=STRING, src_partition=INT, src_offset=LONG, batch_id=LONG,
 )
 
-# One change of a job's import status; the current status is a fold over these.
-STATUS_CHANGE = shape(job_id=STRING, key=STRING, value=STRING, seq=LONG, step=STRING,
-                      batch_id=LONG)
+# One change of a job's import status, made in batch `since`; the current status is a fold
+# over these.
+STATUS_CHANGE = shape(job_id=STRING, key=STRING, value=STRING, since=LONG, seq=LONG,
+                      step=STRING, batch_id=LONG)
 
 # A job of a batch that could not be imported.
 FAILURE = shape(id=STRING, error=STRING, trace=STRING)

@@ -15,6 +15,7 @@ class Topic:
 
     kind "kafka": `location` is the list of bootstrap servers, separated by commas.
     kind "file": `location` is a folder of parquet files in the record schema.
+    `min_partitions` reads a topic of few partitions with more tasks than it has.
     """
 
     kind: str
@@ -22,6 +23,7 @@ class Topic:
     name: str
     max_records_per_trigger: int | None = None
     max_files_per_trigger: int | None = None
+    min_partitions: int | None = None
     options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -30,11 +32,14 @@ class Topic:
 
 
 def _kafka_options(topic: Topic) -> dict[str, str]:
-    return {
+    options = {
         "kafka.bootstrap.servers": topic.location,
         "subscribe": topic.name,
         "startingOffsets": "earliest",
-    } | topic.options
+    }
+    if topic.min_partitions:
+        options["minPartitions"] = str(topic.min_partitions)
+    return options | topic.options
 
 
 def stream_events(spark: SparkSession, topic: Topic) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
@@ -63,16 +64,14 @@ def rejected_cells(df: DataFrame, schema: StructType, by: list[str] | None = Non
 
 
 def path_slices(paths: DataFrame, size: int = 20_000) -> Iterator[list[str]]:
-    """The distinct paths of a one-column frame, in slices of about `size`.
+    """The distinct paths of a one-column frame, in slices.
 
-    Spark's file scans take path lists from the driver; slicing bounds how many it holds.
+    Spark's file scans take path lists from the driver. This way it holds one slice, and one
+    partition of paths, at a time.
     """
-    paths = paths.toDF("path").distinct()
-    total = paths.count()
-    n = -(-total // size)
-    for i in range(n):
-        part = paths.filter(F.pmod(F.xxhash64("path"), F.lit(n)) == i) if n > 1 else paths
-        yield [r.path for r in part.toLocalIterator()]
+    found = (r.path for r in paths.toDF("path").distinct().toLocalIterator())
+    while part := list(islice(found, size)):
+        yield part
 
 
 def missing_paths(spark: SparkSession, paths: list[str], threads: int = 16) -> list[str]:

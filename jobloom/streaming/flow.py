@@ -8,14 +8,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from jobloom.importers import employees
 from jobloom.importers.base import Importer
 from jobloom.operators import dlq, jobs as j, route as r, status as st
 from jobloom.operators.decode import decode
-from jobloom.operators.publish import merge_and_publish, staged
+from jobloom.operators.publish import complete_versions, merge_and_publish, staged
 from jobloom.plans import importing as imp
 from jobloom.schemas import EMPLOYEES, FAILURE, RECORD, STATUS_CHANGE
 from jobloom.sources.events import Topic, stream_events
@@ -23,6 +23,7 @@ from jobloom.sources.tables import create_namespace
 
 Table = Callable[[], DataFrame]
 
+STATUS_ORDER = ["since", "seq"]
 REJECTED = [r.MALFORMED, r.MISSING_KEYS, r.NO_JOB, r.BAD_JOB]
 
 
@@ -82,7 +83,12 @@ class Ingest:
         routed = r.route(decode(batch)).select(*RECORD.names, "job_id", "route").persist()
         try:
             events = routed.filter(F.col("route") == r.IMPORTABLE)
-            full = j.dispatch(j.enrich(events, self.headers()), self.registry())
+            ids = staged(
+                events.filter("job_id is not null").select("job_id").distinct(),
+                self._stage(batch_id, "ids"),
+            )
+            headers = j.asked_for(self.headers(), ids)
+            full = j.dispatch(j.enrich(events, headers), self.registry())
             full = self._mine(full.withColumn("route", r.job_route()))
             if self.images is None:
                 rest = routed.filter(~F.col("route").isin(r.IMPORTABLE, r.DISCARD))
@@ -175,7 +181,7 @@ class Ingest:
         events = self.stage_events(batch, batch_id)
         importable = events.filter(F.col("route") == r.IMPORT)
         starts = events.filter(F.col("route").isin(r.IMPORT, r.NO_OPERATION))
-        start_rows = _changes(starts, F.lit(st.START), 0, began)
+        start_rows = _changes(starts, F.lit(st.START), batch_id, 0, began)
         dlq.write_batch(start_rows, f"{self.status}/step=start", batch_id)
 
         failed = spark.createDataFrame([], FAILURE)
@@ -216,15 +222,31 @@ class Ingest:
             .when(F.col("route") == r.NO_OPERATION, st.NO_OPERATION)
             .when(F.col("route") == r.IMPORT_ERROR, st.ERROR)
         )
-        final = _changes(outcome.filter(key.isNotNull()), key, 1, F.current_timestamp())
+        final = _changes(outcome.filter(key.isNotNull()), key, batch_id, 1,
+                         F.current_timestamp())
         dlq.write_batch(final, f"{self.status}/step=final", batch_id)
 
     def status_changes(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(STATUS_CHANGE).parquet(self.status)
+        """The changes of job statuses: the newest fold and what came after it."""
+        changes = spark.read.schema(STATUS_CHANGE).parquet(self.status)
+        folds = [v for v in complete_versions(spark, f"{self.status}/step=fold", "batch_id=")]
+        if not folds:
+            return changes
+        later = (F.col("step") != "fold") & (F.col("batch_id") > folds[-1])
+        fold = (F.col("step") == "fold") & (F.col("batch_id") == folds[-1])
+        return changes.filter(later | fold)
 
     def job_status(self, spark: SparkSession) -> DataFrame:
         """The current status of all jobs as rows (job_id, key, value)."""
-        return st.current_status(self.status_changes(spark), ["batch_id", "seq"])
+        folded = st.current_status(self.status_changes(spark), STATUS_ORDER)
+        return folded.select("job_id", "key", "value")
+
+    def fold_status(self, spark: SparkSession, batch_id: int) -> None:
+        """Fold all changes up to a finished batch into one set, so that reading the status
+        does not grow with the number of batches. Older changes can then be deleted."""
+        changes = self.status_changes(spark).filter(F.col("batch_id") <= batch_id)
+        folded = st.current_status(changes, STATUS_ORDER).drop("batch_id")
+        dlq.write_batch(folded, f"{self.status}/step=fold", batch_id)
 
     def start(self, spark: SparkSession, topic: Topic, checkpoint: str,
               every: str | None = "1 second") -> StreamingQuery:
@@ -238,9 +260,9 @@ class Ingest:
         return writer.trigger(processingTime=every).start()
 
 
-def _changes(events: DataFrame, key, seq: int, at) -> DataFrame:
-    """One status change per job. Nothing is written for events without a job."""
+def _changes(events: DataFrame, key: Column, batch_id: int, seq: int, at: Column) -> DataFrame:
+    """One status change per job."""
     return events.select(
         "job_id", key.alias("key"), st.iso_utc(at).alias("value"),
-        F.lit(seq).cast("bigint").alias("seq"),
+        F.lit(batch_id).cast("bigint").alias("since"), F.lit(seq).cast("bigint").alias("seq"),
     ).distinct()

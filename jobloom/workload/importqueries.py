@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobloom.importers.quality import JOB_COLUMN, QUALITY_IMPORTER
 from jobloom.operators import dlq
 from jobloom.operators.merge import merge
+from jobloom.operators.publish import staged
 from jobloom.plans import importing as imp
 from jobloom.schemas import QUALITY
 from jobloom.session import shared_dir
@@ -89,7 +90,8 @@ def _plan(spark: SparkSession, sf: str) -> imp.Planned:
     prefix = F.concat(F.lit("u_"), "event_type", F.lit("__"))
     missing = spark.createDataFrame([(LOST,)], "file string")
     jobs = _jobs(spark, sf).withColumn(imp.PREFIX, prefix)
-    return imp.plan_import(IMPORTER, jobs, files, raw, missing, root)
+    typed = staged(imp.typed_rows(IMPORTER, jobs, files, raw, root), shared_dir(spark, "typed"))
+    return imp.plan_typed(IMPORTER, jobs, files, typed, missing)
 
 
 def _comparable(df: DataFrame) -> DataFrame:

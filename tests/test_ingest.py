@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from jobloom.importers.quality import QUALITY_IMPORTER
 from jobloom.operators import dlq, status as st
+from jobloom.operators.decode import decode
 from jobloom.operators.publish import BASE, complete_versions, publish_version
+from jobloom.operators.route import route
 from jobloom.schemas import EMPLOYEES, QUALITY, RECORD
 from jobloom.sources import events as ev
 from jobloom.sources.files import cast_to_schema
@@ -258,6 +260,36 @@ def test_a_restart_clears_an_old_error(world):
     assert world.names(who) == {"K": "a"}
 
 
+def test_folded_status_goes_on(spark, world):
+    who = user(world)
+    world.job("a", who, {"a/quality_report.tsv": [line("K")]})
+    world.job("n", who, {}, image="img/none")
+    world.complete("a", "n")
+    world.run()
+    before = world.status()
+    world.ingest.fold_status(spark, 0)
+    assert world.status() == before
+    world.outputs[:] = [("a", "bucket/gone/quality_report.tsv")]
+    world.complete("a")
+    world.run()
+    after = {"a": {"start", "error"}, "n": {"start", "no_operation"}}
+    assert world.status() == after
+    world.ingest.fold_status(spark, 1)
+    assert world.status() == after
+    assert world.ingest.status_changes(spark).count() == 4
+
+
+def test_decoding_and_routing_run_on_a_stream(spark, world):
+    world.send('{"job_id":"a","state":"complete"}', "x", "{}")
+    out = str(world.path / "routed")
+    stream = route(decode(ev.stream_events(spark, world.topic))).select("offset", "route")
+    query = (stream.writeStream.format("parquet").trigger(availableNow=True)
+             .option("checkpointLocation", str(world.path / "cp")).start(out))
+    query.awaitTermination()
+    assert {r.offset: r.route for r in spark.read.parquet(out).collect()} == {
+        0: "importable", 1: "dlq_malformed", 2: "dlq_missing_keys"}
+
+
 def test_images_can_have_a_query_of_their_own(spark, tmp_path):
     heavy = World(spark, tmp_path / "heavy", images=[IMAGE])
     rest = World(spark, tmp_path / "rest", not_images=[IMAGE])

@@ -28,7 +28,7 @@ def test_delimited_files(spark, tmp_path):
 def test_path_slices_are_whole(spark):
     df = spark.range(1000).select(F.concat(F.lit("p"), F.col("id") % 700).alias("file"))
     slices = list(files.path_slices(df, size=100))
-    assert len(slices) == 7 and sorted(p for s in slices for p in s) == sorted(
+    assert [len(x) for x in slices] == [100] * 7 and sorted(p for s in slices for p in s) == sorted(
         {f"p{n}" for n in range(700)})
     assert list(files.path_slices(df.filter("false"))) == []
 
@@ -56,10 +56,11 @@ def test_self_check(spark):
 
 
 def test_kafka_options():
-    topic = ev.Topic("kafka", "a:9092,b:9092", "jobs", options={"kafka.group.id": "g"})
+    topic = ev.Topic("kafka", "a:9092,b:9092", "jobs", min_partitions=600,
+                     options={"kafka.group.id": "g"})
     assert ev._kafka_options(topic) == {
         "kafka.bootstrap.servers": "a:9092,b:9092", "subscribe": "jobs",
-        "startingOffsets": "earliest", "kafka.group.id": "g"}
+        "startingOffsets": "earliest", "minPartitions": "600", "kafka.group.id": "g"}
     with pytest.raises(ValueError):
         ev.Topic("http", "x", "jobs")
 
