@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType
 
 from jobloom.operators.merge import UPDATE
+from jobloom.sources.tables import quoted
 
 
 def as_is(rows: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -38,4 +39,4 @@ class Importer:
     transform: Callable[[DataFrame, DataFrame], DataFrame] = as_is
 
     def table_name(self, prefix: str) -> str:
-        return f"`{prefix}{self.namespace}`.`{self.table}`"
+        return f"{quoted(prefix + self.namespace)}.{quoted(self.table)}"

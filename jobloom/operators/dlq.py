@@ -8,22 +8,22 @@ from jobloom.functions import jsonobj
 from jobloom.operators import route as r
 from jobloom.schemas import DLQ
 
-# Fields added to a dead letter.
+# Fields added to a dead letter, and error texts.
 ERROR = "error_dlq"
 TRACE = "error_dlq_trace"
-
+MISSING_KEYS_TEXT = "Message has missing required keys:\n"
 NO_JOB_TEXT = "No such job"
+BAD_JOB_TEXT = "No complete event found for job "
 
 
 def error_text() -> Column:
     """Why a routed event is rejected."""
     return (
         F.when(F.col("route") == r.MISSING_KEYS,
-               F.concat(F.lit("Message has missing required keys:\n"),
-                        F.to_json(F.col("event"))))
+               F.concat(F.lit(MISSING_KEYS_TEXT), F.to_json(F.col("event"))))
         .when(F.col("route") == r.NO_JOB, NO_JOB_TEXT)
         .when(F.col("route") == r.BAD_JOB,
-              F.concat(F.lit("No complete event found for job "), F.col("job_id")))
+              F.concat(F.lit(BAD_JOB_TEXT), F.col("job_id")))
     )
 
 

@@ -128,8 +128,8 @@ def missing_jobs(events: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def dispatch(enriched: DataFrame, registry: DataFrame) -> DataFrame:
-    """Join the importer of the job's image. The registry is small, so Spark broadcasts it
-    once it has seen its size."""
+    """Join the importer of the job's image. There are few images, and one may own most jobs:
+    give the registry as files or a written table, whose size Spark knows and broadcasts."""
     importers = registry.select(F.col("image").alias("_image"), "module", "meta")
     return enriched.join(importers, F.col("image") == F.col("_image"), "left").drop("_image")
 

@@ -46,18 +46,33 @@ def _version_path(location: str, version: int) -> str:
     return f"{location.rstrip('/')}/v={version}"
 
 
-def complete_versions(spark: SparkSession, location: str, prefix: str = "v=") -> list[int]:
-    """Numbers of the folders `prefix`<number> that were written to the end, in order."""
+def _numbered(spark: SparkSession, location: str, prefix: str) -> tuple[object, dict]:
+    """The file system of a folder, and its subfolders `prefix`<number> by number."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     path = hadoop_path(location)
     fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not fs.exists(path):
-        return []
+        return fs, {}
     names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return sorted(
-        int(n.removeprefix(prefix)) for n in names
-        if n.startswith(prefix) and fs.exists(hadoop_path(f"{location}/{n}/_SUCCESS"))
-    )
+    return fs, {
+        int(n.removeprefix(prefix)): hadoop_path(f"{location}/{n}")
+        for n in sorted(names) if n.startswith(prefix)
+    }
+
+
+def complete_versions(spark: SparkSession, location: str, prefix: str = "v=") -> list[int]:
+    """Numbers of the folders `prefix`<number> that were written to the end, in order."""
+    fs, found = _numbered(spark, location, prefix)
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(n for n, path in found.items() if fs.exists(done(path, "_SUCCESS")))
+
+
+def remove_versions(spark: SparkSession, location: str, prefix: str, before: int) -> None:
+    """Delete the folders `prefix`<number> with smaller numbers."""
+    fs, found = _numbered(spark, location, prefix)
+    for number, path in found.items():
+        if number < before:
+            fs.delete(path, True)
 
 
 def read_version(spark: SparkSession, location: str, version: int, schema: StructType) -> DataFrame:
@@ -85,11 +100,12 @@ def base_version(spark: SparkSession, location: str, before: int,
 
 def merge_and_publish(spark: SparkSession, name: str, location: str, schema: StructType,
                       keys: list[str], steps: list[tuple[DataFrame, str]],
-                      batch_id: int) -> None:
+                      batch_id: int, keep: int = 3) -> None:
     """Merge the sources of a batch, each with its mode, into a table.
 
     Row-level formats merge in place. Otherwise the batch becomes a version of its own, built
     on the newest version before it, so that a replayed batch gives the same version again.
+    The last `keep` versions stay, at least two: a replay needs the one before.
     """
     format_ = provider(spark, name)
     if format_ in ROW_LEVEL:
@@ -102,3 +118,5 @@ def merge_and_publish(spark: SparkSession, name: str, location: str, schema: Str
     for source, mode in steps:
         table = merge(table, source, keys, mode)
     publish_version(table, name, location, batch_id)
+    kept = complete_versions(spark, location)[-max(keep, 2):]
+    remove_versions(spark, location, "v=", kept[0])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -19,15 +17,7 @@ PREFIX = "namespace_prefix"
 LOST = shape(file=STRING)
 
 # Reasons in the order in which a job reports them.
-_MISSING_FILE, _NO_FILES, _BAD_CELL, _REPEATED = range(4)
-
-
-@dataclass(frozen=True)
-class Planned:
-    """What an import would do: rows to merge, and jobs that fail with their error."""
-
-    rows: DataFrame
-    failures: DataFrame
+_BAD_NAMESPACE, _MISSING_FILE, _NO_FILES, _BAD_CELL, _REPEATED = range(5)
 
 
 def winning_jobs(events: DataFrame, mode: str) -> DataFrame:
@@ -59,6 +49,13 @@ def jobs_with_missing_files(files: DataFrame, missing: DataFrame) -> DataFrame:
     return _failure(hit, _MISSING_FILE, F.concat(F.lit("No such file: "), F.col("file")))
 
 
+def jobs_with_bad_namespace(importer: Importer, jobs: DataFrame) -> DataFrame:
+    """Jobs whose user does not give a name that the catalog takes."""
+    name = F.concat(F.col(PREFIX), F.lit(importer.namespace))
+    bad = jobs.filter(~name.rlike(r"^\w+\z")).withColumnRenamed("job_id", "id")
+    return _failure(bad, _BAD_NAMESPACE, F.concat(F.lit("Not a valid namespace: "), name))
+
+
 def _checked_cells(rows: DataFrame, schema: StructType) -> DataFrame:
     """Cast to the schema; `_bad` names the first column whose cell does not fit."""
     cells, bad = [], []
@@ -80,12 +77,12 @@ def typed_rows(importer: Importer, jobs: DataFrame, files: DataFrame, raw: DataF
     )
 
 
-def plan_typed(importer: Importer, jobs: DataFrame, files: DataFrame, typed: DataFrame,
-               missing: DataFrame | None = None) -> Planned:
-    """Decide which jobs fail and which rows win.
+def failed_jobs(importer: Importer, jobs: DataFrame, files: DataFrame, typed: DataFrame,
+                missing: DataFrame) -> DataFrame:
+    """Jobs that fail, as rows (id, reason, error).
 
-    A job with a missing file, an unreadable cell or, when updating, a repeated key fails as
-    a whole and leaves no rows.
+    A job without a valid namespace, without files, with a missing one, an unreadable cell or,
+    when updating, a repeated key fails as a whole.
     """
     failed = _failure(
         typed.filter("_bad is not null").groupBy("id").agg(F.min("_bad").alias("_bad")),
@@ -96,27 +93,24 @@ def plan_typed(importer: Importer, jobs: DataFrame, files: DataFrame, typed: Dat
         text = f"A key repeats within the job: {', '.join(importer.keys)}"
         failed = failed.unionByName(_failure(repeated, _REPEATED, F.lit(text)))
     failed = failed.unionByName(jobs_without_files(importer, jobs, files))
-    if missing is not None:
-        failed = failed.unionByName(jobs_with_missing_files(files, missing))
-    failed = first_reason(failed)
+    failed = failed.unionByName(jobs_with_bad_namespace(importer, jobs))
+    return first_reason(failed.unionByName(jobs_with_missing_files(files, missing)))
+
+
+def rows_to_merge(importer: Importer, jobs: DataFrame, typed: DataFrame,
+                  failed: DataFrame) -> DataFrame:
+    """The winning rows of the jobs that do not fail, with their namespace prefix.
+
+    Give `jobs` and `failed` as written tables: if they are small, Spark then knows it and
+    broadcasts them, where otherwise it would exchange all rows by their job.
+    """
     place = jobs.select(F.col("job_id").alias("id"), PREFIX, *ARRIVAL)
     good = (
         typed.drop("_bad").join(failed.select("id"), "id", "left_anti").join(place, "id")
     )
     keep = "last" if importer.mode == UPDATE else "first"
     rows = winning_rows(good, [PREFIX, *importer.keys], keep)
-    return Planned(rows.select(PREFIX, *importer.schema.names), failed)
-
-
-def plan_import(importer: Importer, jobs: DataFrame, files: DataFrame, raw: DataFrame,
-                missing: DataFrame | None = None, root: str = "") -> Planned:
-    """Plan the import of file rows.
-
-    jobs: one row per job (job_id, namespace_prefix, the arrival order, and what the
-    transform needs); files: (id, file) below `root`; raw: scanned file rows; missing: (file).
-    """
-    return plan_typed(importer, jobs, files, typed_rows(importer, jobs, files, raw, root),
-                      missing)
+    return rows.select(PREFIX, *importer.schema.names)
 
 
 def first_reason(failures: DataFrame) -> DataFrame:

@@ -15,17 +15,22 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def quoted(name: str) -> str:
+    """One part of a catalog name for use in SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def create_namespace(spark: SparkSession, name: str, location: str | None = None,
                      if_not_exists: bool = True) -> None:
     clause = "IF NOT EXISTS " if if_not_exists else ""
     at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE {clause}`{name}`{at}")
+    spark.sql(f"CREATE DATABASE {clause}{quoted(name)}{at}")
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType,
                  provider: str = "parquet") -> None:
     """Create a table if there is none. Its columns take NULL whatever the schema says."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {provider}")
 
 
@@ -35,7 +40,7 @@ def overwrite_table(df: DataFrame, name: str, provider: str = "parquet") -> None
 
 def drop_namespace(spark: SparkSession, name: str) -> None:
     """Drop a namespace with everything in it."""
-    spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+    spark.sql(f"DROP DATABASE IF EXISTS {quoted(name)} CASCADE")
 
 
 def preview(df: DataFrame, keys: list[str], n: int = 20) -> DataFrame:

@@ -15,7 +15,9 @@ from jobloom.importers import employees
 from jobloom.importers.base import Importer
 from jobloom.operators import dlq, jobs as j, route as r, status as st
 from jobloom.operators.decode import decode
-from jobloom.operators.publish import complete_versions, merge_and_publish, staged
+from jobloom.operators.publish import (
+    complete_versions, merge_and_publish, remove_versions, staged,
+)
 from jobloom.plans import importing as imp
 from jobloom.schemas import EMPLOYEES, FAILURE, RECORD, STATUS_CHANGE
 from jobloom.sources.events import Topic, stream_events
@@ -34,7 +36,8 @@ class Ingest:
     headers: one row per job, without outputs; outputs: (id, file); both are read anew for
     each batch. `work` holds what a batch stages, `tables` the published tables. With
     `images`, the query takes only events of these images; with `not_images`, all but these.
-    `parallel_merges` namespaces are merged at a time.
+    `parallel_merges` namespaces are merged at a time. Of a table kept as versions, the last
+    `keep_versions` stay, for queries that still read them.
     Give heavy images a query (and folders) of their own so that others need not wait.
     """
 
@@ -48,6 +51,7 @@ class Ingest:
     images: list[str] | None = None
     not_images: list[str] = field(default_factory=list)
     parallel_merges: int = 8
+    keep_versions: int = 3
     control_namespace: str = "live_integration_test"
     dlq_servers: str | None = None
     dlq_topic: str | None = None
@@ -105,12 +109,13 @@ class Ingest:
         jobs = staged(imp.winning_jobs(events, importer.mode), f"{path}/jobs")
         files = staged(imp.owned_files(importer, jobs, self.outputs()), f"{path}/files")
         typed, missing = imp.stage_typed(spark, importer, jobs, files, self.files_root, path)
-        plan = imp.plan_typed(importer, jobs, files, typed, missing)
-        failed = staged(plan.failures, f"{path}/failures")
+        failed = staged(
+            imp.failed_jobs(importer, jobs, files, typed, missing), f"{path}/failures")
+        rows = imp.rows_to_merge(importer, jobs, typed, failed)
         # Few files for a small namespace, several for a large one.
-        (plan.rows.hint("rebalance", imp.PREFIX).write.mode("overwrite").partitionBy(imp.PREFIX)
+        (rows.hint("rebalance", imp.PREFIX).write.mode("overwrite").partitionBy(imp.PREFIX)
          .option("partitionOverwriteMode", "static").parquet(f"{path}/merge"))
-        return spark.read.schema(plan.rows.schema).parquet(f"{path}/merge"), failed
+        return spark.read.schema(rows.schema).parquet(f"{path}/merge"), failed
 
     def _culprits(self, importer: Importer, events: DataFrame, batch_id: int,
                   parts: int = 1, part: int = 0) -> list[tuple[str, str, str]]:
@@ -146,6 +151,7 @@ class Ingest:
             merge_and_publish(
                 spark, importer.table_name(prefix), self._table_path(prefix, importer),
                 importer.schema, importer.keys, [(source, importer.mode)], batch_id,
+                self.keep_versions,
             )
 
         with ThreadPoolExecutor(self.parallel_merges) as pool:
@@ -170,13 +176,14 @@ class Ingest:
         merge_and_publish(
             spark, f"`{self.control_namespace}`.`employees`",
             f"{self.tables}/{self.control_namespace}/employees", EMPLOYEES,
-            employees.KEYS, steps, batch_id,
+            employees.KEYS, steps, batch_id, self.keep_versions,
         )
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Everything one micro-batch does. Each sink replaces what an earlier attempt at the
-        same batch wrote."""
+        same batch wrote. What earlier batches staged is no longer needed."""
         spark = batch.sparkSession
+        remove_versions(spark, f"{self.work}/stage", "batch=", batch_id)
         began = F.current_timestamp()
         events = self.stage_events(batch, batch_id)
         importable = events.filter(F.col("route") == r.IMPORT)

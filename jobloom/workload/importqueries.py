@@ -84,14 +84,19 @@ def _jobs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _plan(spark: SparkSession, sf: str) -> imp.Planned:
+def _plan(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Rows to merge and failed jobs of importing all reports as one batch."""
     root, files = _write_reports(spark, sf)
-    raw = scan_delimited(spark, f"{root}*/*/*.csv", IMPORTER.file_columns)
+    stage = shared_dir(spark, "plan")
     prefix = F.concat(F.lit("u_"), "event_type", F.lit("__"))
+    jobs = staged(_jobs(spark, sf).withColumn(imp.PREFIX, prefix), f"{stage}/jobs")
+    files = staged(files, f"{stage}/files")
+    raw = scan_delimited(spark, f"{root}*/*/*.csv", IMPORTER.file_columns)
+    typed = staged(imp.typed_rows(IMPORTER, jobs, files, raw, root), f"{stage}/typed")
     missing = spark.createDataFrame([(LOST,)], "file string")
-    jobs = _jobs(spark, sf).withColumn(imp.PREFIX, prefix)
-    typed = staged(imp.typed_rows(IMPORTER, jobs, files, raw, root), shared_dir(spark, "typed"))
-    return imp.plan_typed(IMPORTER, jobs, files, typed, missing)
+    failed = staged(
+        imp.failed_jobs(IMPORTER, jobs, files, typed, missing), f"{stage}/failed")
+    return imp.rows_to_merge(IMPORTER, jobs, typed, failed), failed
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -111,12 +116,13 @@ def quality_import(spark: SparkSession, sf: str) -> DataFrame:
         *[F.lit("1").cast(f.dataType).alias(f.name) for f in QUALITY[2:-1]],
         F.col("c_name").alias("Additional_Notes"),
     )
-    rows = _plan(spark, sf).rows
-    return _comparable(merge(old, rows, [imp.PREFIX, "Name"], IMPORTER.mode))
+    rows, _ = _plan(spark, sf)
+    source = staged(rows, shared_dir(spark, "winners"))
+    return _comparable(merge(old, source, [imp.PREFIX, "Name"], IMPORTER.mode))
 
 
 def import_failures(spark: SparkSession, sf: str) -> DataFrame:
-    return _plan(spark, sf).failures.select("id", "error")
+    return _plan(spark, sf)[1].select("id", "error")
 
 
 def _job_events(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom.functions import text
 from jobloom.operators import jobs as j, route as r
+from jobloom.operators.publish import staged
+from jobloom.session import shared_dir
 from jobloom.sources import registry as reg
 from jobloom.workload import shapes
 from jobloom.workload.events import MESSAGES, routed
@@ -93,7 +95,9 @@ def missing_jobs(spark: SparkSession, sf: str) -> DataFrame:
 
 def dispatch(spark: SparkSession, sf: str) -> DataFrame:
     full = j.enrich(_importable(spark, sf), shapes.headers_with_counts(spark, sf))
-    return j.dispatch(full, shapes.image_registry(spark, sf)).select(
+    # Written down, a registry is known to be small.
+    registry = staged(shapes.image_registry(spark, sf), shared_dir(spark, "registry"))
+    return j.dispatch(full, registry).select(
         event_id(), "module", F.to_json("meta").alias("meta"), r.job_route().alias("route")
     )
 

@@ -32,7 +32,7 @@ def _employees(spark: SparkSession, sf: str) -> DataFrame:
 def literal_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Literal names for kinds of event, joined to the events."""
     rows = [(1, "click"), (2, "view"), (3, "purchase")]
-    kinds = tables.literal_rows(spark, rows, EMPLOYEES)
+    kinds = F.broadcast(tables.literal_rows(spark, rows, EMPLOYEES))  # three rows
     events = table(spark, sf, "events")
     return (
         events.join(kinds, events["event_type"] == kinds["employee_name"], "left")

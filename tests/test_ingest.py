@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from jobloom.importers.quality import QUALITY_IMPORTER
 from jobloom.operators import dlq, status as st
 from jobloom.operators.decode import decode
-from jobloom.operators.publish import BASE, complete_versions, publish_version
+from jobloom.operators.publish import BASE, complete_versions, publish_version, staged
 from jobloom.operators.route import route
+from jobloom.plans import importing as imp
 from jobloom.schemas import EMPLOYEES, QUALITY, RECORD
 from jobloom.sources import events as ev
 from jobloom.sources.files import cast_to_schema
@@ -143,23 +144,26 @@ def test_outcomes(world):
     world.job("lost", who, {"l/quality_report.tsv": None, "g2/quality_report.tsv": [line("L")]})
     world.job("twice", who, {"t/quality_report.tsv": [line("B"), line("B")]})
     world.job("cell", who, {"c/quality_report.tsv": [line("C").replace("148", "14.5x")]})
+    world.job("user", "a`.b/../c", {"u/quality_report.tsv": [line("U")]})
     world.job("noop", who, {}, image="img/none")
     world.job("nowhere", who, {}, image="img/unknown")
     world.job("open", who, {}, state="created")
-    world.complete("good", "empty", "lost", "twice", "cell", "noop", "nowhere", "open", "absent")
+    world.complete("good", "empty", "lost", "twice", "cell", "user", "noop", "nowhere", "open",
+                   "absent")
     world.send('{"job_id":"good","state":"running"}', "x", '{"job_id":"good"}')
     world.run()
     assert world.names(who) == {"A": "good"}
     error = {"start", "error"}
     assert world.status() == {
         "good": {"start", "complete"}, "empty": error, "lost": error, "twice": error,
-        "cell": error, "noop": {"start", "no_operation"}, "nowhere": error}
+        "cell": error, "user": error, "noop": {"start", "no_operation"}, "nowhere": error}
     letters = world.letters()
     assert {k: v.error_dlq for k, v in letters.items()} == {
         ("empty", "dlq_import_error"): "No checkm2 quality report files found",
         ("lost", "dlq_import_error"): "No such file: bucket/l/quality_report.tsv",
         ("twice", "dlq_import_error"): "A key repeats within the job: Name",
         ("cell", "dlq_import_error"): "A value does not fit column Contig_N50",
+        ("user", "dlq_import_error"): "Not a valid namespace: u_a`.b/../c__autoimport",
         ("nowhere", "dlq_import_error"): "No importer is named nowhere",
         ("open", "dlq_bad_job"): "No complete event found for job open",
         ("absent", "dlq_no_job"): "No such job",
@@ -196,6 +200,32 @@ def test_insert_only_importer(spark, tmp_path):
     assert got == [("K", "b", "b"), ("K", "b", "bb")]
 
 
+def test_old_versions_and_staged_batches_go(spark, tmp_path):
+    world = World(spark, tmp_path, keep_versions=1)
+    who = user(world)
+    for i in "abc":
+        world.job(i, who, {f"{i}/quality_report.tsv": [line(i)]})
+        world.complete(i)
+    world.run()
+    assert world.names(who) == {"a": "a", "b": "b", "c": "c"}
+    place = next((world.path / "tables").glob("u_*")) / "checkm2"
+    assert sorted(p.name for p in place.glob("v=*")) == ["v=1", "v=2"]
+    assert [p.name for p in (world.path / "work" / "stage").iterdir()] == ["batch=2"]
+
+
+def test_rows_are_not_exchanged_by_job(spark, tmp_path):
+    """One job may own most rows: they meet their job by broadcast."""
+    jobs = staged(spark.createDataFrame(
+        [("j", "u_x__", None, 0, 0)], "job_id string, namespace_prefix string, "
+        "timestamp timestamp, partition int, offset bigint"), str(tmp_path / "jobs"))
+    failed = staged(spark.createDataFrame([], "id string"), str(tmp_path / "failed"))
+    typed = staged(quality_rows(spark, BEFORE).selectExpr("'j' id", "*", "'' _bad"),
+                   str(tmp_path / "typed"))
+    rows = imp.rows_to_merge(QUALITY_IMPORTER, jobs, typed, failed)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "hashpartitioning(id" not in plan
+
+
 def test_namespaces_are_kept_apart(world):
     a, b = user(world) + "a", user(world) + "b"
     world.job("1", a, {"1/quality_report.tsv": [line("K")]})

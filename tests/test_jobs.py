@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobloom.operators import jobs as j, route as r
+from jobloom.operators.publish import staged
 from jobloom.schemas import JOB
 from jobloom.sources import registry as reg
 
@@ -65,6 +66,17 @@ def test_routes_after_the_joins(spark):
     assert lost == {"e", None}
 
 
+def test_job_table_is_cut_to_a_small_set_of_ids(spark, tmp_path):
+    """Few ids are broadcast to the scan of the job table; ids of unknown size are not."""
+    heads = spark.range(1000).select(F.col("id").cast("string").alias("id"))
+    ids = spark.createDataFrame([("7",), ("x",)], "job_id string")
+    assert j.asked_for(heads, ids) is heads
+    few = j.asked_for(heads, staged(ids, str(tmp_path / "ids")))
+    assert [r.id for r in few.collect()] == ["7"]
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_registry_files(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"image": "i", "py_module": "m",\n "importer_meta": {"x": 1}}')
     (tmp_path / "b.json").write_text('{"image": "i", "py_module": "n"}')
