@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from jobloom.operators.merge import UPDATE, merge
+from jobloom.sources.tables import empty_table
 
 # Table formats that take row-level changes in place.
 ROW_LEVEL = {"delta", "iceberg", "hudi"}
@@ -94,7 +95,7 @@ def base_version(spark: SparkSession, location: str, before: int,
     """The newest version older than `before`, an empty table if there is none."""
     earlier = [v for v in complete_versions(spark, location) if v < before]
     if not earlier:
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     return read_version(spark, location, earlier[-1], schema)
 
 

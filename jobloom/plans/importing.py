@@ -11,6 +11,7 @@ from jobloom.operators.latest import ARRIVAL, repeated_keys, winning_rows
 from jobloom.operators.merge import UPDATE
 from jobloom.schemas import STRING, shape
 from jobloom.sources.files import missing_paths, path_slices, scan_delimited
+from jobloom.sources.tables import empty_table
 
 PREFIX = "namespace_prefix"
 
@@ -131,15 +132,22 @@ def stage_typed(spark: SparkSession, importer: Importer, jobs: DataFrame, files:
     rows_path, lost_path = f"{stage}/rows", f"{stage}/missing"
     columns = [StructField("id", STRING), *importer.schema, StructField("_bad", STRING)]
     schema = StructType(columns)
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(rows_path)
-    spark.createDataFrame([], LOST).write.mode("overwrite").parquet(lost_path)
+    rows_mode = lost_mode = "overwrite"
     for paths in path_slices(files.select("file"), slice_size):
         gone = set(missing_paths(spark, [root + p for p in paths]))
         there = [root + p for p in paths if root + p not in gone]
         if there:
             raw = scan_delimited(spark, there, importer.file_columns, importer.sep)
-            typed_rows(importer, jobs, files, raw, root).write.mode("append").parquet(rows_path)
+            typed_rows(importer, jobs, files, raw, root).write.mode(rows_mode).parquet(rows_path)
+            rows_mode = "append"
         if gone:
             lost = [(p,) for p in paths if root + p in gone]
-            spark.createDataFrame(lost, LOST).write.mode("append").parquet(lost_path)
-    return spark.read.schema(schema).parquet(rows_path), spark.read.schema(LOST).parquet(lost_path)
+            spark.createDataFrame(lost, LOST).write.mode(lost_mode).parquet(lost_path)
+            lost_mode = "append"
+
+    def written(path: str, mode: str, schema: StructType) -> DataFrame:
+        if mode == "overwrite":  # nothing was
+            return empty_table(spark, schema)
+        return spark.read.schema(schema).parquet(path)
+
+    return written(rows_path, rows_mode, schema), written(lost_path, lost_mode, LOST)

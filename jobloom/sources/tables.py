@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -11,6 +11,12 @@ def literal_rows(spark: SparkSession, rows: list, schema: StructType) -> DataFra
     return spark.createDataFrame(rows, schema)
 
 
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, which the optimizer knows: unions and joins with it fall away."""
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).filter(F.lit(False)).select(*none)
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

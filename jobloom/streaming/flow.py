@@ -21,7 +21,7 @@ from jobloom.operators.publish import (
 from jobloom.plans import importing as imp
 from jobloom.schemas import EMPLOYEES, FAILURE, RECORD, STATUS_CHANGE
 from jobloom.sources.events import Topic, stream_events
-from jobloom.sources.tables import create_namespace
+from jobloom.sources.tables import create_namespace, empty_table
 
 Table = Callable[[], DataFrame]
 
@@ -138,7 +138,7 @@ class Ingest:
         spark = events.sparkSession
         try:
             rows, failed = self._stage_import(importer, events, batch_id, "all")
-            raised = spark.createDataFrame([], FAILURE)
+            raised = empty_table(spark, FAILURE)
         except Exception:
             raised = spark.createDataFrame(self._culprits(importer, events, batch_id), FAILURE)
             sound = events.join(raised.select(F.col("id").alias("job_id")), "job_id", "left_anti")
@@ -191,7 +191,7 @@ class Ingest:
         start_rows = _changes(starts, F.lit(st.START), batch_id, 0, began)
         dlq.write_batch(start_rows, f"{self.status}/step=start", batch_id)
 
-        failed = spark.createDataFrame([], FAILURE)
+        failed = empty_table(spark, FAILURE)
         known = {i.name: i for i in self.importers}
         for row in importable.select("module").distinct().collect():
             mine = importable.filter(F.col("module") == row.module)
