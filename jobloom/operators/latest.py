@@ -15,8 +15,9 @@ def any_null(keys: list[str]) -> Column:
 
 
 def winning_rows(rows: DataFrame, keys: list[str], keep: str = "last",
-                 order: list[str] | None = None) -> DataFrame:
+                 order: list[str] | None = None, ties: bool = True) -> DataFrame:
     """All rows of the last (or first) event of each key; rows with a NULL key all pass.
+    Without `ties`, one row per key (and for NULL keys, per event and map task).
 
     The filter on the rank makes Spark keep only the best rows of each map task before the
     exchange, so a hot key moves little. NULL keys never match each other: their rows are
@@ -32,7 +33,8 @@ def winning_rows(rows: DataFrame, keys: list[str], keep: str = "last",
         )
         groups.append("_null_group")
     by = [F.col(o).desc() if keep == "last" else F.col(o).asc() for o in order]
-    rank = F.rank().over(Window.partitionBy(*groups).orderBy(*by))
+    number = F.rank() if ties else F.row_number()
+    rank = number.over(Window.partitionBy(*groups).orderBy(*by))
     return (
         rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "_null_group", "_task")
     )

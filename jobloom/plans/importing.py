@@ -23,9 +23,9 @@ _BAD_NAMESPACE, _MISSING_FILE, _NO_FILES, _BAD_CELL, _REPEATED = range(5)
 
 def winning_jobs(events: DataFrame, mode: str) -> DataFrame:
     """One event per job: a job's outputs are the same for all of its events, so only the
-    last one (first, if matched rows stay) can decide a row."""
+    last one (first, if matched rows stay) can decide a row. Events have a job id here."""
     keep = "last" if mode == UPDATE else "first"
-    return winning_rows(events, ["job_id"], keep)
+    return winning_rows(events, ["job_id"], keep, ties=False)
 
 
 def owned_files(importer: Importer, jobs: DataFrame, outputs: DataFrame) -> DataFrame:

@@ -146,10 +146,10 @@ class Ingest:
         prefixes = [row[0] for row in rows.select(imp.PREFIX).distinct().collect()]
 
         def merge_one(prefix: str) -> None:
-            create_namespace(spark, prefix + importer.namespace)
+            create_namespace(spark, prefix + importer.namespace, self._place(prefix, importer))
             source = rows.filter(F.col(imp.PREFIX) == prefix).drop(imp.PREFIX)
             merge_and_publish(
-                spark, importer.table_name(prefix), self._table_path(prefix, importer),
+                spark, importer.table_name(prefix), f"{self._place(prefix, importer)}/{importer.table}",
                 importer.schema, importer.keys, [(source, importer.mode)], batch_id,
                 self.keep_versions,
             )
@@ -159,8 +159,8 @@ class Ingest:
         trace = F.concat(F.lit("ImportError: "), F.col("error"))
         return failed.select("id", "error", trace.alias("trace")).unionByName(raised)
 
-    def _table_path(self, prefix: str, importer: Importer) -> str:
-        return f"{self.tables}/{prefix}{importer.namespace}/{importer.table}"
+    def _place(self, prefix: str, importer: Importer) -> str:
+        return f"{self.tables}/{prefix}{importer.namespace}"
 
     def run_control(self, events: DataFrame, batch_id: int) -> None:
         """Apply control events; their failures only go to the audit table."""
@@ -172,10 +172,10 @@ class Ingest:
             (staged(source, self._stage(batch_id, f"control_{mode}")), mode)
             for source, mode in employees.merge_steps(rows, failed)
         ]
-        create_namespace(spark, self.control_namespace)
+        place = f"{self.tables}/{self.control_namespace}"
+        create_namespace(spark, self.control_namespace, place)
         merge_and_publish(
-            spark, f"`{self.control_namespace}`.`employees`",
-            f"{self.tables}/{self.control_namespace}/employees", EMPLOYEES,
+            spark, f"`{self.control_namespace}`.`employees`", f"{place}/employees", EMPLOYEES,
             employees.KEYS, steps, batch_id, self.keep_versions,
         )
 

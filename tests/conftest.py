@@ -13,7 +13,8 @@ from jobloom import build_session  # noqa: E402
 def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
     session = build_session("tests", cores=4, warehouse=warehouse,
-                            extra={"spark.sql.shuffle.partitions": "4"})
+                            extra={"spark.sql.shuffle.partitions": "2",
+                                   "spark.default.parallelism": "2"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -20,9 +20,8 @@ def connect(sf_dir: str):
 
 
 def _cell(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
-    return v
+    """Values as they are; only NaN needs a form that equals itself."""
+    return "nan" if isinstance(v, float) and math.isnan(v) else v
 
 
 def _bag(columns, rows) -> Counter:

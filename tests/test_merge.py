@@ -70,6 +70,11 @@ def test_rows_of_one_event_tie(spark):
     assert bag(winning_rows(rows, ["k"]).select("v")) == [("x",), ("y",)]
 
 
+def test_one_row_of_an_event_without_ties(spark):
+    rows = events(spark, [(1, "x", 5), (1, "x", 5), (1, "z", 4), (2, "y", 1)])
+    assert bag(winning_rows(rows, ["k"], ties=False).select("k", "v")) == [(1, "x"), (2, "y")]
+
+
 def test_repeated_keys_pass_over_nulls(spark):
     rows = events(spark, [(1, "x", 5), (1, "y", 5), (1, "z", 4), (None, "a", 5), (None, "b", 5)])
     assert bag(repeated_keys(rows, ["offset"], ["k"])) == [(5, 1, 2)]
