@@ -104,7 +104,7 @@ def write_archives(records: DataFrame, folder: str,
             for row in batch.to_pylist():
                 if stream is None:
                     path, count, size = f"{place}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    stream = files.open_output_stream(path)
+                    stream = files.open_output_stream(path, compression=None)
                 member = record_bytes(row["id"], row["url"], row["payload"], row["digest"],
                                       row["refers_to"])
                 stream.write(member)
