@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import bitslice, leaks, mixing, tokencount, warc
+from jobloom.llm import bitslice, leaks, mixing, ngramjoin, substrings, tokencount, warc
 from jobloom.llm.ship import ship_package
 
 
@@ -103,6 +103,58 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 FROM p LEFT JOIN g USING (d)
 """
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngramjoin.similar_components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+OP7 = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + least(len(w), 4) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS k
+            FROM doc WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+         FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pair JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+         WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT x AS a, x AS b FROM both_ways
+          UNION SELECT reach.a, both_ways.y FROM reach JOIN both_ways ON both_ways.x = reach.b)
+SELECT doc.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+  coalesce(r.c, doc.doc_id) AS component_id
+FROM doc LEFT JOIN n ON n.doc_id = doc.doc_id
+LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = doc.doc_id
+"""
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.kept_words(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP9 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+win AS (SELECT r, k, array_to_string(w[k:k + 34], ' ') AS g
+        FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS k FROM doc WHERE len(w) >= 35)),
+again AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(k, k + 35)) AS p FROM win SEMI JOIN again USING (g)),
+word AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM doc),
+kept AS (SELECT word.r, count(*) FILTER (gone.p IS NOT NULL) AS n_removed,
+           coalesce(string_agg(x, ' ' ORDER BY word.p) FILTER (gone.p IS NULL), '') AS t
+         FROM word LEFT JOIN gone ON gone.r = word.r AND gone.p = word.p GROUP BY word.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_mix_sources, op3_decontaminate, op4_top_k, op5_warc)}
-ORACLE = {"op3_decontaminate": OP3, "op4_top_k": OP4, "op5_warc": OP5}
+    op1_token_counts, op2_mix_sources, op3_decontaminate, op4_top_k, op5_warc, op7_ngram_join,
+    op9_substring_dedup)}
+ORACLE = {"op3_decontaminate": OP3, "op4_top_k": OP4, "op5_warc": OP5, "op7_ngram_join": OP7,
+          "op9_substring_dedup": OP9}
