@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import bitslice, leaks, mixing, ngramjoin, substrings, tokencount, warc
+from jobloom.llm import (
+    bitslice, langid, leaks, maintext, mixing, ngramjoin, quality, substrings, tokencount, warc,
+)
 from jobloom.llm.ship import ship_package
 
 
@@ -153,8 +155,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM doc LEFT JOIN kept USING (r)
 """
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(_table(spark, sf_dir, "pages"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_mix_sources, op3_decontaminate, op4_top_k, op5_warc, op7_ngram_join,
-    op9_substring_dedup)}
+    op1_token_counts, op2_mix_sources, op3_decontaminate, op4_top_k, op5_warc, op6_language,
+    op7_ngram_join, op8_main_text, op9_substring_dedup, op10_quality)}
 ORACLE = {"op3_decontaminate": OP3, "op4_top_k": OP4, "op5_warc": OP5, "op7_ngram_join": OP7,
           "op9_substring_dedup": OP9}
