@@ -79,6 +79,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Words:
     """Maximal runs of bytes that are no separator, never across rows."""
 

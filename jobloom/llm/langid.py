@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from jobloom.llm.batches import Texts, map_texts, texts_of
 
@@ -37,6 +36,8 @@ SMOOTHING = 0.5
 # Log-likelihood that a further language must gain per doubling of the text.
 PENALTY = 2.0
 UNKNOWN = "und"
+# Bytes of text inferred at once.
+SLICE = 1 << 20
 
 
 @functools.cache
@@ -184,21 +185,21 @@ def in_fold(key: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
-    """All columns of docs with lang_pred and score; extra columns named so are replaced."""
+def predict(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, lang_pred and score of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("lang_pred", "score")
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()),
-                         StructField("score", DoubleType())])
+    kind = docs.schema[key].dataType.simpleString()
 
     def work(slices):
         for t in slices:
             names, scores = shared.value.predict(t)
             yield pa.RecordBatch.from_arrays(
-                [*t.batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*t.batch.schema.names, "lang_pred", "score"])
+                [t.values("_key"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=["_key", "lang_pred", "score"])
 
-    return map_texts(docs, text, schema, work, limit=1 << 20)
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    found = map_texts(rows, "_text", f"_key {kind}, lang_pred string, score double", work, SLICE)
+    return found.withColumnRenamed("_key", key)
 
 
 def identify(docs: DataFrame, parts: int = 3, held_out: int = 1, *, key: str = "doc_id",
@@ -207,19 +208,24 @@ def identify(docs: DataFrame, parts: int = 3, held_out: int = 1, *, key: str = "
     out = in_fold(F.col(key), parts, held_out)
     learn = docs.filter(F.col(key).isNotNull() & ~out)
     model = train(learn, text=text, lang=lang)
-    rows = docs.select(F.col(key).alias("_key"), out.alias("held_out"), F.col(text).alias("_text"))
-    found = predict(rows, model, text="_text")
-    return found.select(F.col("_key").alias(key), "held_out", "lang_pred", "score")
+    found = predict(docs, model, key=key, text=text)
+    return found.select(key, in_fold(F.col(key), parts, held_out).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.0, **columns: str) -> DataFrame:
+def keep_identified(docs: DataFrame, least: float = 0.0, parts: int = 3, held_out: int = 1, *,
+                    key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents in a known language with a score of at least `least`, with all columns.
 
     Those without a letter go.
     """
-    key, text, lang = (columns.get(c, d) for c, d in (("key", "doc_id"), ("text", "text"), ("lang", "lang")))
-    out = in_fold(F.col(key), 3, 1)
+    out = in_fold(F.col(key), parts, held_out)
     model = train(docs.filter(F.col(key).isNotNull() & ~out), text=text, lang=lang)
-    named = docs.select("*", F.col(text).alias("_text"))
-    found = predict(named, model, text="_text")
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(slices):
+        for t in slices:
+            names, scores = shared.value.predict(t)
+            keep = (np.array(names) != UNKNOWN) & (scores >= least)
+            yield t.batch.filter(pa.array(keep))
+
+    return map_texts(docs, text, docs.schema, work, SLICE)

@@ -173,3 +173,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     return placed.join(taken, same, "left").select(
         F.col("doc_id").alias(key), "h", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+
+
+def mix_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents that the mix takes words of, with size, source_size, target and taken.
+
+    Columns of docs with these names are replaced. Rows that repeat both id and text each get the
+    largest of their takes.
+    """
+    made = ("size", "source_size", "target", "taken")
+    found = mix(docs, key=key, text=text, **options).groupBy("h").agg(
+        *(F.max(c).alias(c) for c in made)).withColumnRenamed("h", "_h").filter("taken > 0")
+    rows = docs.drop(*made)
+    return rows.join(found, F.xxhash64(rows[key], rows[text]) == found["_h"]).drop(found["_h"])

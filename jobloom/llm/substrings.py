@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from jobloom.llm.batches import (
-    Texts, Words, _powers_to, long_run_hashes, map_texts, mix, run_hashes, word_hashes,
+    Texts, Words, _powers_to, free_name, long_run_hashes, map_texts, mix, run_hashes, word_hashes,
 )
 from jobloom.session import shared_dir
 
@@ -356,20 +356,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *, k
                    text: str = "text", **options) -> DataFrame:
     """The rows with the repeated words cut out of their text; the white space before a word goes
     with it. A row that loses nothing keeps its text to the letter."""
-    names = docs.columns
-    held = docs.select("*", _row_key(docs, key, text).alias("_doc"))
-    repeats = Repeats(held.select(F.col("_doc").alias("doc"), F.col(text).alias("text")), window,
+    doc, own = free_name(docs, "_doc"), free_name(docs, "_spans")
+    held = docs.withColumn(doc, _row_key(docs, key, text))
+    repeats = Repeats(held.select(F.col(doc).alias("doc"), F.col(text).alias("text")), window,
                       gram, **options)
-    found = repeats.spans().select(F.col("doc").alias("_found"), F.col("spans").alias("_spans"))
+    found = repeats.spans().select(F.col("doc").alias("_found"), F.col("spans").alias(own))
     small = found.count() <= BROADCAST_ROWS
     found = F.broadcast(found) if small else found
-    joined = held.join(found, held["_doc"] == found["_found"], "left").drop("_doc", "_found")
+    joined = held.join(found, held[doc] == found["_found"], "left").select(*docs.columns, own)
 
     def work(slices):
         for t in slices:
             words, raw = Words(t), t.data.tobytes()
             texts = []
-            for row, spans in enumerate(t.values("_spans").to_pylist()):
+            for row, spans in enumerate(t.values(own).to_pylist()):
                 low, high = int(t.offsets[row]), int(t.offsets[row + 1])
                 if not spans:
                     texts.append(raw[low:high])
@@ -379,11 +379,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *, k
                 cuts = [low, *words.ends[a:b].tolist()]
                 pieces = [raw[x:y] for x, y, g in zip(cuts, cuts[1:], gone) if not g]
                 texts.append(b"".join([*pieces, raw[cuts[-1]:high]]).lstrip())
-            own = pa.array(texts, pa.binary()).cast(pa.string())
+            cut = pa.array(texts, pa.binary()).cast(pa.string())
             valid = t.values(text).is_valid()
             at = t.batch.schema.get_field_index(text)
             columns = list(t.batch.columns)
-            columns[at] = pc.if_else(valid, own, pa.scalar(None, pa.string()))
+            columns[at] = pc.if_else(valid, cut, pa.scalar(None, pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=t.batch.schema.names)
 
-    return map_texts(joined, text, joined.schema, work).select(*names)
+    return map_texts(joined, text, joined.schema, work).drop(own)
