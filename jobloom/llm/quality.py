@@ -203,7 +203,7 @@ def fit(docs: DataFrame, labelled: DataFrame, vectors, sample: int = SAMPLE) ->
     found = map_texts(rows, "text", f"key {kind}, label double, x array<float>", work)
     # Rows that repeat a key count once; the order makes the fit the same on each run.
     found = found.dropDuplicates(["key"]).toPandas().sort_values("key")
-    x = np.array(found["x"].tolist(), np.float64).reshape(len(found), -1)
+    x = np.stack(found["x"].tolist()).astype(float) if len(found) else np.empty((0, DIMS))
     return Network(x, found["label"].to_numpy(float))
 
 
