@@ -151,6 +151,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID:
             continue
         if closing:
+            in_link = 0  # a link that was left open ends with the block
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     del stack[i:]
