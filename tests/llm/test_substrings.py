@@ -62,11 +62,15 @@ def test_against_plain(spark, window, gram, options):
     assert sorted(map(tuple, found), key=str) == plain(rows, window)
 
 
-def test_joined_instead_of_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(s, "BROADCAST_ROWS", 0)
+def test_joined_instead_of_broadcast(spark):
     rows = corpus()
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
-    assert sorted(map(tuple, s.kept_words(df, 12, 4).collect()), key=str) == plain(rows, 12)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, s.kept_words(df, 12, 4).collect()), key=str) == plain(rows, 12)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_cut_texts(spark):
