@@ -44,8 +44,6 @@ WINDOW = 35
 GRAM = 8
 SHARD_WORDS = 50_000
 SHARD_RUNS = 500
-# Broadcast what documents need up to so many rows, join it beyond.
-BROADCAST_ROWS = 1_000_000
 _PLACE = np.uint64((1 << 28) - 1)
 
 RUN = "doc bigint, anchor bigint, run bigint, first int, last int"
@@ -192,13 +190,17 @@ def _shard_spans(window: int, shard_words: int):
                 (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["anchor", "run", "low", "high"])
 
     def work(batches):
-        shard, size, anchor = [], 0, None
+        shard, size, anchor, known = [], 0, None, set()
         for batch in batches:
             for row in batch.to_pylist():
-                if row["anchor"] != anchor and size >= shard_words:
-                    yield flush(shard)
-                    shard, size = [], 0
-                anchor = row["anchor"]
+                if row["anchor"] != anchor:
+                    if size >= shard_words:
+                        yield flush(shard)
+                        shard, size = [], 0
+                    anchor, known = row["anchor"], set()
+                if row["run"] in known:
+                    continue
+                known.add(row["run"])
                 words = np.frombuffer(row["words"], np.int64).tolist()
                 shard.append((anchor, row["run"], words, row["weight"]))
                 size += len(words)
@@ -222,17 +224,13 @@ class Repeats:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
-    def _with(self, wanted: DataFrame, how: str) -> DataFrame:
-        """Documents joined to what is wanted of them."""
-        small = wanted.count() <= BROADCAST_ROWS
-        return self.docs.join(F.broadcast(wanted) if small else wanted, "doc", how)
-
     def _reference(self, kinds: DataFrame) -> DataFrame:
-        """The words of the distinct runs."""
+        """The words of the distinct runs. Rows that repeat a document repeat its runs."""
         window = self.window
         asked = F.collect_list(F.struct("anchor", "run", "first", "last", "weight")).alias("asked")
         wanted = self.written(kinds.groupBy("doc").agg(asked), "asked")
-        docs = self._with(wanted, "inner").dropDuplicates(["doc"]).select("doc", "text", "asked")
+        # Spark broadcasts what is wanted where its size is known to be small.
+        docs = self.docs.join(wanted, "doc").select("doc", "text", "asked")
 
         def work(slices):
             for t in slices:
@@ -271,7 +269,8 @@ class Repeats:
 
         windows = reference.mapInArrow(
             work, "anchor bigint, run bigint, weight bigint, low int, key bigint")
-        windows = self.written(windows, "windows")
+        windows = self.written(windows.groupBy("anchor", "run", "low", "key").agg(
+            F.max("weight").alias("weight")), "windows")
         again = windows.groupBy("key").agg(F.sum("weight").alias("n")).filter("n > 1").select("key")
         return windows.join(again, "key").select("anchor", "run", "low", F.col("low").alias("high"))
 
@@ -325,8 +324,7 @@ def kept_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *, key:
                        _row_key(docs, key, text).alias("doc"))
     repeats = Repeats(rows.select("doc", "text"), window, gram, **options)
     found = repeats.spans()
-    small = found.count() <= BROADCAST_ROWS
-    joined = rows.join(F.broadcast(found) if small else found, "doc", "left")
+    joined = rows.join(found, "doc", "left")
     kind = docs.schema[key].dataType.simpleString()
 
     def work(slices):
@@ -361,8 +359,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, *, k
     repeats = Repeats(held.select(F.col(doc).alias("doc"), F.col(text).alias("text")), window,
                       gram, **options)
     found = repeats.spans().select(F.col("doc").alias("_found"), F.col("spans").alias(own))
-    small = found.count() <= BROADCAST_ROWS
-    found = F.broadcast(found) if small else found
     joined = held.join(found, held[doc] == found["_found"], "left").select(*docs.columns, own)
 
     def work(slices):
