@@ -46,7 +46,7 @@ FRAGMENTS = 4
 COUNTER_BITS = 20
 SLICES = 64
 SALTS = 1024
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 500_000
 PIVOTS = 3
 
 
@@ -164,14 +164,15 @@ def signatures(docs: DataFrame, shared, n: int, percent: int) -> DataFrame:
 
 
 def segments(docs: DataFrame, shared, n: int) -> DataFrame:
-    """(class, fragment, size, grams): the sets cut at the order's cuts, sorted by hash."""
+    """(class, fragment, size, grams): the sets cut at the order's cuts, sorted by hash. Texts of
+    other classes than the row says are left out."""
     def work(slices):
         order = shared.value
         for t in slices:
             out = [[], [], [], []]
-            for grams in ngram_sets(t, n):
+            for grams, wanted in zip(ngram_sets(t, n), t.values("class").to_pylist()):
                 name, part = class_hash(grams), order.fragment(grams)
-                for f in np.unique(part).tolist():
+                for f in np.unique(part).tolist() if name == wanted else ():
                     for column, value in zip(out, (name, f, len(grams), grams[part == f].tobytes())):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -185,7 +186,7 @@ def segments(docs: DataFrame, shared, n: int) -> DataFrame:
 def _overlaps(batches):
     """Common n-grams of two segments of one fragment."""
     for batch in batches:
-        left, right = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+        left, right = batch.column(5).to_pylist(), batch.column(6).to_pylist()
         known: dict[bytes, np.ndarray] = {}
         common = []
         for x, y in zip(left, right):
@@ -194,8 +195,8 @@ def _overlaps(batches):
             common.append(len(np.intersect1d(np.frombuffer(x, np.uint64), known[y],
                                              assume_unique=True)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), batch.column(3),
-             pa.array(common, pa.int64())], ["a", "b", "size_a", "size_b", "common"])
+            [*batch.columns[:5], pa.array(common, pa.int64())],
+            ["a", "b", "size_a", "size_b", "fragment", "common"])
 
 
 def similar(pairs: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
@@ -205,8 +206,11 @@ def similar(pairs: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
     right = cut.select(F.col("class").alias("b"), "fragment", F.col("size").alias("size_b"),
                        F.col("grams").alias("grams_b"))
     met = pairs.join(left, "a").join(right, ["b", "fragment"]).select(
-        "a", "b", "size_a", "size_b", "grams_a", "grams_b")
-    parts = met.mapInArrow(_overlaps, "a bigint, b bigint, size_a int, size_b int, common bigint")
+        "a", "b", "size_a", "size_b", "fragment", "grams_a", "grams_b")
+    parts = met.mapInArrow(
+        _overlaps, "a bigint, b bigint, size_a int, size_b int, fragment int, common bigint")
+    # Repeated rows of a class repeat a fragment.
+    parts = parts.groupBy("a", "b", "size_a", "size_b", "fragment").agg(F.max("common").alias("common"))
     common = F.sum("common")
     return (parts.groupBy("a", "b", "size_a", "size_b").agg(common.alias("common"))
             .filter(F.col("common") * 100 >= F.lit(percent) * (
@@ -234,13 +238,13 @@ class Join:
         self.folder = shared_dir(self.spark, "ngram-join")
         source = docs.select(F.col(key).cast("bigint").alias("_id"), F.col(text).alias("_text"))
         order = GlobalOrder(frequency_table(source.select("_text"), n), fragments)
-        shared = self.spark.sparkContext.broadcast(order)
-        self.docs = self.written(signatures(source, shared, n, percent), "signatures")
+        self.shared = self.spark.sparkContext.broadcast(order)
+        self.source, self.n, self.cuts = source, n, []
+        self.docs = self.written(signatures(source, self.shared, n, percent), "signatures")
         sets = self.docs.filter("size > 0 and doc_id is not null")
         self.classes = self.written(
             sets.groupBy("class").agg(F.min("doc_id").alias("first")), "classes")
         self.members = self.written(self._buckets(sets), "buckets")
-        self.cut = self.written(self._cut(source, shared, n), "segments")
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.folder}/{name}")
@@ -255,12 +259,23 @@ class Join:
                   .filter("first <> last").select("gram", "first"))
         return rows.join(shared, "gram")
 
-    def _cut(self, source: DataFrame, shared, n: int) -> DataFrame:
-        ids = self.members.select("class").distinct().join(self.classes, "class")
-        ids = self.written(ids.select(F.col("first").alias("_id")).distinct(), "candidates")
+    def _cut(self, pairs: DataFrame, step: int) -> DataFrame:
+        """The segments of the classes of these pairs; those of earlier steps are kept."""
+        ids = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+        for earlier in self.cuts:
+            ids = ids.join(earlier.select("class").distinct(), "class", "left_anti")
+        ids = ids.join(self.classes, "class").select("class", F.col("first").alias("_id"))
+        ids = self.written(ids, f"candidates-{step}")
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-        cut = segments(source.join(wanted, "_id", "left_semi"), shared, n)
-        return cut.dropDuplicates(["class", "fragment"])
+        cut = segments(self.source.join(wanted, "_id"), self.shared, self.n)
+        self.cuts.append(self.written(cut, f"segments-{step}"))
+        out = self.cuts[0]
+        for more in self.cuts[1:]:
+            out = out.union(more)
+        return out
+
+    def _similar(self, pairs: DataFrame, step: int) -> DataFrame:
+        return self.written(similar(pairs, self._cut(pairs, step), self.percent), f"links-{step}")
 
     def _labelled(self, labels: DataFrame) -> DataFrame:
         """Buckets whose classes are in several components, with the components."""
@@ -281,7 +296,7 @@ class Join:
         differ = F.col("x.class") != F.col("y.class")
         first = self.members.filter(F.col("class") == F.col("first"))
         pairs = self.written(self._paired(self.members, first, differ), "pairs-1")
-        found = self.written(similar(pairs, self.cut, self.percent), "links-1")
+        found = self._similar(pairs, 1)
         tried, links = pairs, found
 
         other = F.col("x.label") != F.col("y.label")
@@ -294,14 +309,14 @@ class Join:
         some = rows.join(chosen, "gram").filter(is_chosen).select(*rows.columns)
         pairs = self._paired(rows, some, other).join(tried, ["a", "b"], "left_anti")
         pairs = self.written(pairs, "pairs-2")
-        found = self.written(similar(pairs, self.cut, self.percent), "links-2")
+        found = self._similar(pairs, 2)
         tried, links = tried.union(pairs), links.union(found)
 
         rows = self.written(self._labelled(components(links)), "labelled-3")
         apart = other & (F.col("x.class") > F.col("y.class"))
         pairs = self._paired(rows, rows, apart).join(tried, ["a", "b"], "left_anti")
         pairs = self.written(pairs, "pairs-3")
-        found = self.written(similar(pairs, self.cut, self.percent), "links-3")
+        found = self._similar(pairs, 3)
         return links.union(found)
 
     def result(self) -> DataFrame:
