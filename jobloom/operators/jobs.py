@@ -13,6 +13,8 @@ from jobloom.sources.files import FILE_COLUMN, bare_path
 # Up to this many jobs with large outputs are broadcast (an id and a number each).
 BROADCAST_JOBS = 200_000
 SALTS = 256
+# Fixed value: text for a job that has not completed.
+NOT_COMPLETE_TEXT = "No complete event found for job "
 
 
 def _with_parts(files: DataFrame, large: DataFrame) -> DataFrame:
@@ -87,15 +89,19 @@ def completion_time(transitions: Column) -> Column:
 
 def import_record(headers: DataFrame) -> DataFrame:
     """What an importer is told about a job, outputs excepted."""
-    return headers.select(
-        "id",
+    return headers.select(*import_columns())
+
+
+def import_columns() -> list[Column]:
+    return [
+        F.col("id"),
         namespace_prefix(F.col("user")).alias("namespace_prefix"),
         F.col("image.name").alias("image"),
         F.col("image.digest").alias("image_digest"),
-        "input_file_count",
-        "output_file_count",
+        F.col("input_file_count"),
+        F.col("output_file_count"),
         F.try_to_timestamp(completion_time(F.col("transition_times"))).alias("completion_time"),
-    )
+    ]
 
 
 def asked_for(headers: DataFrame, ids: DataFrame) -> DataFrame:
@@ -109,12 +115,39 @@ def asked_for(headers: DataFrame, ids: DataFrame) -> DataFrame:
     return headers.join(ids.select(F.col("job_id").alias("id")), "id", "left_semi")
 
 
+def job_fault() -> Column:
+    """Why a job cannot be imported by its document, NULL if it can."""
+    done = completion_time(F.col("transition_times"))
+    unreadable = F.try_to_timestamp(done).isNull()
+    job = F.concat(F.lit(" job "), F.col("id"))
+    return (
+        F.when(done.isNull(), F.concat(F.lit(NOT_COMPLETE_TEXT), F.col("id")))
+        .when(unreadable, F.concat(F.lit("Unreadable completion time of"), job, F.lit(": "), done))
+        .when(namespace_prefix(F.col("user")).isNull(), F.concat(F.lit("No user in the document of"), job))
+        .when(F.col("image.name").isNull(), F.concat(F.lit("No image in the document of"), job))
+    )
+
+
+def one_per_job(headers: DataFrame) -> DataFrame:
+    """The import record of each job with `job_fault`; of a job with several headers one row,
+    which has a fault."""
+    rows = headers.select(*import_columns(), job_fault().alias("job_fault"))
+    several = F.concat(F.lit("More than one document of job "), F.col("id"))
+    own = [c for c in rows.columns if c != "id"]
+    return (
+        rows.groupBy("id").agg(F.min(F.struct(*own)).alias("r"), F.count("*").alias("n"))
+        .select("id", *[F.col(f"r.{c}").alias(c) for c in own if c != "job_fault"],
+                F.when(F.col("n") > 1, several).otherwise(F.col("r.job_fault")).alias("job_fault"))
+    )
+
+
 def enrich(events: DataFrame, headers: DataFrame) -> DataFrame:
-    """Join events to the import record of their job; `job_found` tells hits from misses.
+    """Join events to the import record of their job; `job_found` tells hits from misses and
+    `job_fault` why a job that is there cannot be imported. An event stays one row.
 
     A left join with the events on the left, so AQE can split a hot or NULL job id.
     """
-    record = import_record(headers).withColumnRenamed("id", "_id")
+    record = one_per_job(headers).withColumnRenamed("id", "_id")
     return (
         events.join(record, events["job_id"] == F.col("_id"), "left")
         .withColumn("job_found", F.col("_id").isNotNull())

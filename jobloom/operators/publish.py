@@ -1,7 +1,15 @@
-"""Publishing merged tables."""
+"""Publishing merged tables.
+
+A table without a row-level format is kept as versions, one folder each, and a view that names the
+newest. What a version is built on, which batch wrote it and whether it is whole stands in a state
+file of its own, so nothing depends on the markers of a committer, and versions are numbered on
+from the newest whatever the numbers of batches.
+"""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -11,7 +19,7 @@ from jobloom.sources.tables import empty_table
 # Table formats that take row-level changes in place.
 ROW_LEVEL = {"delta", "iceberg", "hudi"}
 
-# Version of a table that was there before the first batch, which is batch 0.
+# Version of a table that was there before the first batch.
 BASE = -1
 
 
@@ -47,66 +55,130 @@ def _version_path(location: str, version: int) -> str:
     return f"{location.rstrip('/')}/v={version}"
 
 
-def _numbered(spark: SparkSession, location: str, prefix: str) -> tuple[object, dict]:
-    """The file system of a folder, and its subfolders `prefix`<number> by number."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    path = hadoop_path(location)
-    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(path):
-        return fs, {}
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    return fs, {
-        int(n.removeprefix(prefix)): hadoop_path(f"{location}/{n}")
-        for n in sorted(names) if n.startswith(prefix)
-    }
+def _state_path(location: str, version: int) -> str:
+    return f"{location.rstrip('/')}/state/{version}.json"
+
+
+def _place(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def put_json(spark: SparkSession, path: str, value: dict) -> None:
+    """A small file, written aside and then moved, so that it is there whole or not at all."""
+    fs, place = _place(spark, path)
+    _, aside = _place(spark, f"{path}.new")
+    stream = fs.create(aside, True)
+    stream.write(bytearray(json.dumps(value).encode()))
+    stream.close()
+    if fs.exists(place):
+        fs.delete(place, False)
+    if not fs.rename(aside, place):
+        raise OSError(f"could not write {path}")
+
+
+def get_json(spark: SparkSession, path: str) -> dict | None:
+    fs, place = _place(spark, path)
+    if not fs.exists(place):
+        # A writer may have been lost between deleting the old file and moving the new one.
+        fs, place = _place(spark, f"{path}.new")
+        if not fs.exists(place):
+            return None
+    stream = fs.open(place)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, place = _place(spark, path)
+    fs.delete(place, True)
 
 
-def complete_versions(spark: SparkSession, location: str, prefix: str = "v=") -> list[int]:
-    """Numbers of the folders `prefix`<number> that were written to the end, in order."""
-    fs, found = _numbered(spark, location, prefix)
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(n for n, path in found.items() if fs.exists(done(path, "_SUCCESS")))
+def numbered(spark: SparkSession, location: str, prefix: str) -> list[int]:
+    """Numbers of the subfolders `prefix`<number>, in order."""
+    fs, place = _place(spark, location)
+    if not fs.exists(place):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(place)]
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
+def versions(spark: SparkSession, location: str) -> dict[int, dict]:
+    """The states of all versions by number. A version without a state raises: it may hold rows
+    that the next version would lose."""
+    out = {}
+    for number in numbered(spark, location, "v="):
+        state = get_json(spark, _state_path(location, number))
+        if state is None:
+            raise ValueError(f"{_version_path(location, number)} has no state; restore its file "
+                             f"{_state_path(location, number)} or move the folder away")
+        out[number] = state
+    return out
+
+
+def complete_versions(spark: SparkSession, location: str) -> list[int]:
+    """Numbers of the versions that were written to the end, in order."""
+    return [n for n, s in versions(spark, location).items() if s["done"]]
 
 
 def remove_versions(spark: SparkSession, location: str, prefix: str, before: int) -> None:
     """Delete the folders `prefix`<number> with smaller numbers."""
-    fs, found = _numbered(spark, location, prefix)
-    for number, path in found.items():
+    for number in numbered(spark, location, prefix):
         if number < before:
-            fs.delete(path, True)
+            remove(spark, f"{location.rstrip('/')}/{prefix}{number}")
 
 
 def read_version(spark: SparkSession, location: str, version: int, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(_version_path(location, version))
 
 
-def publish_version(df: DataFrame, name: str, location: str, version: int) -> None:
+def write_version(df: DataFrame, location: str, version: int, base: int | None = None,
+                  writer: int | None = None) -> None:
+    """Write a version; it counts once its state says that it is done."""
+    spark = df.sparkSession
+    state = {"version": version, "base": base, "writer": writer}
+    put_json(spark, _state_path(location, version), state | {"done": False})
+    df.write.mode("overwrite").parquet(_version_path(location, version))
+    put_json(spark, _state_path(location, version), state | {"done": True})
+
+
+def point_view(spark: SparkSession, name: str, location: str, version: int, columns: list[str]) -> None:
+    listed = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} "
+              f"FROM parquet.`{_version_path(location, version)}`")
+
+
+def publish_version(df: DataFrame, name: str, location: str, version: int,
+                    base: int | None = None, writer: int | None = None) -> None:
     """Write a table version and point the view `name` at it."""
-    path = _version_path(location, version)
-    df.write.mode("overwrite").parquet(path)
-    columns = ", ".join(f"`{c}`" for c in df.columns)
-    df.sparkSession.sql(
-        f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`"
-    )
+    write_version(df, location, version, base, writer)
+    point_view(df.sparkSession, name, location, version, df.columns)
 
 
-def base_version(spark: SparkSession, location: str, before: int,
-                 schema: StructType) -> DataFrame:
-    """The newest version older than `before`, an empty table if there is none."""
-    earlier = [v for v in complete_versions(spark, location) if v < before]
-    if not earlier:
-        return empty_table(spark, schema)
-    return read_version(spark, location, earlier[-1], schema)
+def expire_versions(spark: SparkSession, location: str, keep: int) -> None:
+    """Delete all but the last `keep` whole versions (the newest always stays) and what was begun
+    before the newest and never finished."""
+    states = versions(spark, location)
+    done = [n for n, s in states.items() if s["done"]]
+    kept = set(done[-max(keep, 1):])
+    for number in states:
+        if number not in kept and number < done[-1]:
+            remove(spark, _version_path(location, number))
+            remove(spark, _state_path(location, number))
 
 
 def merge_and_publish(spark: SparkSession, name: str, location: str, schema: StructType,
                       keys: list[str], steps: list[tuple[DataFrame, str]],
-                      batch_id: int, keep: int = 3) -> None:
+                      batch: int, keep: int = 3) -> None:
     """Merge the sources of a batch, each with its mode, into a table.
 
-    Row-level formats merge in place. Otherwise the batch becomes a version of its own, built
-    on the newest version before it, so that a replayed batch gives the same version again.
-    The last `keep` versions stay, at least two: a replay needs the one before.
+    Row-level formats merge in place. Otherwise the batch becomes a new version, built on the
+    newest one. A batch that is replayed finds its version and leaves it, so that rows with NULL
+    keys come once and what later batches wrote stays. The last `keep` versions stay, at least two.
     """
     format_ = provider(spark, name)
     if format_ in ROW_LEVEL:
@@ -115,9 +187,15 @@ def merge_and_publish(spark: SparkSession, name: str, location: str, schema: Str
         return
     if format_ is not None:
         raise ValueError(f"{name} is a plain {format_} table; publish its rows as version BASE first")
-    table = base_version(spark, location, batch_id, schema)
+    states = versions(spark, location)
+    done = [n for n, s in states.items() if s["done"]]
+    if any(states[n]["writer"] == batch for n in done):
+        point_view(spark, name, location, done[-1], schema.names)
+        return
+    base = done[-1] if done else None
+    table = empty_table(spark, schema) if base is None else read_version(
+        spark, location, base, schema)
     for source, mode in steps:
         table = merge(table, source, keys, mode)
-    publish_version(table, name, location, batch_id)
-    kept = complete_versions(spark, location)[-max(keep, 2):]
-    remove_versions(spark, location, "v=", kept[0])
+    publish_version(table, name, location, max(states, default=BASE) + 1, base, batch)
+    expire_versions(spark, location, max(keep, 2))

@@ -39,8 +39,7 @@ def job_route() -> Column:
     """Route of an importable event after the joins with jobs and registry."""
     return (
         F.when(~F.col("job_found"), NO_JOB)
-        .when(F.col("completion_time").isNull() | F.col("namespace_prefix").isNull()
-              | F.col("image").isNull(), BAD_JOB)
+        .when(F.col("job_fault").isNotNull(), BAD_JOB)
         .when(F.col("module").isNull(), NO_OPERATION)
         .otherwise(IMPORT)
     )

@@ -8,12 +8,13 @@ from pyspark.sql.types import StructField, StructType
 from jobloom.importers.base import Importer
 from jobloom.operators.jobs import rows_with_owner
 from jobloom.operators.latest import ARRIVAL, repeated_keys, winning_rows
-from jobloom.operators.merge import UPDATE
+from jobloom.operators.merge import UPDATE, fits_broadcast
 from jobloom.schemas import STRING, shape
 from jobloom.sources.files import missing_paths, path_slices, scan_delimited
 from jobloom.sources.tables import empty_table
 
 PREFIX = "namespace_prefix"
+SALTS = 64
 
 LOST = shape(file=STRING)
 
@@ -29,9 +30,19 @@ def winning_jobs(events: DataFrame, mode: str) -> DataFrame:
 
 
 def owned_files(importer: Importer, jobs: DataFrame, outputs: DataFrame) -> DataFrame:
-    """The files an importer reads for these jobs, as rows (id, file)."""
+    """The files an importer reads for these jobs, as rows (id, file).
+
+    One job may own most files. Where the jobs are too many to broadcast, both sides are salted,
+    so that no job's files are exchanged to one task.
+    """
     files = outputs.filter(importer.accepts(F.col("file"))).select("id", "file")
-    return files.join(jobs.select(F.col("job_id").alias("id")), "id", "left_semi")
+    ids = jobs.select(F.col("job_id").alias("id"))
+    if fits_broadcast(ids):
+        return files.join(ids, "id", "left_semi")
+    salt = F.pmod(F.xxhash64("file"), F.lit(SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    return files.withColumn("_salt", salt).join(
+        ids.select("id", salts), ["id", "_salt"], "left_semi").drop("_salt")
 
 
 def _failure(df: DataFrame, reason: int, error) -> DataFrame:
@@ -40,7 +51,7 @@ def _failure(df: DataFrame, reason: int, error) -> DataFrame:
 
 def jobs_without_files(importer: Importer, jobs: DataFrame, files: DataFrame) -> DataFrame:
     ids = jobs.select(F.col("job_id").alias("id"))
-    return _failure(ids.join(files.select("id"), "id", "left_anti"), _NO_FILES,
+    return _failure(ids.join(files.select("id").distinct(), "id", "left_anti"), _NO_FILES,
                     F.lit(importer.no_files_error))
 
 

@@ -15,7 +15,7 @@ def shape(nullable: bool = True, **fields: DataType) -> StructType:
     return StructType([StructField(n, t, nullable) for n, t in fields.items()])
 
 
-# One record of an event topic, as the Kafka source yields it.
+# One record of an event topic, as the Kafka source yields it.
 RECORD = shape(
     key=BINARY, value=BINARY, topic=STRING, partition=INT, offset=LONG,
     timestamp=TIMESTAMP, timestampType=INT,
@@ -23,7 +23,7 @@ RECORD = shape(
 
 OUTPUTS = ArrayType(shape(file=STRING, crc64nvme=STRING))
 
-# A job document. Its outputs come in parts of bounded size: a job with few files has the
+# Field names of a job document. Its outputs come in parts of bounded size: a job with few files has the
 # one part 0, a job with many has several rows that repeat the other fields.
 JOB = shape(
     id=STRING, user=STRING, state=STRING,
@@ -49,6 +49,9 @@ DLQ = shape(
 STATUS_CHANGE = shape(job_id=STRING, key=STRING, value=STRING, since=LONG, seq=LONG,
                       step=STRING, batch_id=LONG)
 
+# A folded status: the last change of each key.
+FOLDED = shape(job_id=STRING, key=STRING, value=STRING, since=LONG, seq=LONG)
+
 # A job of a batch that could not be imported.
 FAILURE = shape(id=STRING, error=STRING, trace=STRING)
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from jobloom.importers.quality import QUALITY_IMPORTER
 from jobloom.operators import dlq, status as st
 from jobloom.operators.decode import decode
-from jobloom.operators.publish import BASE, complete_versions, publish_version, staged
+from jobloom.operators.publish import (
+    BASE, complete_versions, merge_and_publish, publish_version, put_json, staged, write_version,
+)
 from jobloom.operators.route import route
 from jobloom.plans import importing as imp
 from jobloom.schemas import EMPLOYEES, QUALITY, RECORD
@@ -17,6 +19,7 @@ from jobloom.sources import events as ev
 from jobloom.sources.files import cast_to_schema
 from jobloom.sources.registry import registry
 from jobloom.sources.tables import create_namespace, literal_rows
+from jobloom.streaming import flow
 from jobloom.streaming.flow import Ingest
 
 HEADER = "\t".join(n for n in QUALITY.names if n != "cts_job_id")
@@ -46,6 +49,7 @@ class World:
     def __init__(self, spark, path, **changes):
         self.spark, self.path = spark, path
         self.jobs, self.outputs, self.offset = [], [], 0
+        self.checkpoint = "checkpoint"
         self.topic = ev.Topic("file", str(path / "topic"), "jobs", max_files_per_trigger=1)
         self.ns = "control_" + path.name.replace("-", "_")
         images = spark.createDataFrame([(IMAGE, "quality_report"), ("img/unknown", "nowhere")],
@@ -85,7 +89,7 @@ class World:
         self.send(*(json.dumps({"job_id": i, "state": "complete"}) for i in ids))
 
     def run(self):
-        query = self.ingest.start(self.spark, self.topic, str(self.path / "checkpoint"),
+        query = self.ingest.start(self.spark, self.topic, str(self.path / self.checkpoint),
                                   every=None)
         query.awaitTermination()
 
@@ -380,3 +384,147 @@ def test_status_keys_are_iso_times(world):
     values = {r.key: r.value for r in world.ingest.job_status(world.spark).collect()}
     assert set(values) == {st.START, st.NO_OPERATION}
     assert all(v.endswith("+00:00") and "T" in v for v in values.values())
+
+
+def test_a_new_checkpoint_on_the_same_folders_keeps_everything(spark, world):
+    who = user(world)
+    for i in "ab":
+        world.job(i, who, {f"{i}/quality_report.tsv": [line(i)]})
+    world.complete("a")
+    world.send("x")
+    world.run()
+    world.checkpoint = "checkpoint-2"  # its batch ids start at 0 again, it reads all messages again
+    world.complete("b")
+    world.run()
+    assert world.names(who) == {"a": "a", "b": "b"}
+    assert world.status() == {i: {"start", "complete"} for i in "ab"}
+    rows = dlq.read_dead_letters(spark, world.ingest.dlq).collect()
+    assert len(rows) == 2 and len({r.batch_id for r in rows}) == 2
+
+
+def test_missing_markers_lose_nothing(spark, world):
+    who = user(world)
+    for i in "ab":
+        world.job(i, who, {f"{i}/quality_report.tsv": [line(i)]})
+    world.complete("a")
+    world.run()
+    for marker in list((world.path / "tables").rglob("*_SUCCESS*")):
+        marker.unlink()
+    world.complete("b")
+    world.run()
+    assert world.names(who) == {"a": "a", "b": "b"}
+
+
+def test_versions_without_state_stop_the_batch(spark, tmp_path):
+    location, rows = str(tmp_path / "t"), literal_rows(spark, [(1, "a")], EMPLOYEES)
+    write_version(rows, location, 0, None, "run/0")
+    put_json(spark, f"{location}/state/0.json", {"version": 0, "done": False})
+    # A version that was begun and not finished is no base and no obstacle.
+    ns = "ns_" + tmp_path.name.replace("-", "_")
+    create_namespace(spark, ns)
+    merge_and_publish(spark, f"{ns}.t", location, EMPLOYEES, ["employee_id"], [(rows, "update")], "run/1")
+    assert complete_versions(spark, location) == [1]
+    (tmp_path / "t" / "state" / "1.json").unlink()
+    with pytest.raises(ValueError, match="no state"):
+        merge_and_publish(spark, f"{ns}.t", location, EMPLOYEES, ["employee_id"], [(rows, "update")], "run/2")
+
+
+def test_a_batch_replayed_after_later_ones_leaves_them(spark, tmp_path):
+    location = str(tmp_path / "t")
+    ns = "ns_" + tmp_path.name.replace("-", "_")
+    create_namespace(spark, ns)
+
+    def publish(number, writer):
+        rows = literal_rows(spark, [(number, writer)], EMPLOYEES)
+        merge_and_publish(spark, f"{ns}.t", location, EMPLOYEES, ["employee_id"], [(rows, "update")], writer)
+
+    for number, writer in enumerate(["a/0", "a/1", "b/0"]):
+        publish(number, writer)
+    publish(1, "a/1")
+    assert sorted(r.employee_id for r in spark.table(f"{ns}.t").collect()) == [0, 1, 2]
+    assert complete_versions(spark, location) == [0, 1, 2]
+
+
+def test_numbers_go_on_across_runs(spark, world):
+    number = lambda run, batch: world.ingest.number(spark, run, batch)
+    assert [number("a", 0), number("a", 1), number("a", 1), number("b", 0), number("a", 1),
+            number("a", 2), number("b", 0)] == [0, 1, 1, 2, 1, 3, 2]
+
+
+def test_one_users_broken_table_fails_only_their_jobs(spark, world):
+    good, bad = user(world) + "g", user(world) + "b"
+    world.job("1", good, {"1/quality_report.tsv": [line("K")]})
+    world.job("2", bad, {"2/quality_report.tsv": [line("K")]})
+    create_namespace(spark, f"u_{bad}__autoimport")
+    spark.sql(f"CREATE TABLE u_{bad}__autoimport.checkm2 (Name STRING) USING parquet")
+    create_namespace(spark, world.ns)
+    spark.sql(f"CREATE TABLE {world.ns}.employees (employee_id INT) USING parquet")
+    world.complete("1", "2")
+    world.send(control([[1, "a"]]))
+    world.run()
+    assert world.names(good) == {"K": "1"}
+    assert world.status() == {"1": {"start", "complete"}, "2": {"start", "error"}}
+    assert "plain parquet table" in world.letters()["2", "dlq_import_error"].error_dlq
+    audit = spark.read.parquet(world.ingest.audit).collect()
+    assert len(audit) == 1 and "plain parquet table" in audit[0].error
+
+
+def test_an_outage_fails_the_batch_and_is_replayed(world, monkeypatch):
+    who = user(world)
+    world.job("a", who, {"a/quality_report.tsv": [line("K")]})
+    world.complete("a")
+    inner = flow.merge_and_publish
+
+    def broken(*args, **options):
+        raise OSError("the store is away")
+
+    monkeypatch.setattr(flow, "merge_and_publish", broken)
+    with pytest.raises(Exception, match="the store is away"):
+        world.run()
+    monkeypatch.setattr(flow, "merge_and_publish", inner)
+    world.run()
+    assert world.names(who) == {"K": "a"} and world.status() == {"a": {"start", "complete"}}
+    assert not world.letters()
+
+
+def test_a_registry_that_is_not_sound_is_refused(spark, tmp_path):
+    twice = spark.createDataFrame([(IMAGE, "m", "a.yaml", None), (IMAGE, "n", "b.yaml", None),
+                                   ("other", "m", "c.yaml", "{broken")],
+                                  "image string, module string, file string, meta string")
+    known = registry(twice, F.col("image"), F.col("module"), F.col("file"), F.col("meta"))
+    world = World(spark, tmp_path, registry=lambda: known)
+    world.job("a", "who", {})
+    world.complete("a")
+    with pytest.raises(Exception, match="in a.yaml and b.yaml") as e:
+        world.run()
+    assert "c.yaml: no meta" in str(e.value)
+
+
+def test_each_fault_of_a_job_has_its_text(world):
+    who = user(world)
+    world.job("twice", who, {"t/quality_report.tsv": [line("K")]})
+    world.jobs.append(world.jobs[-1])
+    world.jobs += [("no_user", None, (IMAGE, "d"), 1, 0, [("complete", TIME)]),
+                   ("no_image", who, (None, "d"), 1, 0, [("complete", TIME)]),
+                   ("bad_time", who, (IMAGE, "d"), 1, 0, [("complete", "soon")]),
+                   ("open", who, (IMAGE, "d"), 1, 0, [("created", TIME)])]
+    world.complete("twice", "no_user", "no_image", "bad_time", "open")
+    world.run()
+    assert {k[0]: v.error_dlq for k, v in world.letters().items()} == {
+        "twice": "More than one document of job twice",
+        "no_user": "No user in the document of job no_user",
+        "no_image": "No image in the document of job no_image",
+        "bad_time": "Unreadable completion time of job bad_time: soon",
+        "open": "No complete event found for job open"}
+    assert world.status() == {}
+
+
+def test_status_stays_bounded(spark, tmp_path):
+    world = World(spark, tmp_path, fold_every=4)
+    world.job("n", "who", {}, image="img/none")
+    for _ in range(14):
+        world.complete("n")
+    world.run()
+    assert world.status() == {"n": {"start", "no_operation"}}
+    changes = list((world.path / "work" / "status_changes").glob("step=*/batch_id=*"))
+    assert len(changes) <= 2 * 5 and len(list((world.path / "work" / "status_folds").glob("v=*"))) <= 2

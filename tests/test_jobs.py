@@ -87,6 +87,11 @@ def test_registry_files(spark, tmp_path):
     assert got == [("i", "m", '{"x":1}'), ("i", "n", "{}")]
     bad = reg.invalid_rows(df).collect()
     assert [x.violations for x in bad] == [["image", "module"]]
+    with pytest.raises(ValueError, match="a.json and .*b.json"):
+        reg.require_sound(df)
+    (tmp_path / "d.json").write_text('{"image": "j", "py_module": ')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        reg.read_registry(spark, str(tmp_path)).collect()
     twice = reg.conflicts(df).head()
     assert (twice.image, twice.n) == ("i", 2)
     assert twice.first_file.endswith("a.json") and twice.last_file.endswith("b.json")

@@ -19,7 +19,11 @@ def con():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# Text operators have tests of their own.
+OWN = sorted(name for m in entry.MODULES for name in m.QUERIES)
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     assert not oracle.compare(entry.queries()[name](spark, SF_DIR), con,
                               entry.oracle_sql()[name])
@@ -27,4 +31,4 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(OWN) <= set(entry.oracle_sql()) <= set(entry.queries())
