@@ -7,6 +7,8 @@ logarithm of the longest chain. Each is written to the shared folder, which cuts
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from jobloom.session import shared_dir
@@ -14,24 +16,26 @@ from jobloom.session import shared_dir
 EDGES = "u bigint, v bigint"
 
 
-def _written(df: DataFrame, folder: str, name: str) -> DataFrame:
-    df.write.parquet(f"{folder}/{name}")
-    return df.sparkSession.read.schema(EDGES).parquet(f"{folder}/{name}")
+def _written(df: DataFrame, folder: str) -> DataFrame:
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(EDGES).parquet(path)
 
 
-def _smallest(sides: DataFrame) -> DataFrame:
-    return sides.groupBy("u").agg(F.min("v").alias("m"))
+def _smallest(sides: DataFrame, folder: str) -> DataFrame:
+    """Each node's smallest neighbour, written so that Spark can split a node in the next join."""
+    return _written(sides.groupBy("u").agg(F.min("v").alias("v")), folder).withColumnRenamed("v", "m")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, folder: str) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _smallest(both).withColumn("m", F.least("u", "m"))
+    least = _smallest(both, folder).withColumn("m", F.least("u", "m"))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, folder: str) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = _smallest(down)
+    least = _smallest(down, folder)
     return (down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", F.col("m").alias("v"))))
 
@@ -43,11 +47,11 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for all nodes of (u, v) edges but those that are their own label."""
     folder = shared_dir(edges.sparkSession, "components")
-    edges = _written(edges.filter("u <> v").distinct(), folder, "0")
-    state, n = _state(edges), 0
+    edges = _written(edges.filter("u <> v").distinct(), folder)
+    state = _state(edges)
     while state[0]:
-        n += 1
-        edges = _written(_small_star(_large_star(edges)).distinct(), folder, str(n))
+        large = _written(_large_star(edges, folder), folder)
+        edges = _written(_small_star(large, folder).distinct(), folder)
         before, state = state, _state(edges)
         if state == before:
             break

@@ -50,6 +50,10 @@ def planned_records(pages: DataFrame, least: int = LEAST, *, key: str = "page_id
     first = (rows.filter(F.octet_length("payload") >= least).groupBy("digest")
              .agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1")
              .select("digest", "first"))
+    # Written first, so that Spark can split a frequent payload in the join.
+    path = shared_dir(pages.sparkSession, "warc-repeats")
+    first.write.parquet(path)
+    first = pages.sparkSession.read.schema(first.schema).parquet(path)
     again = F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first"))
     return rows.join(first, "digest", "left").select("id", "url", "payload", "digest",
                                                      again.alias("refers_to"))
