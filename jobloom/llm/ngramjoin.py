@@ -219,14 +219,15 @@ def similar(pairs: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
 
 
 def _can_meet(x: str, y: str, percent: int) -> Column:
-    """Sizes and places of a shared prefix n-gram leave room for enough overlap."""
+    """Sizes and places of a shared prefix n-gram leave room for enough overlap.
+
+    If it is the first n-gram that two sets share, what they share stands from there on in both.
+    So a pair that is similar enough passes at its first shared n-gram; at others it need not.
+    """
     size_x, size_y = F.col(f"{x}.size"), F.col(f"{y}.size")
     rest = F.least(size_x - F.col(f"{x}.place"), size_y - F.col(f"{y}.place"))
     sizes = F.least(size_x, size_y) * 100 >= F.greatest(size_x, size_y) * percent
-    # A shared n-gram that is not the first shared one has at most its places before it in common.
-    before = F.least(F.col(f"{x}.place"), F.col(f"{y}.place"))
-    room = (rest + before) * (100 + percent) >= (size_x + size_y) * percent
-    return sizes & room
+    return sizes & (rest * (100 + percent) >= (size_x + size_y) * percent)
 
 
 class Join:
@@ -257,7 +258,8 @@ class Join:
         rows = own.select("class", "size", F.posexplode("prefix").alias("place", "gram"))
         shared = (rows.groupBy("gram").agg(F.min("class").alias("first"), F.max("class").alias("last"))
                   .filter("first <> last").select("gram", "first"))
-        return rows.join(shared, "gram")
+        # Written first, so that Spark can split a frequent n-gram in the join.
+        return rows.join(self.written(shared, "shared"), "gram")
 
     def _cut(self, pairs: DataFrame, step: int) -> DataFrame:
         """The segments of the classes of these pairs; those of earlier steps are kept."""
