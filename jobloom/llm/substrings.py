@@ -13,8 +13,9 @@ other windows.
    counts how often each of its substrings occurs; streaming the runs through it gives their
    matching statistics, that is, the windows that occur at least twice.
 3. An anchor with more than `shard_runs` distinct runs (a line that many texts share) would not fit
-   a shard. Its windows are counted one by one by their hash instead; that is exact too, and spreads
-   over all tasks.
+   a shard. Its runs are halved: windows that reach further to the left of the anchor, and to the
+   right. The words that all windows of a half hold make a longer anchor; most are rare and done.
+   What is still frequent is halved again, at last down to single windows, which are counted.
 4. Repeated windows become spans of words, per document.
 
 A broadcast of every shard to every document would take documents times shards; see the README.
@@ -36,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from jobloom.llm.batches import (
-    Texts, Words, _powers_to, free_name, long_run_hashes, map_texts, mix, run_hashes, word_hashes,
+    Texts, Words, _powers_to, free_name, map_texts, mix, run_hashes, word_hashes,
 )
 from jobloom.session import shared_dir
 
@@ -46,7 +47,8 @@ SHARD_WORDS = 50_000
 SHARD_RUNS = 500
 _PLACE = np.uint64((1 << 28) - 1)
 
-RUN = "doc bigint, anchor bigint, run bigint, first int, last int"
+RUN = "doc bigint, anchor bigint, run bigint, first int, last int, place int"
+PIECE = "anchor bigint, run bigint, shift int, weight bigint, place int, part bigint, same bigint, words binary"
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -59,21 +61,21 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(t: Texts, window: int, gram: int):
-    """Words, their hashes, and of each run: row, anchor, hash, first and last window (words of
-    the slice)."""
+    """Words, and of each run: row, anchor, hash, first and last window (by their first word in
+    the slice), and the anchor's first word."""
     words = Words(t)
     hashes = word_hashes(t.data, words)
     n = len(hashes)
     none = np.empty(0, np.int64)
     if n < window:
-        return words, hashes, none, none.view(np.uint64), none.view(np.uint64), none, none
+        return words, none, none.view(np.uint64), none.view(np.uint64), none, none, none
     grams = run_hashes(hashes, gram)
     marked = grams & ~_PLACE | np.arange(len(grams), dtype=np.uint64)
     place = (_least(marked, window - gram + 1) & _PLACE).astype(np.int64)
     rows = words.rows
     inside = np.flatnonzero(rows[:n - window + 1] == rows[window - 1:])
     if not len(inside):
-        return words, hashes, none, none.view(np.uint64), none.view(np.uint64), none, none
+        return words, none, none.view(np.uint64), none.view(np.uint64), none, none, none
     place = place[inside]
     new = np.concatenate([[True], (np.diff(place) != 0) | (np.diff(inside) != 1)])
     begins = np.flatnonzero(new)
@@ -84,19 +86,19 @@ def runs_of(t: Texts, window: int, gram: int):
     np.cumsum(hashes * power[:n], out=sums[1:])
     content = (sums[last + window] - sums[first]) * inverse[first]
     shape = ((place - first) << 32 | (last - first)).astype(np.uint64)
-    return words, hashes, rows[first], grams[place], mix(content + mix(shape)), first, last
+    return words, rows[first], grams[place], mix(content + mix(shape)), first, last, place
 
 
 def list_runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
     def work(slices):
         for t in slices:
-            words, _, row, anchor, run, first, last = runs_of(t, window, gram)
+            words, row, anchor, run, first, last, place = runs_of(t, window, gram)
             base = words.bounds[row]
             yield pa.RecordBatch.from_arrays(
                 [t.values("doc").take(pa.array(row)), pa.array(anchor.view(np.int64)),
                  pa.array(run.view(np.int64)), pa.array((first - base).astype(np.int32)),
-                 pa.array((last - base).astype(np.int32))],
-                ["doc", "anchor", "run", "first", "last"])
+                 pa.array((last - base).astype(np.int32)), pa.array((place - first).astype(np.int32))],
+                ["doc", "anchor", "run", "first", "last", "place"])
 
     return map_texts(docs, "text", RUN, work)
 
@@ -210,6 +212,48 @@ def _shard_spans(window: int, shard_words: int):
     return work
 
 
+def next_gram(window: int, gram: int) -> int:
+    """Words that all windows of a half hold."""
+    return gram + (window - gram + 1) // 2
+
+
+def _halves(window: int, gram: int):
+    """Cut runs by whether their windows reach further left of the anchor or right of it.
+
+    Of the window - gram words around the anchor at least half lie on one side, so all windows
+    of a half hold that many words there: their anchor. `part` is the hash of its words and side,
+    `same` of all words of the piece.
+    """
+    longer = next_gram(window, gram)
+    reach = longer - gram
+
+    def work(batches):
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                words, place = np.frombuffer(r["words"], np.uint64), r["place"]
+                last = len(words) - window
+                left = min(last, place - reach)
+                for side, low, high, at in ((0, 0, left, place - reach),
+                                            (1, max(0, left + 1), last, place)):
+                    if low > high:
+                        continue
+                    part = run_hashes(words[at:at + longer], longer) + np.uint64(side)
+                    own = words[low:high + window]
+                    shape = np.array([(at - low) << 32 | len(own)], np.uint64)
+                    same = mix(run_hashes(own, len(own)) + mix(shape))
+                    rows.append((r["anchor"], r["run"], r["shift"] + low, r["weight"], at - low,
+                                 int(mix(part).view(np.int64)[0]), int(same.view(np.int64)[0]),
+                                 own.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(),
+                     pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                [x.split(" ")[0] for x in PIECE.split(", ")])
+
+    return work
+
+
 class Repeats:
     """The repeated windows of all documents, step by step, in the shared folder."""
 
@@ -227,7 +271,8 @@ class Repeats:
     def _reference(self, kinds: DataFrame) -> DataFrame:
         """The words of the distinct runs. Rows that repeat a document repeat its runs."""
         window = self.window
-        asked = F.collect_list(F.struct("anchor", "run", "first", "last", "weight")).alias("asked")
+        asked = F.collect_list(F.struct(
+            "anchor", "run", "first", "last", "place", "weight")).alias("asked")
         wanted = self.written(kinds.groupBy("doc").agg(asked), "asked")
         # Spark broadcasts what is wanted where its size is known to be small.
         docs = self.docs.join(wanted, "doc").select("doc", "text", "asked")
@@ -236,43 +281,62 @@ class Repeats:
             for t in slices:
                 words = Words(t)
                 hashes = word_hashes(t.data, words).view(np.int64)
-                rows = [(a["anchor"], a["run"], a["weight"],
+                rows = [(a["anchor"], a["run"], a["weight"], a["place"],
                          hashes[b + a["first"]:b + a["last"] + window].tobytes())
                         for b, asked in zip(words.bounds.tolist(), t.values("asked").to_pylist())
                         for a in asked]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], k) for i, k in enumerate(
-                        (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                    ["anchor", "run", "weight", "words"])
-
-        return map_texts(docs, "text", "anchor bigint, run bigint, weight bigint, words binary", work)
-
-    def _counted(self, reference: DataFrame) -> DataFrame:
-        """Repeated windows of runs whose anchors are too frequent for a shard, by their hash."""
-        window = self.window
-
-        def work(batches):
-            for batch in batches:
-                names, numbers, keys = [], [], []
-                for i, packed in enumerate(batch.column(3).to_pylist()):
-                    own = long_run_hashes(np.frombuffer(packed, np.uint64), window)
-                    names.append(np.full(len(own), i))
-                    numbers.append(np.arange(len(own), dtype=np.int32))
-                    keys.append(own)
-                if not names:
-                    continue
-                at = pa.array(np.concatenate(names))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at),
-                     pa.array(np.concatenate(numbers)), pa.array(np.concatenate(keys).view(np.int64))],
-                    ["anchor", "run", "weight", "low", "key"])
-
-        windows = reference.mapInArrow(
-            work, "anchor bigint, run bigint, weight bigint, low int, key bigint")
-        windows = self.written(windows.groupBy("anchor", "run", "low", "key").agg(
-            F.max("weight").alias("weight")), "windows")
-        again = windows.groupBy("key").agg(F.sum("weight").alias("n")).filter("n > 1").select("key")
-        return windows.join(again, "key").select("anchor", "run", "low", F.col("low").alias("high"))
+                        (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                    ["anchor", "run", "weight", "place", "words"])
+
+        return map_texts(
+            docs, "text", "anchor bigint, run bigint, weight bigint, place int, words binary", work)
+
+    def _automata(self, pieces: DataFrame) -> DataFrame:
+        """Repeated windows of (anchor, run, weight, words), by automata over whole anchors."""
+        dealt = pieces.repartition("anchor").sortWithinPartitions("anchor")
+        return dealt.mapInArrow(_shard_spans(self.window, self.shard_words),
+                                "anchor bigint, run bigint, low int, high int")
+
+    def _halved(self, hot: DataFrame) -> DataFrame:
+        """Repeated windows of runs whose anchor is too frequent for a shard."""
+        window, gram, level, out = self.window, self.gram, 0, []
+        pieces = hot.dropDuplicates(["anchor", "run"]).select(
+            "anchor", "run", F.lit(0).alias("shift"), "weight", "place",
+            F.lit(0).cast("bigint").alias("part"), F.lit(0).cast("bigint").alias("same"), "words")
+        keys = ["anchor", "run", "shift"]
+        while True:
+            level += 1
+            halves = self.written(pieces.mapInArrow(_halves(window, gram), PIECE), f"halves-{level}")
+            gram = next_gram(window, gram)
+            counts = halves.groupBy("part").agg(
+                F.sum("weight").alias("n"), F.count("*").alias("rows"),
+                F.min("same").alias("x"), F.max("same").alias("y")).filter("n > 1")
+            counts = counts.select("part", "rows", (F.col("x") == F.col("y")).alias("all"))
+            met = self.written(halves.join(counts, "part"), f"met-{level}")
+            n_windows = (F.octet_length("words") / 8 - window).cast("int")
+            out.append(met.filter("all").select(
+                "anchor", "run", F.col("shift").alias("low"), (F.col("shift") + n_windows).alias("high")))
+            mixed = met.filter("not all")
+            small = mixed.filter(F.col("rows") <= self.shard_runs)
+            # A piece of its own for the automata: named by its words' place in the run.
+            named = small.select(F.col("part").alias("anchor"), F.xxhash64(*keys).alias("run"),
+                                 "weight", "words")
+            found = self._automata(named).withColumnRenamed("anchor", "part").withColumnRenamed(
+                "run", "_name")
+            back = small.select("part", *keys, F.xxhash64(*keys).alias("_name"))
+            out.append(back.join(found, ["part", "_name"]).select(
+                "anchor", "run", (F.col("shift") + F.col("low")).alias("low"),
+                (F.col("shift") + F.col("high")).alias("high")))
+            pieces = mixed.filter(F.col("rows") > self.shard_runs).drop("rows", "all").select(
+                *[x.split(" ")[0] for x in PIECE.split(", ")])
+            if gram == window or pieces.isEmpty():
+                break
+        found = out[0]
+        for more in out[1:]:
+            found = found.union(more)
+        return found
 
     def spans(self) -> DataFrame:
         """(doc, spans): runs of windows, by their first words, that are repeated."""
@@ -280,23 +344,24 @@ class Repeats:
         met = (runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("run").alias("x"),
                                           F.max("run").alias("y"))
                .filter("n > 1").select("anchor", (F.col("x") == F.col("y")).alias("same")))
-        runs = self.written(runs.join(met, "anchor"), "runs")
+        # Written first, so that Spark can split a frequent anchor in the join.
+        runs = self.written(runs.join(self.written(met, "met"), "anchor"), "runs")
         whole = runs.filter("same").select("doc", "first", "last")
         mixed = runs.filter("not same").drop("same")
-        sample = F.min(F.struct("doc", "first", "last")).alias("sample")
+        sample = F.min(F.struct("doc", "first", "last", "place")).alias("sample")
         kinds = self.written(
             mixed.groupBy("anchor", "run").agg(F.count("*").alias("weight"), sample)
-            .select("anchor", "run", "weight", "sample.doc", "sample.first", "sample.last"), "kinds")
+            .select("anchor", "run", "weight", "sample.*"), "kinds")
         reference = self._reference(kinds)
         sizes = self.written(kinds.groupBy("anchor").agg(F.count("*").alias("n"))
                              .filter(F.col("n") > self.shard_runs).select("anchor"), "hot")
         reference = self.written(reference, "reference")
-        dealt = (reference.join(sizes, "anchor", "left_anti").repartition("anchor")
-                 .sortWithinPartitions("anchor").select("anchor", "run", "weight", "words"))
-        kind = "anchor bigint, run bigint, low int, high int"
-        found = dealt.mapInArrow(_shard_spans(self.window, self.shard_words), kind)
-        hot = reference.join(sizes, "anchor", "left_semi").select("anchor", "run", "weight", "words")
-        found = self.written(found.union(self._counted(hot)), "found")
+        cool = reference.join(sizes, "anchor", "left_anti").drop("place")
+        found = self._automata(cool)
+        hot = reference.join(sizes, "anchor", "left_semi")
+        if not sizes.isEmpty():
+            found = found.union(self._halved(hot))
+        found = self.written(found, "found")
         low, high = F.col("first") + F.col("low"), F.col("first") + F.col("high")
         parts = mixed.join(found, ["anchor", "run"]).select(
             "doc", low.alias("first"), high.alias("last"))

@@ -54,7 +54,8 @@ def corpus():
 
 
 @pytest.mark.parametrize("window, gram, options", [
-    (12, 4, {}), (12, 4, {"shard_words": 60}), (12, 4, {"shard_runs": 3}), (35, 8, {})])
+    (12, 4, {}), (12, 4, {"shard_words": 60}), (12, 4, {"shard_runs": 3}),
+    (12, 4, {"shard_runs": 0}), (13, 4, {"shard_runs": 1}), (35, 8, {})])
 def test_against_plain(spark, window, gram, options):
     rows = corpus()
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
