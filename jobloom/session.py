@@ -30,30 +30,27 @@ LOCAL = {
 }
 
 CLUSTER = {
+    # Executors come and go with the load; shuffle data is tracked so that they can.
     "spark.dynamicAllocation.enabled": "true",
-    "spark.dynamicAllocation.shuffleTracking.enabled": "false",
-    "spark.dynamicAllocation.schedulerBacklogTimeout": "1s",
-    "spark.dynamicAllocation.sustainedSchedulerBacklogTimeout": "10s",
-    "spark.dynamicAllocation.executorIdleTimeout": "300s",
-    "spark.dynamicAllocation.cachedExecutorIdleTimeout": "1800s",
+    "spark.dynamicAllocation.shuffleTracking.enabled": "true",
+    # A micro-batch comes every second, so an executor is worth keeping between batches.
+    "spark.dynamicAllocation.executorIdleTimeout": "120s",
     # Shuffle and cached blocks move off an executor that is about to leave.
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.enabled": "true",
     "spark.storage.decommission.rddBlocks.enabled": "true",
     "spark.storage.decommission.shuffleBlocks.enabled": "true",
-    "spark.reducer.maxSizeInFlight": "96m",
-    "spark.shuffle.file.buffer": "1m",
     # Start wide; AQE coalesces what turns out small.
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Stores other than Amazon's need no DNS name for each bucket.
     "spark.hadoop.fs.s3a.path.style.access": "true",
 }
 
+# What the format's documentation asks a session to set.
 DELTA = {
     "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
     "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
-    "spark.databricks.delta.optimizeWrite.enabled": "true",
-    "spark.databricks.delta.autoCompact.enabled": "true",
 }
 
 

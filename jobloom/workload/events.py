@@ -42,11 +42,9 @@ def src_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def publish_event(spark: SparkSession, sf: str) -> DataFrame:
     """Publish events as JSON and read their fields back."""
-    src = table(spark, sf, "events")
     body = F.struct(F.col("event_id").cast("string").alias("job_id"),
                     F.col("event_type").alias("state"), "value")
-    out = records(spark, sf).drop("value").withColumn("event_id", event_id()).join(
-        src.select("event_id", ev.to_record(body)), "event_id")
+    out = records(spark, sf, ev.to_record(body))
     topic = _topic(spark, out)
     return decode(ev.read_events(spark, topic)).select(
         F.col("job_id").cast("bigint").alias("event_id"), "state",

@@ -15,7 +15,6 @@ from jobloom.plans import importing as imp
 from jobloom.schemas import QUALITY
 from jobloom.session import shared_dir
 from jobloom.sources import events as ev
-from jobloom.sources.files import scan_delimited
 from jobloom.sources.registry import registry
 from jobloom.streaming.flow import Ingest
 from jobloom.workload.shapes import TOPIC, records, table
@@ -55,7 +54,8 @@ def _reports(spark: SparkSession, sf: str) -> DataFrame:
 
 def _write_reports(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     """Write the reports below a root; returns it and the files as rows (id, file), named
-    relative to the root. View days register no file, one signup day a lost one."""
+    relative to the root. The files of view days belong to jobs that nobody asks for; one signup
+    day has a lost file."""
     root = shared_dir(spark, "reports") + "/"
     (_reports(spark, sf).hint("rebalance", "event_type", "day")
      .write.partitionBy("event_type", "day").option("header", True).option("sep", "\t")
@@ -69,7 +69,8 @@ def _write_reports(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
         F.concat_ws(":", F.regexp_extract("file", "event_type=([^/]*)/", 1),
                     F.regexp_extract("file", "day=([^/]*)/", 1)).alias("id"), "file",
     )
-    return root, files.filter("id not like 'view:%'")
+    other = F.when(F.col("id").startswith("view:"), F.concat(F.lit("not_"), "id"))
+    return root, files.withColumn("id", F.coalesce(other, F.col("id")))
 
 
 def _jobs(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,9 +92,7 @@ def _plan(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     prefix = F.concat(F.lit("u_"), "event_type", F.lit("__"))
     jobs = staged(_jobs(spark, sf).withColumn(imp.PREFIX, prefix), f"{stage}/jobs")
     files = staged(files, f"{stage}/files")
-    raw = scan_delimited(spark, f"{root}*/*/*.csv", IMPORTER.file_columns)
-    typed = staged(imp.typed_rows(IMPORTER, jobs, files, raw, root), f"{stage}/typed")
-    missing = spark.createDataFrame([(LOST,)], "file string")
+    typed, missing = imp.stage_typed(spark, IMPORTER, jobs, files, root, f"{stage}/typed")
     failed = staged(
         imp.failed_jobs(IMPORTER, jobs, files, typed, missing), f"{stage}/failed")
     return imp.rows_to_merge(IMPORTER, jobs, typed, failed), failed
@@ -109,9 +108,10 @@ def _comparable(df: DataFrame) -> DataFrame:
 
 def quality_import(spark: SparkSession, sf: str) -> DataFrame:
     """The reports of all jobs merged into a table that holds old rows of click days."""
-    old = table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(
+    is_known = F.col("c_mktsegment") == "BUILDING"
+    old = table(spark, sf, "customer").select(
         F.lit("u_click__").alias(imp.PREFIX),
-        F.concat(F.lit("GCA_"), "c_custkey").alias("Name"),
+        F.concat(F.when(is_known, "GCA_").otherwise("OLD_"), "c_custkey").alias("Name"),
         F.lit("old_job").alias(JOB_COLUMN),
         *[F.lit("1").cast(f.dataType).alias(f.name) for f in QUALITY[2:-1]],
         F.col("c_name").alias("Additional_Notes"),
@@ -135,17 +135,19 @@ def _job_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_stream(spark: SparkSession, sf: str) -> Ingest:
-    """Run the ingest over job events and all messages of `events` until it has caught up.
+    """Run the ingest over job events and all messages of `events` until it has caught up. The
+    users of each run have names of their own.
 
     Purchase days from the 20th on belong to an image without importer.
     """
     root, files = _write_reports(spark, sf)
     jobs = _jobs(spark, sf)
+    work = shared_dir(spark, "work")
     late = (F.col("event_type") == "purchase") & (F.dayofmonth("day") >= 20)
     done = F.struct(F.lit("complete").alias("state"),
                     F.date_format("day", "yyyy-MM-dd'T'00:00:00'Z'").alias("time"))
     headers = jobs.select(
-        F.col("job_id").alias("id"), F.col("event_type").alias("user"),
+        F.col("job_id").alias("id"), F.concat("event_type", F.lit(f"_{work[-32:]}")).alias("user"),
         F.struct(F.when(late, "img/none").otherwise("img/quality").alias("name"),
                  F.lit("sha256:0").alias("digest")).alias("image"),
         F.lit(1).alias("input_file_count"),
@@ -157,7 +159,6 @@ def run_stream(spark: SparkSession, sf: str) -> Ingest:
                      F.lit(None).cast("string"))
     topic = ev.Topic("file", shared_dir(spark, "topic"), TOPIC)
     ev.publish(_job_events(spark, sf).unionByName(records(spark, sf)), topic)
-    work = shared_dir(spark, "work")
     ingest = Ingest(
         headers=lambda: headers, outputs=lambda: files, registry=lambda: known,
         importers=[IMPORTER], work=work, tables=shared_dir(spark, "tables"), files_root=root,
@@ -170,11 +171,12 @@ def run_stream(spark: SparkSession, sf: str) -> Ingest:
 def import_batch(spark: SparkSession, sf: str) -> DataFrame:
     """The tables that the stream leaves, by namespace."""
     ingest = run_stream(spark, sf)
-    prefixes = [f"u_{r.event_type}__" for r in
-                table(spark, sf, "events").select("event_type").distinct().collect()]
+    kinds = [r.event_type for r in
+             table(spark, sf, "events").select("event_type").distinct().collect()]
+    names = {k: IMPORTER.table_name(f"u_{k}_{ingest.work[-32:]}__") for k in kinds}
     views = [
-        spark.table(IMPORTER.table_name(p)).withColumn(imp.PREFIX, F.lit(p))
-        for p in prefixes if spark.catalog.tableExists(IMPORTER.table_name(p))
+        spark.table(name).withColumn(imp.PREFIX, F.lit(f"u_{k}__"))
+        for k, name in names.items() if spark.catalog.tableExists(name)
     ]
     return _comparable(reduce(DataFrame.unionByName, views))
 
@@ -236,9 +238,10 @@ _LATE = "event_type = 'purchase' AND day(day) >= 20"
 ORACLE = {
     "quality_import": _REPORTS + """
 SELECT * EXCLUDE (day, user_id) FROM won UNION ALL
-SELECT 'u_click__', 'GCA_' || c_custkey, 'old_job', 1, 1, '1', 1, 1, 1, 1, 1, 1, 1, 1, 1, c_name
-FROM customer WHERE c_mktsegment = 'BUILDING' AND 'GCA_' || c_custkey NOT IN
-  (SELECT Name FROM won WHERE namespace_prefix = 'u_click__')""",
+SELECT 'u_click__', n, 'old_job', 1, 1, '1', 1, 1, 1, 1, 1, 1, 1, 1, 1, c_name
+FROM (SELECT c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'GCA_' ELSE 'OLD_' END || c_custkey AS n
+      FROM customer)
+WHERE n NOT IN (SELECT Name FROM won WHERE namespace_prefix = 'u_click__')""",
     "import_failures": _REPORTS + "SELECT id, error FROM jobs WHERE error IS NOT NULL",
     "import_batch": _REPORTS.replace("WHERE error IS NULL",
                                      f"WHERE error IS NULL AND NOT ({_LATE})")

@@ -134,7 +134,8 @@ FILE = "'bucket/' || l_orderkey || '/' || l_linenumber || '-' || l_partkey || '.
 # Jobs as the shapes make them, flat.
 JOBS = """
 j AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'cust_' || o_custkey AS owner,
+  SELECT CASE WHEN o_orderkey % 40 = 7 THEN 'x' || o_orderkey
+              ELSE CAST(o_orderkey AS VARCHAR) END AS id, 'cust_' || o_custkey AS owner,
          'u_cust_' || o_custkey || '__' AS namespace_prefix,
          'img/' || o_orderpriority AS image, 'sha256:' || o_orderkey AS image_digest,
          CASE WHEN o_totalprice < 10000 THEN NULL
@@ -143,9 +144,10 @@ j AS (
          CASE WHEN o_totalprice < 10000 THEN 1 WHEN o_orderstatus = 'O' THEN 3 ELSE 2 END
            AS n_transitions,
          o_orderpriority AS priority
-  FROM orders WHERE o_orderstatus <> 'P'
+  FROM orders
 ), f AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS id, """ + FILE + """ AS file,
+  SELECT CASE WHEN l_orderkey % 40 = 7 THEN 'x' || l_orderkey
+              ELSE CAST(l_orderkey AS VARCHAR) END AS id, """ + FILE + """ AS file,
          right('aaaaaaaaaaaa' || l_orderkey || l_linenumber, 12) AS crc64nvme
   FROM lineitem
 ), c AS (

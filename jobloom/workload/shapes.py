@@ -41,8 +41,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One event record per row of `events`. A purchase is a completed job."""
+def records(spark: SparkSession, sf_dir: str, body: Column | None = None) -> DataFrame:
+    """One event record per row of `events`, with another value if `body` is given. A purchase is
+    a completed job."""
     ev = table(spark, sf_dir, "events")
     ev = ev.withColumn("shape", F.get_json_object("props", "$.k").cast("int"))
     shape = F.col("shape")
@@ -59,7 +60,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return ev.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
-        value.alias("value"),
+        (value if body is None else body).alias("value"),
         F.lit(TOPIC).alias("topic"),
         F.pmod("event_id", F.lit(3)).cast("int").alias("partition"),
         F.floor(F.col("event_id") / 3).alias("offset"),
@@ -73,11 +74,17 @@ def event_id() -> Column:
     return (F.col("offset") * 3 + F.col("partition")).alias("event_id")
 
 
+def job_id(order: str) -> Column:
+    """The job of an order. Some have ids that no event asks for, so that events miss."""
+    key = F.col(order).cast("string")
+    return F.when(F.col(order) % 40 == 7, F.concat(F.lit("x"), key)).otherwise(key)
+
+
 def job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One output file per line item. The checksum is made up, of the right length."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_orderkey").cast("string").alias("id"),
+        job_id("l_orderkey").alias("id"),
         F.concat(F.lit("bucket/"), F.col("l_orderkey"), F.lit("/"), F.col("l_linenumber"),
                  F.lit("-"), F.col("l_partkey"), F.lit(".tsv")).alias("file"),
         F.lpad(F.concat("l_orderkey", "l_linenumber"), 12, "a").alias("crc64nvme"),
@@ -85,11 +92,11 @@ def job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One job per order that is not pending (status P), without its outputs.
+    """One job per order, without its outputs.
 
     An open job (O) completed twice; a cheap one never completed.
     """
-    o = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
+    o = table(spark, sf_dir, "orders")
     day = F.col("o_orderdate")
 
     def step(state: str, days: int, n: int):
@@ -109,7 +116,7 @@ def job_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.concat(F.lit("sha256:"), F.col("o_orderkey"))
     user = F.concat(F.lit("cust_"), F.col("o_custkey"))
     return o.select(
-        F.col("o_orderkey").cast("string").alias("id"),
+        job_id("o_orderkey").alias("id"),
         user.alias("user"),
         F.lit("complete").alias("state"),
         F.struct(user.alias("registered_by"),

@@ -7,7 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom.operators.compare import differences
-from jobloom.operators.publish import complete_versions, publish_version, read_version
+from jobloom.operators.merge import UPDATE
+from jobloom.operators.publish import (
+    BASE, complete_versions, merge_and_publish, publish_version, read_version, staged,
+)
+from jobloom.plans.selfcheck import self_check
 from jobloom.schemas import DOUBLE, EMPLOYEES, INT, LONG, STRING, shape
 from jobloom.session import shared_dir
 from jobloom.sources import tables
@@ -108,14 +112,52 @@ def table_versions(spark: SparkSession, sf: str) -> DataFrame:
         "version", F.lit(newest)).unionByName(old)
 
 
+def checked_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that the start-up check wrote and read back without a difference."""
+    rows = _employees(spark, sf)
+    self_check(spark, rows)
+    return rows
+
+
+def publish_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers merged event by event kind, half of the kinds by a second run whose batch ids
+    start at 0 again, and one batch replayed at the end."""
+    ns, place = _namespace(spark), shared_dir(spark, "restart")
+    name, schema = f"{ns}.customer", table(spark, sf, "customer").select("c_custkey", "c_name").schema
+    publish_version(table(spark, sf, "customer").select("c_custkey", "c_name"), name, place, BASE)
+    events = table(spark, sf, "events")
+    batches = [("first/0", "click"), ("first/1", "view"), ("second/0", "purchase"),
+               ("second/1", "signup"), ("second/1", "signup"), ("first/1", "view")]
+    for writer, kind in batches:
+        last = events.filter(F.col("event_type") == kind).groupBy("user_id").agg(
+            F.max("event_id").alias("event_id"))
+        source = last.select(F.col("user_id").alias("c_custkey"),
+                             F.concat_ws("_", F.lit(kind), "event_id").alias("c_name"))
+        merge_and_publish(spark, name, place, schema, ["c_custkey"],
+                          [(staged(source, shared_dir(spark, "batch")), UPDATE)], writer, keep=9)
+    return tables.scan_table(spark, name)
+
+
 QUERIES = {f.__name__: f for f in (
-    literal_rows, scan_table, overwrite_roundtrip, namespace_lifecycle, preview, scan_tsv,
+    checked_roundtrip, publish_restart, literal_rows, scan_table, overwrite_roundtrip, namespace_lifecycle, preview, scan_tsv,
     table_versions,
 )}
 
 _EMPLOYEES = "SELECT CAST(s_suppkey AS INTEGER) AS employee_id, s_name AS employee_name"
 
 ORACLE = {
+    "checked_roundtrip": f"{_EMPLOYEES} FROM supplier",
+    "publish_restart": """
+WITH last AS (
+  SELECT user_id, event_type, max(event_id) AS event_id FROM events
+  WHERE event_type IN ('click', 'view', 'purchase', 'signup') GROUP BY ALL
+), won AS (
+  SELECT user_id AS c_custkey, event_type || '_' || event_id AS c_name FROM last
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY list_position(
+    ['click', 'view', 'purchase', 'signup'], event_type) DESC) = 1
+)
+SELECT * FROM won UNION ALL
+SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM won)""",
     "literal_rows": """
 SELECT CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 END
          AS employee_id, count(*) AS n

@@ -49,10 +49,10 @@ def test_literal_rows(spark):
 
 def test_self_check(spark):
     self_check(spark)
-    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("startup_check")]
+    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("check_")]
     with pytest.raises(Exception):
         self_check(spark, spark.createDataFrame([(1, "x")], EMPLOYEES), provider="no_such_format")
-    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("startup_check")]
+    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("check_")]
 
 
 def test_kafka_options():
