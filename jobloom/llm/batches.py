@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 # Bytes of text worked on at once. A longer text is a slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20011)).integers(

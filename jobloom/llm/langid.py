@@ -37,7 +37,7 @@ SMOOTHING = 0.5
 PENALTY = 2.0
 UNKNOWN = "und"
 # Bytes of text inferred at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 @functools.cache
