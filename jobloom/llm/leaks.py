@@ -140,18 +140,23 @@ def _joined_hits(hits: Column) -> Column:
     return F.aggregate(F.array_sort(hits), empty, add)
 
 
+def _written_windows(items: DataFrame, window: int, item: str, text: str, shard_bytes: int):
+    """The windows with their items, where they are written, and how many shards they need."""
+    path = shared_dir(items.sparkSession, "leak-windows")
+    (item_windows(items, window, item, text).groupBy("window", "words")
+     .agg(F.array_sort(F.collect_set("item_id")).alias("ids")).write.parquet(path))
+    windows = items.sparkSession.read.parquet(path)
+    size = windows.agg(F.sum(F.octet_length("window"))).head()[0] or 0
+    return path, windows, -(-size // shard_bytes)
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, *, key: str = "doc_id",
                text: str = "text", item: str = "item_id", item_text: str = "text",
                shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Per document: key, n_words, n_hit, hits (runs of hit words with character offsets of the
     original text) and item_ids (items with a window in it, sorted)."""
     spark = docs.sparkSession
-    path = shared_dir(spark, "leak-windows")
-    (item_windows(items, window, item, item_text).groupBy("window", "words")
-     .agg(F.array_sort(F.collect_set("item_id")).alias("ids")).write.parquet(path))
-    windows = spark.read.parquet(path)
-    size = windows.agg(F.sum(F.octet_length("window"))).head()[0] or 0
-    shards = -(-size // shard_bytes)
+    path, windows, shards = _written_windows(items, window, item, item_text, shard_bytes)
     if shards <= 1:
         return _find(docs, [tuple(r) for r in windows.collect()], path, key, text)
     keyed = shared_dir(spark, "leak-documents")
@@ -176,8 +181,28 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, *, key:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, *, key: str = "doc_id",
-                  **options) -> DataFrame:
-    """The documents without a hit word, with all their columns. Documents without key stay."""
-    dirty = find_leaks(docs, items, window, key=key, **options).filter("n_hit > 0")
-    dirty = dirty.select(F.col(key).alias("_leaked")).distinct()
-    return docs.join(dirty, docs[key] == dirty["_leaked"], "left_anti")
+                  text: str = "text", item: str = "item_id", item_text: str = "text",
+                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The documents without a hit word, with all their columns.
+
+    One pass without a join where the windows fit one automaton. Otherwise a row goes if its
+    key and text have a hit, so rows that repeat both go together.
+    """
+    path, windows, shards = _written_windows(items, window, item, item_text, shard_bytes)
+    if shards > 1:
+        row = F.xxhash64(F.col(key), F.col(text))
+        keyed = docs.select(row.alias("row"), F.col(text).alias("text"))
+        dirty = find_leaks(keyed, items, window, key="row", item=item, item_text=item_text,
+                           shard_bytes=shard_bytes).filter("n_hit > 0").select("row").distinct()
+        return docs.join(dirty, F.xxhash64(docs[key], docs[text]) == dirty["row"], "left_anti")
+    found = [tuple(r) for r in windows.collect()]
+    shared = docs.sparkSession.sparkContext.broadcast(found)
+
+    def work(slices):
+        automaton = _automaton(path, shared.value) if shared.value else None
+        for t in slices:
+            clean = [not (n and automaton and next(automaton.iter(line), None))
+                     for line, n in zip(normalised(t), np.diff(t.offsets).tolist())]
+            yield t.batch.filter(pa.array(clean, pa.bool_()))
+
+    return map_texts(docs, text, docs.schema, work)

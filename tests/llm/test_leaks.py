@@ -62,9 +62,10 @@ def test_empty_tables(spark):
     assert {r.n_hit for r in leaks.find_leaks(docs, items.limit(0)).collect()} == {0}
 
 
-def test_clean_documents_stay(spark):
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 30])
+def test_clean_documents_stay(spark, shard_bytes):
     docs = spark.createDataFrame([(k, t, 1) for k, t in DOCS], "doc_id bigint, text string, _leaked int")
     items = spark.createDataFrame(ITEMS[:2], "item_id bigint, text string")
-    kept = leaks.decontaminate(docs, items, 4)
+    kept = leaks.decontaminate(docs, items, 4, shard_bytes=shard_bytes)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 3, 4, 5, 5, 7, 8]
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5, 5, 7, 8]
