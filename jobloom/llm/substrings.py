@@ -313,7 +313,8 @@ class Repeats:
             counts = halves.groupBy("part").agg(
                 F.sum("weight").alias("n"), F.count("*").alias("rows"),
                 F.min("same").alias("x"), F.max("same").alias("y")).filter("n > 1")
-            counts = counts.select("part", "rows", (F.col("x") == F.col("y")).alias("all"))
+            counts = self.written(counts.select(
+                "part", "rows", (F.col("x") == F.col("y")).alias("all")), f"counts-{level}")
             met = self.written(halves.join(counts, "part"), f"met-{level}")
             n_windows = (F.octet_length("words") / 8 - window).cast("int")
             out.append(met.filter("all").select(
