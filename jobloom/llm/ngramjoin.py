@@ -2,7 +2,7 @@
 
 A document's set are its distinct word n-grams, as 64-bit hashes. Documents with equal sets form a
 class; the join works on classes. N-grams have one global order, rare ones first: by a frequency
-class from a table of fixed size (document counts of hashed n-grams), then by hash. The order is
+class from a table of bounded size (document counts of hashed n-grams), then by hash. The order is
 cut into fragments of about equal mass, so each set is cut vertically into segments.
 
 Candidates: two sets as similar as asked for share an n-gram among the first few of each (prefix),
@@ -16,8 +16,8 @@ more of it. Last, all pairs of a bucket whose classes still are in different com
 compared, so that no link between components can be missed. A group of copies, however large,
 costs a few comparisons for each of its texts.
 
-Only tables of fixed size are broadcast (frequency classes, 1 MB; fragment cuts), and the ids of
-candidate classes up to `BROADCAST_IDS`; beyond that they are joined.
+Only tables of bounded size are broadcast (frequency classes, 1 to 16 MB by the size of the input;
+fragment cuts), and the ids of candidate classes up to `BROADCAST_IDS`; beyond that they are joined.
 
 Defined cases: without text or words a set is empty, and linked with nothing; fewer than n words
 are one n-gram; rows without id get no component and link nothing; rows that share an id are each
@@ -43,7 +43,10 @@ from jobloom.session import shared_dir
 WORDS = 4
 PERCENT = 85
 FRAGMENTS = 4
-COUNTER_BITS = 20
+# The table of document counts has 2**20 entries for small inputs and 2**24 at most. Its size only
+# decides how well the order tells rare n-grams from frequent ones.
+LEAST_BITS, MOST_BITS = 20, 24
+BYTES_PER_COUNTER = 64
 SLICES = 64
 SALTS = 1024
 BROADCAST_IDS = 500_000
@@ -65,16 +68,22 @@ def ngram_sets(t: Texts, n: int):
             yield np.empty(0, np.uint64)
 
 
-def _counter(grams: np.ndarray) -> np.ndarray:
-    return (grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+def _counter(grams: np.ndarray, bits: int) -> np.ndarray:
+    return (grams >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def counter_bits(df: DataFrame) -> int:
+    """Size of the table of counts, by Spark's estimate of the input's size."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(LEAST_BITS, min(MOST_BITS, (size // BYTES_PER_COUNTER).bit_length()))
 
 
 def _summed(rows: DataFrame, *by: str) -> DataFrame:
     """Sum packed counter slices per group of bounded size."""
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros((1 << COUNTER_BITS) // SLICES, np.uint64)
+        total: np.ndarray | int = 0
         for packed in table.column("counts").to_pylist():
-            total += np.frombuffer(zlib.decompress(packed), np.uint64)
+            total = total + np.frombuffer(zlib.decompress(packed), np.uint64)
         return pa.table({
             "part": pa.array([table.column("part")[0].as_py()], pa.int32()),
             "salt": pa.array([table.column("salt")[0].as_py()], pa.int32()),
@@ -83,25 +92,36 @@ def _summed(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).applyInArrow(add, "part int, salt int, counts binary")
 
 
-def frequency_table(docs: DataFrame, n: int) -> np.ndarray:
-    """Documents per hashed n-gram, over all documents; its size is fixed."""
+def frequency_table(docs: DataFrame, n: int, bits: int) -> np.ndarray:
+    """Documents per hashed n-gram, over all documents, in 2**bits counters."""
     def work(batches):
-        total = np.zeros(1 << COUNTER_BITS, np.uint64)
+        total = np.zeros(1 << bits, np.uint32)
+        held, size = [], 0
+
+        def count():
+            if held:
+                np.add(total, np.bincount(_counter(np.concatenate(held), bits), minlength=1 << bits),
+                       out=total, casting="unsafe")
+                held.clear()
+
         for batch in batches:
             for t in texts_of(batch, "_text"):
-                grams = list(ngram_sets(t, n))
-                if grams:
-                    total += np.bincount(_counter(np.concatenate(grams)),
-                                         minlength=1 << COUNTER_BITS).astype(np.uint64)
+                for grams in ngram_sets(t, n):
+                    held.append(grams)
+                    size += len(grams)
+                if size >= 1 << 21:
+                    count()
+                    size = 0
+        count()
         salt = TaskContext.get().partitionId() % SALTS
-        parts = [zlib.compress(p.tobytes(), 1) for p in np.split(total, SLICES)]
+        parts = [zlib.compress(p.astype(np.uint64).tobytes(), 1) for p in np.split(total, SLICES)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(SLICES), pa.int32()), pa.array([salt] * SLICES, pa.int32()),
              pa.array(parts)], ["part", "salt", "counts"])
 
     counted = docs.mapInArrow(work, "part int, salt int, counts binary")
-    out = np.zeros((SLICES, (1 << COUNTER_BITS) // SLICES), np.uint64)
-    for row in _summed(_summed(counted, "part", "salt"), "part").collect():
+    out = np.zeros((SLICES, (1 << bits) // SLICES), np.uint32)
+    for row in _summed(_summed(counted, "part", "salt"), "part").toLocalIterator():
         out[row.part] = np.frombuffer(zlib.decompress(row.counts), np.uint64)
     return out.ravel()
 
@@ -110,8 +130,9 @@ class GlobalOrder:
     """Rank of each n-gram, rare ones first, and the cuts into fragments."""
 
     def __init__(self, counts: np.ndarray, fragments: int):
-        self.ranks = np.minimum(8 * np.log2(counts + 1.0), 255).astype(np.uint8)
-        mass = np.bincount(self.ranks, weights=counts.astype(float), minlength=256)
+        self.bits = len(counts).bit_length() - 1
+        self.ranks = np.minimum(8 * np.log2(counts.astype(np.float32) + 1), 255).astype(np.uint8)
+        mass = np.bincount(self.ranks, weights=counts, minlength=256)
         ends = np.concatenate([[0.0], np.cumsum(mass)])
         goals = ends[-1] * np.arange(1, fragments) / fragments
         rank = np.clip(np.searchsorted(ends, goals, side="right") - 1, 0, 255)
@@ -120,7 +141,7 @@ class GlobalOrder:
             np.clip(within, 0, 0.999) * 2.0**56).astype(np.uint64)
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
-        rank = self.ranks[_counter(grams)].astype(np.uint64)
+        rank = self.ranks[_counter(grams, self.bits)].astype(np.uint64)
         return rank << np.uint64(56) | grams & np.uint64((1 << 56) - 1)
 
     def fragment(self, grams: np.ndarray) -> np.ndarray:
@@ -238,7 +259,8 @@ class Join:
         self.spark, self.percent = docs.sparkSession, percent
         self.folder = shared_dir(self.spark, "ngram-join")
         source = docs.select(F.col(key).cast("bigint").alias("_id"), F.col(text).alias("_text"))
-        order = GlobalOrder(frequency_table(source.select("_text"), n), fragments)
+        texts = source.select("_text")
+        order = GlobalOrder(frequency_table(texts, n, counter_bits(texts)), fragments)
         self.shared = self.spark.sparkContext.broadcast(order)
         self.source, self.n, self.cuts = source, n, []
         self.docs = self.written(signatures(source, self.shared, n, percent), "signatures")
@@ -277,6 +299,8 @@ class Join:
         return out
 
     def _similar(self, pairs: DataFrame, step: int) -> DataFrame:
+        if pairs.isEmpty():
+            return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
         return self.written(similar(pairs, self._cut(pairs, step), self.percent), f"links-{step}")
 
     def _labelled(self, labels: DataFrame) -> DataFrame:
@@ -287,9 +311,18 @@ class Join:
                  .filter("x <> y").select("gram"))
         return rows.join(mixed, "gram", "left_semi")
 
+    @staticmethod
+    def _with_earlier(rows: DataFrame) -> DataFrame:
+        """Add the n-grams of the class in these rows that stand before, at most a prefix."""
+        own = F.sort_array(F.collect_list(F.struct("place", "gram"))).alias("own")
+        lists = rows.groupBy("class", "size", "label").agg(own)
+        each = lists.select("class", "size", "label", "own", F.posexplode("own").alias("i", "at"))
+        earlier = F.transform(F.slice("own", F.lit(1), F.col("i")), lambda x: x["gram"])
+        return each.select("class", "size", "label", "at.place", "at.gram", earlier.alias("earlier"))
+
     def _paired(self, left: DataFrame, right: DataFrame, apart: Column) -> DataFrame:
         pairs = left.alias("x").join(right.alias("y"), "gram").filter(
-            apart & _can_meet("x", "y", self.percent))
+            _can_meet("x", "y", self.percent) & apart)
         return pairs.select(F.greatest("x.class", "y.class").alias("a"),
                             F.least("x.class", "y.class").alias("b")).distinct()
 
@@ -315,7 +348,10 @@ class Join:
         tried, links = tried.union(pairs), links.union(found)
 
         rows = self.written(self._labelled(components(links)), "labelled-3")
-        apart = other & (F.col("x.class") > F.col("y.class"))
+        # Each pair once, at the first n-gram that its classes share.
+        rows = self.written(self._with_earlier(rows), "earlier-3")
+        apart = other & (F.col("x.class") > F.col("y.class")) & ~F.arrays_overlap(
+            "x.earlier", "y.earlier")
         pairs = self._paired(rows, rows, apart).join(tried, ["a", "b"], "left_anti")
         pairs = self.written(pairs, "pairs-3")
         found = self._similar(pairs, 3)

@@ -103,7 +103,7 @@ def test_empty(spark):
 
 def test_fragments_follow_the_order():
     rng = np.random.default_rng(1)
-    counts = rng.integers(0, 1000, 1 << ngramjoin.COUNTER_BITS).astype(float)
+    counts = rng.integers(0, 1000, 1 << ngramjoin.LEAST_BITS).astype(np.uint32)
     order = ngramjoin.GlobalOrder(counts, 4)
     grams = np.sort(rng.integers(0, 2**64, 5000, dtype=np.uint64))
     by_key = np.argsort(order.keys(grams))
