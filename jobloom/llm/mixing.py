@@ -165,12 +165,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
         "number", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
     low = F.greatest(F.col("start"), F.col("block") * block_words)
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
-    taken = (parts.join(takes, ["number", "block"]).groupBy("number", "start")
+    # Spark does not see that explode makes many rows of few, and must not broadcast them.
+    taken = (parts.hint("merge").join(takes, ["number", "block"]).groupBy("number", "start")
              .agg(F.sum((high - low) * F.col("times")).alias("taken"))
              .select(F.col("number").alias("_number"), F.col("start").alias("_start"), "taken"))
     same = ((placed["number"] == taken["_number"]) & (placed["start"] == taken["_start"])
             & (placed["size"] > 0))
-    return placed.join(taken, same, "left").select(
+    return placed.hint("merge").join(taken, same, "left").select(
         F.col("doc_id").alias(key), "h", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
@@ -185,4 +186,5 @@ def mix_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", *
     found = mix(docs, key=key, text=text, **options).groupBy("h").agg(
         *(F.max(c).alias(c) for c in made)).withColumnRenamed("h", "_h").filter("taken > 0")
     rows = docs.drop(*made)
-    return rows.join(found, F.xxhash64(rows[key], rows[text]) == found["_h"]).drop(found["_h"])
+    same = F.xxhash64(rows[key], rows[text]) == found["_h"]
+    return rows.join(found.hint("merge"), same).drop(found["_h"])
