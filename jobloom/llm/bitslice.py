@@ -218,7 +218,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 10, *, scale: int = SCALE,
     blocks = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block")
     sent = chunks.select(blocks, F.col("ids").alias("query_ids"), "vectors",
                          F.col("dims").alias("query_dims"))
-    met = spark.read.schema(INDEX).parquet(index).join(sent, "block")
+    # Spark does not see that explode makes many rows of few, and must not broadcast them.
+    met = spark.read.schema(INDEX).parquet(index).join(sent.hint("merge"), "block")
     best = met.mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
