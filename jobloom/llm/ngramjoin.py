@@ -28,6 +28,7 @@ gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,9 @@ SLICES = 64
 SALTS = 1024
 BROADCAST_IDS = 500_000
 PIVOTS = 3
+# Bits of a set's outline, and classes from which on a bucket is compared by outlines first.
+OUTLINE_BITS = 1024
+LARGE_BUCKET = 64
 
 
 def ngram_sets(t: Texts, n: int):
@@ -163,25 +167,35 @@ def class_hash(grams: np.ndarray) -> int:
     return int(mix(n * np.uint64(0x9E3779B97F4A7C15) + mix(n + sums)).view(np.int64)[0])
 
 
+def outline(grams: np.ndarray) -> np.ndarray:
+    """A bitmap with a bit set for each n-gram, by its hash."""
+    marked = np.zeros(OUTLINE_BITS, np.uint8)
+    marked[(grams % np.uint64(OUTLINE_BITS)).astype(np.int64)] = 1
+    return np.packbits(marked, bitorder="little").view("<i8")
+
+
 def signatures(docs: DataFrame, shared, n: int, percent: int) -> DataFrame:
-    """(doc_id, class, size, prefix) of all documents."""
+    """(doc_id, class, size, prefix, outline) of all documents."""
     def work(slices):
         order = shared.value
         for t in slices:
-            classes, sizes, prefixes = [], [], []
+            classes, sizes, prefixes, outlines = [], [], [], []
             for grams in ngram_sets(t, n):
                 classes.append(class_hash(grams))
                 sizes.append(len(grams))
                 first = grams[np.argsort(order.keys(grams))[:prefix_length(len(grams), percent)]]
                 prefixes.append(first.view(np.int64))
+                outlines.append(outline(grams))
             ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
             flat = np.concatenate(prefixes) if prefixes else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [t.values("_id"), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                ["doc_id", "class", "size", "prefix"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                 pa.array(outlines, pa.list_(pa.int64()))],
+                ["doc_id", "class", "size", "prefix", "outline"])
 
-    return map_texts(docs, "_text", "doc_id bigint, class bigint, size int, prefix array<bigint>", work)
+    return map_texts(docs, "_text", "doc_id bigint, class bigint, size int, prefix array<bigint>, "
+                     "outline array<bigint>", work)
 
 
 def segments(docs: DataFrame, shared, n: int) -> DataFrame:
@@ -251,6 +265,17 @@ def _can_meet(x: str, y: str, percent: int) -> Column:
     return sizes & (rest * (100 + percent) >= (size_x + size_y) * percent)
 
 
+def _outlines_meet(x: str, y: str, percent: int) -> Column:
+    """Outlines leave room for enough overlap: a bit that only one has is an n-gram of its own."""
+    def own(a: str, b: str) -> Column:
+        bits = [F.bit_count(F.col(f"{a}.outline")[k].bitwiseAND(F.bitwise_not(F.col(f"{b}.outline")[k])))
+                for k in range(OUTLINE_BITS // 64)]
+        return F.col(f"{a}.size") - reduce(Column.__add__, bits)
+
+    room = F.least(own(x, y), own(y, x))
+    return room * (100 + percent) >= (F.col(f"{x}.size") + F.col(f"{y}.size")) * percent
+
+
 class Join:
     """Classes, buckets and links of one join; every table is written to the shared folder."""
 
@@ -267,16 +292,20 @@ class Join:
         sets = self.docs.filter("size > 0 and doc_id is not null")
         self.classes = self.written(
             sets.groupBy("class").agg(F.min("doc_id").alias("first")), "classes")
-        self.members = self.written(self._buckets(sets), "buckets")
+        own = sets.join(self.classes, (sets["class"] == self.classes["class"])
+                        & (sets["doc_id"] == self.classes["first"]), "left_semi")
+        self.members = self.written(self._buckets(own), "buckets")
+        held = self.members.select("class").distinct()
+        # Rows that repeat a class repeat its outline, which changes nothing.
+        self.outlines = self.written(
+            own.select("class", "size", "outline").join(held, "class", "left_semi"), "outlines")
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
-    def _buckets(self, sets: DataFrame) -> DataFrame:
+    def _buckets(self, own: DataFrame) -> DataFrame:
         """(gram, class, size, place, first) of prefix n-grams that several classes hold."""
-        own = sets.join(self.classes, (sets["class"] == self.classes["class"])
-                        & (sets["doc_id"] == self.classes["first"]), "left_semi")
         rows = own.select("class", "size", F.posexplode("prefix").alias("place", "gram"))
         shared = (rows.groupBy("gram").agg(F.min("class").alias("first"), F.max("class").alias("last"))
                   .filter("first <> last").select("gram", "first"))
@@ -299,9 +328,14 @@ class Join:
         return out
 
     def _similar(self, pairs: DataFrame, step: int) -> DataFrame:
-        if pairs.isEmpty():
-            return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        return self.written(similar(pairs, self._cut(pairs, step), self.percent), f"links-{step}")
+        """The links among these pairs. Outlines spare most of those that are none."""
+        x = self.outlines.withColumnRenamed("class", "a").alias("x")
+        y = self.outlines.withColumnRenamed("class", "b").alias("y")
+        near = pairs.join(x, "a").join(y, "b").filter(_outlines_meet("x", "y", self.percent))
+        near = self.written(near.select("a", "b").distinct(), f"near-{step}")
+        if near.isEmpty():
+            return near.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return self.written(similar(near, self._cut(near, step), self.percent), f"links-{step}")
 
     def _labelled(self, labels: DataFrame) -> DataFrame:
         """Buckets whose classes are in several components, with the components."""
@@ -350,9 +384,19 @@ class Join:
         rows = self.written(self._labelled(components(links)), "labelled-3")
         # Each pair once, at the first n-gram that its classes share.
         rows = self.written(self._with_earlier(rows), "earlier-3")
-        apart = other & (F.col("x.class") > F.col("y.class")) & ~F.arrays_overlap(
-            "x.earlier", "y.earlier")
-        pairs = self._paired(rows, rows, apart).join(tried, ["a", "b"], "left_anti")
+        large = self.written(rows.groupBy("gram").agg(F.count("*").alias("n")).filter(
+            F.col("n") > LARGE_BUCKET).select("gram"), "large-3")
+        apart = other & (F.col("x.class") > F.col("y.class"))
+        once = ~F.arrays_overlap("x.earlier", "y.earlier")
+        few = rows.join(large, "gram", "left_anti")
+        pairs = self._paired(few, few, apart & once)
+        if not large.isEmpty():
+            outlines = self.outlines.select("class", "outline").dropDuplicates(["class"])
+            many = self.written(
+                rows.join(large, "gram", "left_semi").join(outlines, "class"), "many-3")
+            pairs = pairs.union(self._paired(
+                many, many, apart & _outlines_meet("x", "y", self.percent) & once)).distinct()
+        pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = self.written(pairs, "pairs-3")
         found = self._similar(pairs, 3)
         return links.union(found)

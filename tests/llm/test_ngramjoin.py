@@ -75,8 +75,9 @@ def test_against_all_pairs(spark, n, percent):
     assert found == plain(rows, n, percent)
 
 
-def test_without_broadcast(spark, monkeypatch):
+def test_without_broadcast_and_with_outlines_for_all(spark, monkeypatch):
     monkeypatch.setattr(ngramjoin, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(ngramjoin, "LARGE_BUCKET", 1)
     rows = corpus()
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
     got = ngramjoin.similar_components(df, 4, 85)
