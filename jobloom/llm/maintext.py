@@ -61,9 +61,14 @@ NAMES = set("ad ads adv advert adverts advertisement advertising adsense sponsor
             "recommendations pagination pager search toolbar skip".split())
 COMMENTS = {"comment", "comments", "reply", "replies", "disqus", "respond"}
 
-TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,4000}+"|'[^']{0,4000}+'|["'])*+)>"""
-    r"""|<[!?/][^>]*+>?""", re.S)
+# An attribute, or what stands between two. As browsers read it: a quote opens a value only after "=",
+# and ends with the next same quote, however far; one that never ends is a character like others.
+ITEM = r"""[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+"""
+NEXT_ITEM = re.compile(ITEM)
+START = re.compile("<(?:[!?/]|[a-zA-Z])")
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+TAG = re.compile(rf"{NAME.pattern}((?:{ITEM})*+)>")
+OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/][^>]*+>?", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""",
                        re.I)
 NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
@@ -104,6 +109,41 @@ def _hints(attributes: str) -> tuple[set[str], bool]:
     return words, hidden
 
 
+class Tags:
+    """Finds the tags, comments and declarations of a page, each in time linear in the page."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        # Where attributes begin from which no end of a tag is reached.
+        self.endless: set[int] = set()
+
+    def _has_end(self, pos: int) -> bool:
+        seen = []
+        while pos not in self.endless and (m := NEXT_ITEM.match(self.page, pos)):
+            seen.append(pos)
+            pos = m.end()
+        if self.page.startswith(">", pos):
+            return True
+        self.endless.update(seen)
+        self.endless.add(pos)
+        return False
+
+    def search(self, pos: int) -> re.Match | None:
+        """The first one from pos on; groups 1 to 3 are a tag's slash, name and attributes."""
+        while m := START.search(self.page, pos):
+            pos = m.start()
+            if name := NAME.match(self.page, pos):
+                if pos < self.last and (not self.endless or self._has_end(name.end())):
+                    if tag := TAG.match(self.page, pos):
+                        return tag
+                    self._has_end(name.end())
+            if other := OTHER.match(self.page, pos):
+                return other
+            # A tag without an end is text, as are all that begin within its name.
+            pos = name.end()
+        return None
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order."""
     out: list[Block] = []
@@ -122,15 +162,17 @@ def blocks_of(page: str) -> list[Block]:
                 out.append(Block(text, linked, heading, article, firm or named))
             parts, linked = [], 0
 
-    for m in iter(lambda: TAG.search(page, pos), None):
+    tags = Tags(page)
+    for m in iter(lambda: tags.search(pos), None):
         if m.start() > pos:
             piece = page[pos:m.start()]
             parts.append(piece)
             if in_link:
                 linked += len(piece.strip())
-        pos, tag = m.end(), (m[2] or "").lower()
-        if not tag:
+        pos = m.end()
+        if m.re is not TAG:
             continue
+        tag = m[2].lower()
         closing = m[1] == "/"
         if tag == "a":
             in_link = 0 if closing else 1

@@ -70,3 +70,20 @@ def test_articles_of_the_test_table(spark):
         parts = re.split(r"</?p>|</?h1>", article)
         blocks = [" ".join(html.unescape(re.sub("<br>", " ", re.sub("</?b>", "", p))).split()) for p in parts]
         assert r.text == "\n\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("value", ["x" * 100_000, "a > b <p> " * 10_000, "it's, \"so\" " * 10_000])
+def test_attribute_values_of_any_length(value):
+    quoted = html.escape(value, quote=False).replace('"', "&quot;").replace("&gt;", ">").replace("&lt;", "<")
+    page = f'<article><img src="data:{quoted}" alt="x"><p>Article text one.</p><p class="b">Text two.</p></article>'
+    assert text(page) == "Article text one.\n\nText two."
+    other = value.replace("'", "")
+    assert text(page.replace(f'"data:{quoted}"', f"'{other}'")) == "Article text one.\n\nText two."
+
+
+def test_stray_quotes_and_endless_tags():
+    assert text(f"<article><p class=b\">One.</p><p 5\" a=x'>{PROSE}</p><p class=\"b>Two.") == (
+        f"One.\n\n{PROSE.strip()}\n\nTwo.")
+    for piece in ("<a ", "<a", "<a x='>' ", "<a x=\"<b y='>'\" ", "<p x=\"", "</a '"):
+        text("<article>" + piece * 50_000)
+        text("<article>" + piece * 50_000 + " x='>'")
