@@ -109,6 +109,11 @@ def _hints(attributes: str) -> tuple[set[str], bool]:
     return words, hidden
 
 
+def _plain(pieces: list[str]) -> str:
+    """Text with character references decoded and white space as one blank."""
+    return " ".join(entities.unescape("".join(pieces)).split())
+
+
 class Tags:
     """Finds the tags, comments and declarations of a page, each in time linear in the page."""
 
@@ -150,17 +155,20 @@ def blocks_of(page: str) -> list[Block]:
     # Open elements: tag, barred for good, barred by name only, number of the article.
     stack: list[tuple[str, bool, bool, int]] = []
     parts: list[str] = []
-    linked, in_link, articles, pos = 0, 0, 0, 0
+    # The pieces of each link of the block.
+    links: list[list[str]] = [[]]
+    in_link, articles, pos = 0, 0, 0
     heading = False
 
     def flush():
-        nonlocal parts, linked
+        nonlocal parts, links
         if parts:
-            text = " ".join(entities.unescape("".join(parts)).split())
+            text = _plain(parts)
             if text:
                 _, firm, named, article = stack[-1] if stack else ("", False, False, 0)
+                linked = sum(len(_plain(pieces)) for pieces in links if pieces)
                 out.append(Block(text, linked, heading, article, firm or named))
-            parts, linked = [], 0
+            parts, links = [], [[]]
 
     tags = Tags(page)
     for m in iter(lambda: tags.search(pos), None):
@@ -168,7 +176,7 @@ def blocks_of(page: str) -> list[Block]:
             piece = page[pos:m.start()]
             parts.append(piece)
             if in_link:
-                linked += len(piece.strip())
+                links[-1].append(piece)
         pos = m.end()
         if m.re is not TAG:
             continue
@@ -176,9 +184,11 @@ def blocks_of(page: str) -> list[Block]:
         closing = m[1] == "/"
         if tag == "a":
             in_link = 0 if closing else 1
+            links.append([])
             continue
         if tag == "br":
             parts.append(" ")
+            links[-1].append(" ")
             continue
         if tag in OPAQUE:
             if tag in BLOCKS:

@@ -87,3 +87,12 @@ def test_stray_quotes_and_endless_tags():
     for piece in ("<a ", "<a", "<a x='>' ", "<a x=\"<b y='>'\" ", "<p x=\"", "</a '"):
         text("<article>" + piece * 50_000)
         text("<article>" + piece * 50_000 + " x='>'")
+
+
+@pytest.mark.parametrize("link", ["&eacute;" * 6 + "y" * 54, "&#1078;" * 60, "y" * 29 + "\n" + " " * 80 + "y" * 30,
+                                  "y" * 29 + "<b>\n  " + " " * 80 + "</b> <br>" + "y" * 30])
+def test_links_count_by_their_decoded_text(link):
+    shown = " ".join(html.unescape(re.sub("<.*?>", " ", link)).split())
+    assert text(f"<article><p>{'q' * 50} {'z' * 49}<a href=x>{link}</a></p></article>") == (
+        f"{'q' * 50} {'z' * 49}{shown}")
+    assert text(f"<article><p>{'q' * 50}<a href=x>{link}</a></p></article>") == ""
