@@ -47,9 +47,11 @@ BLOCKS = set("address article aside blockquote body button caption center dd det
              "section select summary table tbody td tfoot th thead tr ul".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-# Their content is no text of the page.
+# Their content is no text of the page. Those without an end tag are read on after their start tag.
 OPAQUE = set("script style template svg math object applet audio video canvas iframe noscript "
              "title textarea select".split())
+# Of these, browsers read the content as mere characters, up to the end of the page if none ends it.
+RAW = set("script style iframe noscript title textarea".split())
 NEVER = set("nav header footer aside form menu dialog button search fieldset".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu "
             "menubar toolbar".split())
@@ -121,6 +123,8 @@ class Tags:
         self.page, self.last = page, page.rfind(">")
         # Where attributes begin from which no end of a tag is reached.
         self.endless: set[int] = set()
+        # By tag, where the element that begins at a place ends.
+        self.ends: dict[str, dict[int, int]] = {}
 
     def _has_end(self, pos: int) -> bool:
         seen = []
@@ -148,6 +152,24 @@ class Tags:
             pos = name.end()
         return None
 
+    def end_of(self, start: re.Match) -> int | None:
+        """Where the element of this start tag ends, None if it is left open."""
+        tag = start[2].lower()
+        if tag in RAW:
+            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(self.page, start.end())
+            return end.end() if end else len(self.page)
+        if tag not in self.ends:
+            ends, left = {}, []
+            for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(
+                    self.page, start.start(), self.last + 1):
+                if not m[1]:
+                    if not m[0].endswith("/>"):
+                        left.append(m.start())
+                elif left:
+                    ends[left.pop()] = m.end()
+            self.ends[tag] = ends
+        return self.ends[tag].get(start.start())
+
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order."""
@@ -194,8 +216,7 @@ def blocks_of(page: str) -> list[Block]:
             if tag in BLOCKS:
                 flush()
             if not closing and not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, pos)
-                pos = end.end() if end else len(page)
+                pos = tags.end_of(m) or pos
             continue
         if tag not in BLOCKS:
             continue

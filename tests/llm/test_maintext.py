@@ -96,3 +96,16 @@ def test_links_count_by_their_decoded_text(link):
     assert text(f"<article><p>{'q' * 50} {'z' * 49}<a href=x>{link}</a></p></article>") == (
         f"{'q' * 50} {'z' * 49}{shown}")
     assert text(f"<article><p>{'q' * 50}<a href=x>{link}</a></p></article>") == ""
+
+
+@pytest.mark.parametrize("tag", sorted(maintext.OPAQUE - maintext.RAW))
+def test_elements_left_open_do_not_take_the_page(tag):
+    assert text(f"<{tag} src=x><article><p>{PROSE}</p></article>") == PROSE.strip()
+    assert text(f"<{tag}><article><p>{PROSE}</p><{tag}>x</{tag.upper()} ></article>") == PROSE.strip()
+    assert text(f"<article><{tag}><p>{PROSE}</p><{tag}>{PROSE}</{tag}>{PROSE}</{tag}><p>Text.</p></article>") == "Text."
+    assert text(f"<article><{tag} />Text." + f"<{tag}>" * 50_000) == "Text."
+
+
+@pytest.mark.parametrize("tag", sorted(maintext.RAW))
+def test_raw_text_left_open_takes_the_page(tag):
+    assert text(f"<article><p>Text.</p><{tag}><p>{PROSE}</p></article>") == "Text."
