@@ -18,7 +18,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
     ship_package(spark)
-    return ngramjoin.keep_one(docs, n=5, percent=80)
+    return ngramjoin.keep_one_row(docs, n=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

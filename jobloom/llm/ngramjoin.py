@@ -429,3 +429,23 @@ def keep_one(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, *, key: st
     found = similar_components(docs, n, percent, key=key, text=text)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+
+
+def keep_one_row(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, *, key: str = "doc_id",
+                 text: str = "text") -> DataFrame:
+    """One row of each component, with all columns; each row is taken by its own text, also those
+    that repeat a row, share an id or have none. The smallest id stays (none counts as the largest),
+    then the smallest hash of the text. Empty texts are linked with nothing and stay."""
+    folder = shared_dir(docs.sparkSession, "keep-one-row")
+    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(f"{folder}/rows")
+    rows = docs.sparkSession.read.parquet(f"{folder}/rows")
+    found = similar_components(rows, n, percent, key="_row", text=text).filter("n_shingles > 0")
+    found = found.select(F.col("doc_id").alias("_row"), "component_id")
+    names = rows.select("_row", F.struct(
+        F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.xxhash64(text).alias("hash"),
+        F.col("_row").alias("row")).alias("name"))
+    found.join(names, "_row").write.parquet(f"{folder}/found")
+    found = docs.sparkSession.read.parquet(f"{folder}/found")
+    stay = found.groupBy("component_id").agg(F.min("name").alias("name"))
+    gone = found.select("_row").join(stay.select(F.col("name.row").alias("_row")), "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)

@@ -86,3 +86,23 @@ def test_empty_documents(spark, tmp_path, folder):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_one_row_of_each_group_goes_through_two_stages(spark):
+    draw = random.Random(12)
+    texts = [" ".join(draw.choice("abcdefghij") + str(draw.randrange(1000)) for _ in range(60)) for _ in range(7)]
+    near = texts[3] + " more"
+    rows = [(1, texts[0]), (1, texts[0]),                       # a repeated row
+            (None, texts[1]), (2, texts[1]), (None, texts[1]),  # copies without id
+            (None, texts[2]), (None, texts[2]),                 # only copies without id
+            (3, texts[3]), (4, near), (4, texts[4]),            # an id shared with a near copy
+            (5, texts[5]), (5, texts[6]),                       # an id of two texts
+            (6, ""), (6, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA).repartition(3)
+    expected = [(1, texts[0]), (2, texts[1]), (None, texts[2]), (3, texts[3]), (4, texts[4]), (5, texts[5]),
+                (5, texts[6]), (6, ""), (6, ""), (None, None)]
+    for stage in (corpus_pipeline.drop_near_copies, corpus_pipeline.cut_repeats):
+        docs = stage(spark, docs, "")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        found = Counter((r.doc_id, r.text or None) for r in docs.collect())
+        assert found == Counter((i, t or None) for i, t in expected), stage
