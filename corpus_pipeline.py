@@ -10,7 +10,9 @@ from jobloom.session import shared_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter go."""
+    """Documents with a letter, whichever language the mixture infers: no score is asked for, as no
+    bound has been checked on clean documents. So only those without a letter go, also if no language
+    can be learned."""
     ship_package(spark)
     return langid.keep_identified(docs)
 

@@ -216,7 +216,9 @@ def keep_identified(docs: DataFrame, least: float = 0.0, parts: int = 3, held_ou
                     key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents in a known language with a score of at least `least`, with all columns.
 
-    Those without a letter go.
+    Those without a letter go. With `least` 0 no other document does: every text with a letter is
+    given some language, and the inferred mixture takes no part in the decision. If no language
+    could be learned nothing is known of any text, and all with a letter stay.
     """
     out = in_fold(F.col(key), parts, held_out)
     model = train(docs.filter(F.col(key).isNotNull() & ~out), text=text, lang=lang)
@@ -224,8 +226,11 @@ def keep_identified(docs: DataFrame, least: float = 0.0, parts: int = 3, held_ou
 
     def work(slices):
         for t in slices:
-            names, scores = shared.value.predict(t)
-            keep = (np.array(names) != UNKNOWN) & (scores >= least)
+            if shared.value.languages:
+                names, scores = shared.value.predict(t)
+                keep = (np.array(names) != UNKNOWN) & (scores >= least)
+            else:
+                keep = np.bincount(trigrams(t)[0], minlength=len(t)) > 0
             yield t.batch.filter(pa.array(keep))
 
     return map_texts(docs, text, docs.schema, work, SLICE)

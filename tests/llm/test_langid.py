@@ -83,3 +83,10 @@ def test_held_out_accuracy(spark):
     table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     found = langid.identify(table).filter("held_out").join(table, "doc_id")
     assert found.filter("lang_pred = lang").count() > 0.98 * found.count()
+
+
+def test_documents_stay_if_nothing_is_learned(spark):
+    table = docs(spark)
+    none = table.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang", "lang_pred")
+    assert langid.keep_identified(none).count() == langid.keep_identified(table).count() == 67
+    assert langid.keep_identified(table.filter(langid.in_fold(table["doc_id"], 3, 1))).count() > 10
