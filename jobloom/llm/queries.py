@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom.llm import (
-    bitslice, langid, leaks, maintext, mixing, ngramjoin, quality, substrings, tokencount, warc,
+    bitslice, interleave, langid, leaks, maintext, mixing, negatives, ngramjoin, quality, substrings,
+    tokencount, vectorcodes, warc,
 )
 from jobloom.llm.ship import ship_package
 
@@ -167,8 +168,113 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interleave.interleave(_table(spark, sf_dir, "documents"))
+
+
+# The checksum is worked out bit by bit: 3988292384 is the polynomial of CRC-32, low bit first.
+OP11 = """
+WITH r AS (
+  SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+    4294967295 - list_reduce(list_prepend(4294967295, list_transform(
+        regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z:
+        CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS text_crc32
+  FROM documents),
+told AS (SELECT *, coalesce('=' || source, '-') AS name,
+  row_number() OVER (PARTITION BY doc_id, source, size, text_crc32) - 1 AS copy FROM r),
+shuffled AS (SELECT *, CAST('0x' || substr(md5('=0|' || coalesce('=' || doc_id, '-') || '|=' || size
+  || '|=' || text_crc32 || '|=' || copy), 1, 15) AS BIGINT) AS o FROM told),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY name ORDER BY o, doc_id, size, text_crc32, copy)
+    - 1 + CAST(CAST('0x' || substr(md5('=0|=' || name), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0)
+  / CAST(count(*) OVER (PARTITION BY name) AS DOUBLE) AS f FROM shuffled),
+placed AS (SELECT *, row_number() OVER (ORDER BY f, name) - 1 AS place, count(*) OVER () AS n FROM ranked)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
+  CAST(place * 40 // n AS INTEGER) AS shard,
+  CAST(place - ((place * 40 // n) * n + 39) // 40 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(
+        F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+OP12 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.r AS anchor, q.vec_id AS anchor_id, c.r, c.vec_id, c.label = q.label AS same,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.r <> c.r),
+p AS (
+  SELECT anchor, anchor_id, r AS positive, vec_id AS positive_id, score AS positive_score
+  FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (
+    PARTITION BY anchor, positive ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, vec_id NULLS LAST) <= 10
+"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.coded(_table(spark, sf_dir, "embeddings"))
+
+
+def _nearest(i: int) -> str:
+    """Assignment a{i} to the codebook c{i}."""
+    return f"""
+a{i} AS (SELECT r, k, min(d) AS d, arg_min(e, d * 256 + e) AS e FROM (
+    SELECT p.r, p.k, c.e, CAST(coalesce(list_sum(list_transform(list_zip(p.x, c.x),
+      lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 0) AS BIGINT) AS d
+    FROM p JOIN c{i} c ON c.k = p.k) GROUP BY r, k)"""
+
+
+def _means(i: int) -> str:
+    """The codebook c{i} from the one before and its assignment."""
+    return f"""
+c{i} AS (SELECT c.k, c.e, coalesce(m.x, c.x) AS x FROM c{i - 1} c LEFT JOIN (
+    SELECT k, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY j) AS x FROM (
+      SELECT k, e, j, sum(y) AS s, count(*) AS n FROM (
+        SELECT p.k, a.e, unnest(p.x) AS y, unnest(range(len(p.x))) AS j
+        FROM p JOIN a{i - 1} a ON a.r = p.r AND a.k = p.k) GROUP BY k, e, j) GROUP BY k, e) m
+  ON m.k = c.k AND m.e = c.e)"""
+
+
+OP13 = f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT r, k, v[k * len(v) // 4 + 1:(k + 1) * len(v) // 4] AS x
+      FROM (SELECT r, v, unnest(range(4)) AS k FROM v)),
+c0 AS (SELECT k, r AS e, x FROM p WHERE r < 256),
+{",".join(_nearest(i) + "," + _means(i + 1) for i in range(4))},
+{_nearest(4)},
+book AS (SELECT sha256(string_agg(y, ',' ORDER BY k, e, j)) AS h FROM (
+  SELECT k, e, unnest(x) AS y, unnest(range(len(x))) AS j FROM c4)),
+code AS (SELECT r, string_agg(lower(printf('%02x', e)), '' ORDER BY k) AS code,
+           CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT h FROM book) AS codebooks_sha256
+FROM v JOIN code USING (r)
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_mix_sources, op3_decontaminate, op4_top_k, op5_warc, op6_language,
-    op7_ngram_join, op8_main_text, op9_substring_dedup, op10_quality)}
+    op7_ngram_join, op8_main_text, op9_substring_dedup, op10_quality, op11_interleave,
+    op12_hard_negatives, op13_vector_codes)}
 ORACLE = {"op3_decontaminate": OP3, "op4_top_k": OP4, "op5_warc": OP5, "op7_ngram_join": OP7,
-          "op9_substring_dedup": OP9}
+          "op9_substring_dedup": OP9, "op11_interleave": OP11, "op12_hard_negatives": OP12,
+          "op13_vector_codes": OP13}

@@ -1,0 +1,107 @@
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from jobloom.llm import negatives
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, score string, rank string"
+
+
+def plain(rows, every, n_positives, n_negatives, dims):
+    most = negatives.bound(dims)
+    sound = []
+    for i, v, label in rows:
+        if v is None or label is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        whole = [math.floor(256 * float(np.float32(x))) for x in v]
+        sound.append((i, [max(-most, min(most, x)) for x in whole], label))
+    out = Counter()
+    late = float("inf")
+    for q, (anchor, v, label) in enumerate(sound):
+        if anchor is None or anchor % every:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), late if i is None else i, other)
+                        for r, (i, w, other) in enumerate(sound) if r != q)
+        for p, i, _ in [s for s in scored if s[2] == label][:n_positives]:
+            fit = [s for s in scored if s[2] != label and 30 * -p <= 100 * -s[0] <= 90 * -p]
+            for rank, (s, j, _) in enumerate(fit[:n_negatives]):
+                ids = (None if x == late else x for x in (i, j))
+                out[(anchor, *ids, rank + 1, -p, -s)] += 1
+    return out
+
+
+def found(spark, rows, every=5, n_positives=3, n_negatives=4, **options):
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    got = negatives.hard_negatives(df, F.col("vec_id") % every == 0, F.col("label"), n_positives,
+                                   n_negatives, **options)
+    return Counter((r.anchor_id, r.positive_id, r.negative_id, r["rank"], r.positive_score,
+                    r.negative_score) for r in got.collect())
+
+
+def sample():
+    draw = random.Random(4)
+    rows = [(i, [draw.gauss(0, 0.4) for _ in range(12)], draw.randrange(3)) for i in range(120)]
+    # Ties, a hot vector, repeated ids, null ids, short, empty and unsound vectors.
+    rows += [(200 + i, rows[3][1], i % 4) for i in range(30)] + [(5, rows[9][1], 1), (5, rows[10][1], 2)]
+    rows += [rows[20], rows[20], (None, rows[40][1], 0), (None, rows[41][1], 2), (400, [], 1), (401, [0.5], 2)]
+    rows += [(410, None, 1), (415, rows[0][1], None), (420, [None] * 12, 1), (425, [math.nan] * 12, 2),
+             (430, [math.inf] * 12, 2), (435, [0.0] * 12, 7), (440, [-0.0] * 12, 9)]
+    return rows
+
+
+@pytest.mark.parametrize("options", [{}, {"block_cells": 120, "chunk_anchors": 3}])
+def test_against_plain(spark, options):
+    rows = sample()
+    expected = plain(rows, 5, 3, 4, 12)
+    assert len(expected) > 100
+    assert found(spark, rows, **options) == expected
+
+
+def test_large_components(spark):
+    draw = random.Random(8)
+    rows = [(i, [draw.choice([1e30, -1e30, 3e5, 1e-3, -2.5]) for _ in range(3)], i % 2) for i in range(25)]
+    assert found(spark, rows) == plain(rows, 5, 3, 4, 3)
+
+
+def test_few_rows_and_none(spark):
+    assert not found(spark, [(0, [1.0], 1)]) and not found(spark, [])
+    assert not found(spark, [(0, [1.0], 1), (1, [1.0], 1)])
+    assert found(spark, [(0, [1.0], 1), (1, [1.0], 1), (2, [0.5], 2), (3, [0.1], 2)]) == Counter(
+        {(0, 1, 2, 1, 65536, 32768): 1})
+
+
+def test_bitmap_shrinks_before_all_columns_are_read():
+    """A block of rows of which few can reach the bar is read to the end for few rows only."""
+    draw = np.random.default_rng(1)
+    columns = draw.integers(-8, 9, (64, 4000))
+    columns[:4] *= 100
+    columns[:4, :5] = 800
+    anchor = np.ones(64, np.int64)
+    anchor[:4] = 50
+    block = negatives.Block(np.arange(4000), None, np.zeros(4000, np.int64), columns)
+    left = []
+
+    def needed(low, high):
+        keep = high >= np.partition(low, len(low) - 5)[len(low) - 5] if len(low) > 5 else np.ones(len(low), bool)
+        left.append(int(keep.sum()))
+        return keep
+
+    at, scores = block.scan(anchor, np.ones(4000, bool), needed)
+    assert left[0] < 400 and (np.diff(left) <= 0).all()
+    assert set(block.best(at, scores, 5)) <= set(range(len(at)))
+    exact = anchor @ columns
+    assert sorted(scores)[-5:] == sorted(exact)[-5:]
+
+
+def test_scan_equals_product():
+    draw = np.random.default_rng(2)
+    for largest in (9, 1 << 25):
+        columns = draw.integers(-largest, largest, (7, 50))
+        anchor = draw.integers(-largest, largest, 7)
+        block = negatives.Block(np.arange(50), None, np.zeros(50, np.int64), columns)
+        at, scores = block.scan(anchor, np.ones(50, bool), lambda low, high: np.ones(len(low), bool))
+        assert (at == np.arange(50)).all() and (scores == anchor @ columns).all()
