@@ -9,14 +9,16 @@ from jobloom.importers.base import Importer
 from jobloom.operators.jobs import rows_with_owner
 from jobloom.operators.latest import ARRIVAL, repeated_keys, winning_rows
 from jobloom.operators.merge import UPDATE, fits_broadcast
+from jobloom.operators.publish import staged
 from jobloom.schemas import STRING, shape
 from jobloom.sources.files import missing_paths, path_slices, scan_delimited
+from jobloom.sources.joboutputs import locate, opens, read_rows
 from jobloom.sources.tables import empty_table
 
 PREFIX = "namespace_prefix"
 SALTS = 64
 
-LOST = shape(file=STRING)
+LOST = shape(file=STRING, fault=STRING)
 
 # Reasons in the order in which a job reports them.
 _BAD_NAMESPACE, _MISSING_FILE, _NO_FILES, _BAD_CELL, _REPEATED = range(5)
@@ -56,9 +58,12 @@ def jobs_without_files(importer: Importer, jobs: DataFrame, files: DataFrame) ->
 
 
 def jobs_with_missing_files(files: DataFrame, missing: DataFrame) -> DataFrame:
-    """Jobs that list a file that does not exist; `missing` has the column file."""
-    hit = files.join(missing, "file").groupBy("id").agg(F.min("file").alias("file"))
-    return _failure(hit, _MISSING_FILE, F.concat(F.lit("No such file: "), F.col("file")))
+    """Jobs that list a file that does not exist or cannot be read; `missing` has the columns file
+    and fault."""
+    faults = missing.select("file", "fault").distinct()
+    hit = files.join(faults, "file")
+    return _failure(hit.groupBy("id").agg(F.min_by("fault", "file").alias("fault")),
+                    _MISSING_FILE, F.col("fault"))
 
 
 def jobs_with_bad_namespace(importer: Importer, jobs: DataFrame) -> DataFrame:
@@ -80,10 +85,8 @@ def _checked_cells(rows: DataFrame, schema: StructType) -> DataFrame:
     return rows.select("id", *cells, first.alias("_bad"))
 
 
-def typed_rows(importer: Importer, jobs: DataFrame, files: DataFrame, raw: DataFrame,
-               root: str = "") -> DataFrame:
-    """Scanned file rows as the importer's rows, with `id` and `_bad`."""
-    owned = rows_with_owner(raw, files, root)
+def typed_rows(importer: Importer, jobs: DataFrame, owned: DataFrame) -> DataFrame:
+    """File rows with the `id` of their job as the importer's rows, with `id` and `_bad`."""
     return _checked_cells(
         importer.transform(owned, jobs.withColumnRenamed("job_id", "id")), importer.schema
     )
@@ -134,12 +137,24 @@ def first_reason(failures: DataFrame) -> DataFrame:
 
 
 def stage_typed(spark: SparkSession, importer: Importer, jobs: DataFrame, files: DataFrame,
-                root: str, stage: str, slice_size: int = 20_000
-                ) -> tuple[DataFrame, DataFrame]:
-    """Read the files and write down their typed rows; returns these and the missing files.
+                root: str, stage: str) -> tuple[DataFrame, DataFrame]:
+    """Read the files and write down their typed rows; returns these and the files at fault
+    (file, fault).
 
-    The driver holds one slice of paths at a time, as every Spark file scan needs.
+    Tasks read the files themselves, in as many Spark jobs for any number of files. Below a root
+    that they cannot open, Spark's file scan does it, slice by slice of the paths.
     """
+    if not opens(spark, root):
+        return _scan_in_slices(spark, importer, jobs, files, root, stage)
+    located = staged(locate(files, root, importer.file_columns, importer.sep), f"{stage}/located")
+    owned = read_rows(located, root, importer.file_columns, importer.sep)
+    typed = staged(typed_rows(importer, jobs, owned), f"{stage}/rows")
+    return typed, located.filter("fault is not null").select("file", "fault")
+
+
+def _scan_in_slices(spark: SparkSession, importer: Importer, jobs: DataFrame, files: DataFrame,
+                    root: str, stage: str, slice_size: int = 20_000) -> tuple[DataFrame, DataFrame]:
+    """The driver holds one slice of paths at a time, as every Spark file scan needs."""
     rows_path, lost_path = f"{stage}/rows", f"{stage}/missing"
     columns = [StructField("id", STRING), *importer.schema, StructField("_bad", STRING)]
     schema = StructType(columns)
@@ -149,10 +164,11 @@ def stage_typed(spark: SparkSession, importer: Importer, jobs: DataFrame, files:
         there = [root + p for p in paths if root + p not in gone]
         if there:
             raw = scan_delimited(spark, there, importer.file_columns, importer.sep)
-            typed_rows(importer, jobs, files, raw, root).write.mode(rows_mode).parquet(rows_path)
+            owned = rows_with_owner(raw, files, root)
+            typed_rows(importer, jobs, owned).write.mode(rows_mode).parquet(rows_path)
             rows_mode = "append"
         if gone:
-            lost = [(p,) for p in paths if root + p in gone]
+            lost = [(p, f"No such file: {p}") for p in paths if root + p in gone]
             spark.createDataFrame(lost, LOST).write.mode(lost_mode).parquet(lost_path)
             lost_mode = "append"
 

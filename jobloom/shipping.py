@@ -1,0 +1,28 @@
+"""Sending this package to the executors."""
+
+from __future__ import annotations
+
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import SparkSession
+
+_sent: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make the package importable in Python workers, once per application.
+
+    Has the effect of `--py-files` for a session that was started without it.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _sent:
+        root = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+            for file in sorted(root.rglob("*.py")):
+                archive.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(target))
+        _sent.add(context.applicationId)
+    return spark
