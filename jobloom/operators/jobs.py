@@ -13,6 +13,8 @@ from jobloom.sources.files import FILE_COLUMN, bare_path
 # Up to this many jobs with large outputs are broadcast (an id and a number each).
 BROADCAST_JOBS = 200_000
 SALTS = 256
+# A job table is laid out by this hash of the id; the number belongs to the layout.
+ID_PART, ID_PARTS = "id_part", 256
 # Fixed value: text for a job that has not completed.
 NOT_COMPLETE_TEXT = "No complete event found for job "
 
@@ -76,8 +78,9 @@ def job_headers(jobs: DataFrame) -> DataFrame:
 
 def explode_outputs(jobs: DataFrame) -> DataFrame:
     """One row per job and output file."""
-    return jobs.select("id", F.explode("outputs").alias("o")).select(
-        "id", F.col("o.file").alias("file"), F.col("o.crc64nvme").alias("crc64nvme")
+    own = ["id", *[c for c in [ID_PART] if c in jobs.columns]]
+    return jobs.select(*own, F.explode("outputs").alias("o")).select(
+        *own, F.col("o.file").alias("file"), F.col("o.crc64nvme").alias("crc64nvme")
     )
 
 
@@ -104,15 +107,35 @@ def import_columns() -> list[Column]:
     ]
 
 
-def asked_for(headers: DataFrame, ids: DataFrame) -> DataFrame:
-    """The headers that a small set of ids (column job_id) asks for, else all of them.
+def id_part(id_: Column) -> Column:
+    return F.pmod(F.xxhash64(id_), F.lit(ID_PARTS)).cast("int")
 
-    A batch asks for few of all jobs: with the ids broadcast, the job table is scanned but
-    not exchanged. Many ids are left to the join that follows.
+
+def write_jobs(jobs: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Lay job documents (or headers, or files with their job's `id`) out by a hash of the id, in
+    files sorted by it, so that a batch's lookup reads the folders of its jobs only. Written again with
+    only some parts, the other parts stay."""
+    (jobs.withColumn(ID_PART, id_part(F.col("id"))).hint("rebalance", ID_PART)
+     .sortWithinPartitions(ID_PART, "id").write.mode(mode).partitionBy(ID_PART)
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+
+
+def asked_for(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows (headers or files of jobs) that a small set of ids (column job_id) asks for, else all
+    of them.
+
+    A batch asks for few of all jobs: with the ids broadcast, the job table is scanned but not
+    exchanged, and of a table that is laid out by id only the parts that hold one are read. Many ids
+    are left to the join that follows.
     """
     if not fits_broadcast(ids):
-        return headers
-    return headers.join(ids.select(F.col("job_id").alias("id")), "id", "left_semi")
+        return rows
+    asked = ids.select(F.col("job_id").alias("id"))
+    if ID_PART not in rows.columns:
+        return rows.join(asked, "id", "left_semi")
+    # The comparison holds for all; it tells Spark that the ids are worth pruning by.
+    asked = asked.withColumn(ID_PART, id_part(F.col("id"))).filter(F.col(ID_PART) >= 0)
+    return rows.join(asked, [ID_PART, "id"], "left_semi").drop(ID_PART)
 
 
 def job_fault() -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from jobloom.importers.base import Importer
-from jobloom.operators.jobs import rows_with_owner
+from jobloom.operators.jobs import ID_PART, asked_for, rows_with_owner
 from jobloom.operators.latest import ARRIVAL, repeated_keys, winning_rows
 from jobloom.operators.merge import UPDATE, fits_broadcast
 from jobloom.operators.publish import staged
@@ -37,10 +37,12 @@ def owned_files(importer: Importer, jobs: DataFrame, outputs: DataFrame) -> Data
     One job may own most files. Where the jobs are too many to broadcast, both sides are salted,
     so that no job's files are exchanged to one task.
     """
-    files = outputs.filter(importer.accepts(F.col("file"))).select("id", "file")
+    files = outputs.filter(importer.accepts(F.col("file")))
+    files = files.select("id", "file", *[c for c in [ID_PART] if c in files.columns])
     ids = jobs.select(F.col("job_id").alias("id"))
     if fits_broadcast(ids):
-        return files.join(ids, "id", "left_semi")
+        return asked_for(files, jobs).select("id", "file")
+    files = files.select("id", "file")
     salt = F.pmod(F.xxhash64("file"), F.lit(SALTS)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     return files.withColumn("_salt", salt).join(

@@ -19,11 +19,12 @@ from jobloom.operators.publish import (
     expire_versions, get_json, merge_and_publish, numbered, put_json, read_version, remove,
     remove_versions, staged, versions, write_version,
 )
+from jobloom.operators.sharedtable import SharedTable, claim, for_each, point_namespace
 from jobloom.plans import importing as imp
 from jobloom.schemas import EMPLOYEES, FAILURE, FOLDED, RECORD, STATUS_CHANGE
 from jobloom.sources.events import Topic, stream_events
 from jobloom.sources.registry import require_sound
-from jobloom.sources.tables import create_namespace, create_table, empty_table
+from jobloom.sources.tables import create_namespace, create_table, empty_table, quoted
 from jobloom.streaming.faults import is_outage
 
 Table = Callable[[], DataFrame]
@@ -39,7 +40,9 @@ class Ingest:
     headers: one row per job, without outputs; outputs: (id, file); both are read anew for
     each batch. `work` holds what a batch stages, `tables` the published tables. With
     `images`, the query takes only events of these images; with `not_images`, all but these.
-    `parallel_merges` namespaces are merged at a time. Of a table kept as versions, the last
+    `parallel_merges` namespaces are merged at a time. With a `shared_namespace` there is one table
+    for all namespaces, which is merged at once and of which a batch rewrites only the key buckets
+    that it touches; each namespace is then a view on it. Of a table kept as versions, the last
     `keep_versions` stay, for queries that still read them. With a row-level `provider` (delta,
     iceberg) tables are created in that format and merged in place. Every `fold_every` batches
     the status changes are folded.
@@ -59,6 +62,8 @@ class Ingest:
     images: list[str] | None = None
     not_images: list[str] = field(default_factory=list)
     parallel_merges: int = 8
+    shared_namespace: str | None = None
+    buckets: int = 16
     keep_versions: int = 3
     provider: str | None = None
     fold_every: int = 20
@@ -66,6 +71,10 @@ class Ingest:
     dlq_servers: str | None = None
     dlq_topic: str | None = None
 
+    def __post_init__(self):
+        if self.shared_namespace and self.provider:
+            raise ValueError("a shared table is kept as versions; it takes no provider")
+
     @property
     def dlq(self) -> str:
         return f"{self.work}/dead_letters"
@@ -190,6 +199,21 @@ class Ingest:
             raised = spark.createDataFrame(self._culprits(importer, events, batch_id), FAILURE)
             sound = events.join(raised.select(F.col("id").alias("job_id")), "job_id", "left_anti")
             rows, failed = self._stage_import(importer, sound, batch_id, "sound")
+        merge = self._merge_shared if self.shared_namespace else self._merge_each
+        broken = merge(importer, rows, batch_id, writer)
+        trace = F.concat(F.lit("ImportError: "), F.col("error"))
+        out = failed.select("id", "error", trace.alias("trace")).unionByName(raised)
+        if not broken:
+            return out
+        unmerged = spark.createDataFrame(broken, f"{imp.PREFIX} string, error string, trace string")
+        jobs = events.select(F.col("job_id").alias("id"), imp.PREFIX).distinct()
+        lost = jobs.join(F.broadcast(unmerged), imp.PREFIX).join(out.select("id"), "id", "left_anti")
+        return out.unionByName(lost.select("id", "error", "trace"))
+
+    def _merge_each(self, importer: Importer, rows: DataFrame, batch_id: int,
+                    writer: str) -> list[tuple[str, str, str]]:
+        """Merge into one table per namespace; returns (namespace, error, trace) of those that fail."""
+        spark = rows.sparkSession
         prefixes = [row[0] for row in rows.select(imp.PREFIX).distinct().collect()]
 
         def merge_one(prefix: str) -> tuple[str, str, str] | None:
@@ -212,15 +236,40 @@ class Ingest:
 
         with ThreadPoolExecutor(self.parallel_merges) as pool:
             done = pool.map(inheritable_thread_target(spark)(merge_one), prefixes)
-            broken = [x for x in done if x]
-        trace = F.concat(F.lit("ImportError: "), F.col("error"))
-        out = failed.select("id", "error", trace.alias("trace")).unionByName(raised)
-        if not broken:
-            return out
-        unmerged = spark.createDataFrame(broken, f"{imp.PREFIX} string, error string, trace string")
-        jobs = events.select(F.col("job_id").alias("id"), imp.PREFIX).distinct()
-        lost = jobs.join(F.broadcast(unmerged), imp.PREFIX).join(out.select("id"), "id", "left_anti")
-        return out.unionByName(lost.select("id", "error", "trace"))
+            return [x for x in done if x]
+
+    def _merge_shared(self, importer: Importer, rows: DataFrame, batch_id: int,
+                      writer: str) -> list[tuple[str, str, str]]:
+        """Merge into the table of all namespaces; returns (namespace, error, trace) of those that
+        cannot be set up."""
+        spark = rows.sparkSession
+        if rows.isEmpty():
+            return []
+        place, stage = f"{self.tables}/{self.shared_namespace}", self._stage(batch_id, f"{importer.name}/shared")
+        create_namespace(spark, self.shared_namespace, place)
+        table = SharedTable(spark, f"{place}/{importer.table}", importer.schema, importer.keys, imp.PREFIX,
+                            self.buckets)
+        # Also if the batch runs again, the namespaces that it brings are set up.
+        known = table.current_pieces(table.newest(but=writer)).select(imp.PREFIX)
+        new = staged(rows.select(imp.PREFIX).distinct().join(known, imp.PREFIX, "left_anti"), f"{stage}/new")
+
+        def set_up(prefix: str) -> None:
+            claim(spark, prefix + importer.namespace, self._place(prefix, importer), importer.table_name(prefix))
+
+        def point(prefix: str) -> None:
+            point_namespace(spark, importer.table_name(prefix), shared, imp.PREFIX, prefix,
+                            importer.schema.names)
+
+        broken = for_each(spark, new, set_up, is_outage, self.parallel_merges)
+        if broken:
+            without = spark.createDataFrame([x[:1] for x in broken], f"{imp.PREFIX} string")
+            rows, new = (df.join(without, imp.PREFIX, "left_anti") for df in (rows, new))
+            if rows.isEmpty():
+                return broken
+        number = table.merge([(rows, importer.mode)], writer, stage, max(self.keep_versions, 2))
+        shared = f"{quoted(self.shared_namespace)}.{quoted(importer.table)}"
+        table.point_view(shared, number)
+        return broken + for_each(spark, new, point, is_outage, self.parallel_merges)
 
     def _place(self, prefix: str, importer: Importer) -> str:
         return f"{self.tables}/{prefix}{importer.namespace}"

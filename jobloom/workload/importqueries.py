@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from functools import reduce
 
@@ -134,7 +135,7 @@ def _job_events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def run_stream(spark: SparkSession, sf: str) -> Ingest:
+def run_stream(spark: SparkSession, sf: str, **options) -> Ingest:
     """Run the ingest over job events and all messages of `events` until it has caught up. The
     users of each run have names of their own.
 
@@ -162,15 +163,15 @@ def run_stream(spark: SparkSession, sf: str) -> Ingest:
     ingest = Ingest(
         headers=lambda: headers, outputs=lambda: files, registry=lambda: known,
         importers=[IMPORTER], work=work, tables=shared_dir(spark, "tables"), files_root=root,
-        control_namespace=f"control_{work[-32:]}",
+        control_namespace=f"control_{work[-32:]}", **options,
     )
     ingest.start(spark, topic, f"{work}/checkpoint", every=None).awaitTermination()
     return ingest
 
 
 def import_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """The tables that the stream leaves, by namespace."""
-    ingest = run_stream(spark, sf)
+    """The tables that the stream leaves, by namespace: views on one table of all of them."""
+    ingest = run_stream(spark, sf, shared_namespace=f"all_{uuid.uuid4().hex}")
     kinds = [r.event_type for r in
              table(spark, sf, "events").select("event_type").distinct().collect()]
     names = {k: IMPORTER.table_name(f"u_{k}_{ingest.work[-32:]}__") for k in kinds}

@@ -87,6 +87,20 @@ def enrich_jobs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def lookup_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """As enrich_jobs, through a job table laid out by id: only its parts that hold an asked job are
+    read, if the jobs asked for are few."""
+    folder = shared_dir(spark, "lookup")
+    j.write_jobs(shapes.headers_with_counts(spark, sf), f"{folder}/jobs")
+    events = staged(_importable(spark, sf), f"{folder}/events")
+    ids = staged(events.filter("job_id is not null").select("job_id").distinct(), f"{folder}/ids")
+    headers = j.asked_for(spark.read.parquet(f"{folder}/jobs"), ids)
+    return _naive(j.enrich(events, headers)).select(
+        event_id(), "job_id", "job_found", "namespace_prefix", "image", "image_digest",
+        "input_file_count", "output_file_count", "completion_time",
+    )
+
+
 def missing_jobs(spark: SparkSession, sf: str) -> DataFrame:
     return j.missing_jobs(_importable(spark, sf), shapes.job_headers(spark, sf)).select(
         event_id(), "job_id"
@@ -127,7 +141,7 @@ def registry_invalid(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     build_jobs, explode_outputs, completion_time, import_record, image_ref, labels,
-    enrich_jobs, missing_jobs, dispatch, registry_load, registry_conflicts, registry_invalid,
+    enrich_jobs, lookup_jobs, missing_jobs, dispatch, registry_load, registry_conflicts, registry_invalid,
 )}
 
 FILE = "'bucket/' || l_orderkey || '/' || l_linenumber || '-' || l_partkey || '.tsv'"
@@ -208,3 +222,4 @@ FROM part GROUP BY p_name HAVING count(*) > 1""",
 SELECT p_partkey || '.yaml' AS source_file, 'module' AS violations
 FROM part WHERE p_type = 'ECONOMY'""",
 }
+ORACLE["lookup_jobs"] = ORACLE["enrich_jobs"]

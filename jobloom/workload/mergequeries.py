@@ -11,6 +11,7 @@ from jobloom.operators.compare import differences
 from jobloom.operators.latest import winning_rows
 from jobloom.operators.merge import UPDATE, merge
 from jobloom.operators.publish import staged
+from jobloom.operators.sharedtable import SharedTable
 from jobloom.session import shared_dir
 from jobloom.workload.events import MESSAGES, routed
 from jobloom.workload.shapes import event_id, table
@@ -65,6 +66,23 @@ def merge_insert_only(spark: SparkSession, sf: str) -> DataFrame:
     return merge(_target(spark, sf), _staged(spark, sf, "first"), KEYS, INSERT)
 
 
+def merge_shared(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge into one table of several namespaces, of which the second batch rewrites only
+    the pieces that it touches; a batch that runs again changes nothing."""
+    folder = shared_dir(spark, "shared")
+    columns = table(spark, sf, "customer").schema
+
+    def placed(df: DataFrame) -> DataFrame:
+        number = F.pmod("c_custkey", F.lit(5)).cast("string")
+        return df.withColumn("namespace", F.concat(F.lit("n"), F.coalesce(number, F.lit("one"))))
+
+    shared = SharedTable(spark, f"{folder}/table", columns, KEYS, "namespace")
+    batches = [("0", _target(spark, sf), UPDATE), ("1", _staged(spark, sf, "last"), UPDATE)]
+    for writer, rows, mode in [*batches, batches[0]]:
+        shared.merge([(placed(rows), mode)], writer, f"{folder}/{writer}")
+    return shared.read()
+
+
 def merge_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     source = _staged(spark, sf, "last")
     once = merge(_target(spark, sf), source, KEYS, UPDATE)
@@ -117,7 +135,7 @@ def job_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    latest_per_key, first_per_key, merge_upsert, merge_insert_only, merge_idempotent,
+    latest_per_key, first_per_key, merge_upsert, merge_insert_only, merge_shared, merge_idempotent,
     table_differences, employees_import, status_upsert, job_status,
 )}
 
@@ -149,6 +167,8 @@ ORACLE = {
     "merge_insert_only": _SOURCE + """
 SELECT * FROM t UNION ALL
 SELECT * FROM first WHERE c_custkey NOT IN (SELECT c_custkey FROM t)""",
+    "merge_shared": _SOURCE + """
+SELECT *, 'n' || coalesce(CAST((c_custkey % 5 + 5) % 5 AS VARCHAR), 'one') AS namespace FROM up""",
     "merge_idempotent": _SOURCE + "SELECT * FROM up",
     "table_differences": _SOURCE + """
 SELECT *, 'actual' AS side FROM (SELECT * FROM up EXCEPT ALL SELECT * FROM t) UNION ALL
