@@ -13,8 +13,21 @@ fragment by fragment and summed, which gives the exact overlap.
 Components need not see all pairs of a bucket. First each class is compared with its buckets' first
 class. Classes that are still in other components than some of their bucket are compared with a few
 more of it. Last, all pairs of a bucket whose classes still are in different components are
-compared, so that no link between components can be missed. A group of copies, however large,
-costs a few comparisons for each of its texts.
+decided, so that no link between components can be missed: in small buckets by comparing them, in
+large ones by their differences to a pivot. A group of copies, however large, costs a few comparisons
+for each of its texts.
+
+Differences to a pivot: classes that share large buckets form a cluster, whose pivot P holds the n-grams
+that most classes of its largest bucket hold. What a class x has but P has not, or P has but x has
+not, is dx, found fragment by fragment. As x and y differ by what dx and dy do not share, x and y are
+linked iff F(x) + F(y) <= 2 (100 + p) |dx & dy| with F(x) = (100 + p) |dx| - (100 - p) |x|, for p percent.
+
+- Where F(x) + F(y) <= 0 nothing needs to be shared: then both are linked with the class of least F, so
+  one star around it links all of them.
+- Else some n-grams of dx must be in dy. Those that one class alone holds are left out; of the others,
+  rare ones first, only so many first ones are joined as the least sum of F allows.
+- A class of which P holds little cannot be linked with one that P holds mostly. The latter are done; the
+  others get a pivot of their own, a few times, and then are compared.
 
 Only tables of bounded size are broadcast (frequency classes, 1 to 16 MB by the size of the input;
 fragment cuts), and the ids of candidate classes up to `BROADCAST_IDS`; beyond that they are joined.
@@ -52,6 +65,8 @@ SLICES = 64
 SALTS = 1024
 BROADCAST_IDS = 500_000
 PIVOTS = 3
+# Clusters get a new pivot so many times; longer lists of shared differences are not compared in the join.
+PIVOT_ROUNDS, LONGEST_LIST = 3, 256
 # Bits of a set's outline, and classes from which on a bucket is compared by outlines first.
 OUTLINE_BITS = 1024
 LARGE_BUCKET = 64
@@ -253,6 +268,32 @@ def similar(pairs: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
             .select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
+def _exploded(batches):
+    """The n-grams of segments, one a row."""
+    for batch in batches:
+        grams = [np.frombuffer(g, np.int64) for g in batch.column(2).to_pylist()]
+        lengths = [len(g) for g in grams]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(batch.column(0).to_numpy(), lengths)),
+             pa.array(np.repeat(batch.column(1).to_numpy(), lengths)),
+             pa.array(np.concatenate(grams) if grams else np.empty(0, np.int64))],
+            ["cluster", "fragment", "gram"])
+
+
+def _differences(batches):
+    """What a segment and its part of the pivot do not share, and how many they do."""
+    for batch in batches:
+        out, inside = [], []
+        for grams, pivot in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+            x = np.frombuffer(grams or b"", np.int64)
+            p = np.array(pivot or [], np.int64)
+            out.append(np.setxor1d(x, p, assume_unique=True))
+            inside.append((len(x) + len(p) - len(out[-1])) // 2)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array(out, pa.list_(pa.int64())), pa.array(inside, pa.int64())],
+            ["cluster", "class", "fragment", "differ", "inside"])
+
+
 def _can_meet(x: str, y: str, percent: int) -> Column:
     """Sizes and places of a shared prefix n-gram leave room for enough overlap.
 
@@ -287,7 +328,7 @@ class Join:
         texts = source.select("_text")
         order = GlobalOrder(frequency_table(texts, n, counter_bits(texts)), fragments)
         self.shared = self.spark.sparkContext.broadcast(order)
-        self.source, self.n, self.cuts = source, n, []
+        self.source, self.n, self.fragments, self.cuts = source, n, fragments, []
         self.docs = self.written(signatures(source, self.shared, n, percent), "signatures")
         sets = self.docs.filter("size > 0 and doc_id is not null")
         self.classes = self.written(
@@ -312,7 +353,7 @@ class Join:
         # Written first, so that Spark can split a frequent n-gram in the join.
         return rows.join(self.written(shared, "shared"), "gram")
 
-    def _cut(self, pairs: DataFrame, step: int) -> DataFrame:
+    def _cut(self, pairs: DataFrame, step: int | str) -> DataFrame:
         """The segments of the classes of these pairs; those of earlier steps are kept."""
         ids = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
         for earlier in self.cuts:
@@ -327,7 +368,7 @@ class Join:
             out = out.union(more)
         return out
 
-    def _similar(self, pairs: DataFrame, step: int) -> DataFrame:
+    def _similar(self, pairs: DataFrame, step: int | str) -> DataFrame:
         """The links among these pairs. Outlines spare most of those that are none."""
         x = self.outlines.withColumnRenamed("class", "a").alias("x")
         y = self.outlines.withColumnRenamed("class", "b").alias("y")
@@ -381,19 +422,19 @@ class Join:
         found = self._similar(pairs, 2)
         tried, links = tried.union(pairs), links.union(found)
 
+        links, done = self._by_differences(links)
         rows = self.written(self._labelled(components(links)), "labelled-3")
         # Each pair once, at the first n-gram that its classes share.
         rows = self.written(self._with_earlier(rows), "earlier-3")
-        large = self.written(rows.groupBy("gram").agg(F.count("*").alias("n")).filter(
-            F.col("n") > LARGE_BUCKET).select("gram"), "large-3")
+        large = self.written(self._large(self.members), "large-3")
         apart = other & (F.col("x.class") > F.col("y.class"))
         once = ~F.arrays_overlap("x.earlier", "y.earlier")
         few = rows.join(large, "gram", "left_anti")
         pairs = self._paired(few, few, apart & once)
-        if not large.isEmpty():
+        rest = rows.join(large, "gram", "left_semi").join(done, "class", "left_anti")
+        if not rest.isEmpty():
             outlines = self.outlines.select("class", "outline").dropDuplicates(["class"])
-            many = self.written(
-                rows.join(large, "gram", "left_semi").join(outlines, "class"), "many-3")
+            many = self.written(rest.join(outlines, "class"), "many-3")
             pairs = pairs.union(self._paired(
                 many, many, apart & _outlines_meet("x", "y", self.percent) & once)).distinct()
         pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -401,6 +442,98 @@ class Join:
         found = self._similar(pairs, 3)
         return links.union(found)
 
+    @staticmethod
+    def _large(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("gram").agg(F.count("*").alias("n")).filter(
+            F.col("n") > LARGE_BUCKET).select("gram")
+
+    def _by_differences(self, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The links with those that large buckets add, and the classes of which none is missed there."""
+        done = self.classes.select("class").filter(F.lit(False))
+        large = self.written(self._large(self.members), "large-0")
+        for i in range(PIVOT_ROUNDS):
+            rows = self._labelled(components(links)).join(large, "gram", "left_semi")
+            rows = self.written(rows.join(done, "class", "left_anti"), f"hard-{i}")
+            if rows.isEmpty():
+                break
+            more, near = self._one_pivot_each(rows, links, i)
+            links, done = links.union(more), done.union(near)
+            if near.isEmpty():
+                break
+        return links, self.written(done, "done")
+
+    def _one_pivot_each(self, rows: DataFrame, links: DataFrame, i: int) -> tuple[DataFrame, DataFrame]:
+        """Links between classes of these large buckets by differences to one pivot for each cluster, and
+        the classes that the pivots mostly hold: no link of theirs is missed."""
+        up, down = 100 + self.percent, 100 - self.percent
+        hubs = rows.groupBy("gram").agg(F.min("class").alias("v"))
+        tied = rows.join(hubs, "gram").select(F.col("class").alias("u"), "v")
+        clusters = components(tied).select(F.col("node").alias("class"), F.col("label").alias("cluster"))
+        every = rows.select("class", "size").distinct().join(clusters, "class", "left")
+        every = self.written(every.withColumn("cluster", F.coalesce("cluster", "class")), f"clusters-{i}")
+
+        placed = rows.select("gram", "class").join(every.select("class", "cluster"), "class")
+        buckets = placed.groupBy("cluster", "gram").agg(F.count("*").alias("n"))
+        largest = buckets.groupBy("cluster").agg(F.max(F.struct("n", "gram")).alias("b")).select(
+            "cluster", "b.n", "b.gram")
+        heart = placed.join(largest, ["cluster", "gram"]).select("cluster", "class", "n")
+        both = every.select(F.col("class").alias("a"), F.col("class").alias("b"))
+        cut = self._cut(both, f"every-{i}").dropDuplicates(["class", "fragment"]).select(
+            "class", "fragment", "grams")
+        held = heart.join(cut, "class").select("cluster", "fragment", "grams").mapInArrow(
+            _exploded, "cluster bigint, fragment int, gram bigint")
+        held = held.groupBy("cluster", "fragment", "gram").agg(F.count("*").alias("held"))
+        pivots = held.join(largest.select("cluster", "n"), "cluster").filter(F.col("held") * 2 > F.col("n"))
+        pivots = self.written(pivots.groupBy("cluster", "fragment").agg(
+            F.collect_list("gram").alias("pivot")), f"pivots-{i}")
+
+        # The pivot may have n-grams in a fragment where a class has none.
+        parts = every.select("class", "cluster", F.explode(F.sequence(F.lit(0), F.lit(self.fragments - 1)))
+                             .alias("fragment"))
+        parts = parts.join(cut, ["class", "fragment"], "left").join(pivots, ["cluster", "fragment"], "left")
+        differ = self.written(parts.select("cluster", "class", "fragment", "grams", "pivot").mapInArrow(
+            _differences, "cluster bigint, class bigint, fragment int, differ array<bigint>, "
+            "inside bigint"), f"differ-{i}")
+        told = differ.groupBy("class").agg(F.sum(F.size("differ")).alias("d"), F.sum("inside").alias("inside"))
+        told = every.join(told, "class").withColumn("f", F.col("d") * up - F.col("size") * down)
+        told = self.written(told, f"told-{i}")
+        near = self.written(told.filter(
+            (F.col("size") - F.col("inside")) * up <= F.col("size") * self.percent).select("class"), f"mostly-{i}")
+        kept = told.filter(F.col("inside") * up >= F.col("size") * self.percent)
+
+        hub = self.written(kept.groupBy("cluster").agg(F.min(F.struct("f", "class")).alias("m")).select(
+            "cluster", F.col("m.f").alias("hub_f"), F.col("m.class").alias("hub")), f"hubs-{i}")
+        kept = self.written(kept.join(hub, "cluster"), f"kept-{i}")
+        star = self.written(kept.filter((F.col("f") + F.col("hub_f") <= 0) & (F.col("class") != F.col("hub")))
+                            .select(F.col("class").alias("u"), F.col("hub").alias("v")), f"star-{i}")
+
+        one = differ.select("cluster", "class", F.explode("differ").alias("gram")).join(
+            kept.select("class"), "class", "left_semi")
+        one = self.written(one, f"one-{i}")
+        common = self.written(one.groupBy("cluster", "gram").agg(F.count("*").alias("n")).filter("n > 1"),
+                              f"common-{i}")
+        lists = one.join(common, ["cluster", "gram"]).groupBy("class").agg(
+            F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("list"))
+        need = F.greatest(F.ceil((F.col("f") + F.col("hub_f")) / (2 * up)), F.lit(1)).cast("int")
+        labels = components(links.union(star)).withColumnRenamed("node", "class")
+        lists = (lists.join(kept.select("class", "cluster", "f", "hub_f"), "class")
+                 .join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+                 .withColumn("n", F.size("list")).withColumn("first", F.col("n") - need + 1).filter("first > 0"))
+        grams = F.transform("list", lambda x: x["gram"])
+        asked = lists.select("class", "cluster", "label", "f", "n",
+                             F.when(F.col("n") <= LONGEST_LIST, grams).alias("whole"),
+                             F.posexplode(F.slice(grams, F.lit(1), F.col("first"))).alias("place", "gram"))
+        asked = self.written(asked, f"asked-{i}")
+        total = F.col("x.f") + F.col("y.f")
+        left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+        shared = F.coalesce(F.size(F.array_intersect("x.whole", "y.whole")), left)
+        met = asked.alias("x").join(asked.alias("y"), ["cluster", "gram"]).filter(
+            (F.col("x.class") > F.col("y.class")) & (F.col("x.label") != F.col("y.label"))
+            & (total <= left * (2 * up)) & (total <= shared * (2 * up)))
+        pairs = met.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+        pairs = self.written(pairs, f"pairs-pivot-{i}")
+        return star.union(self._similar(pairs, f"pivot-{i}")), near
+
     def result(self) -> DataFrame:
         """(doc_id, n_shingles, class, component_id) of all documents."""
         labels = components(self.links()).withColumnRenamed("node", "class")

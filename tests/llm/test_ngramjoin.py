@@ -129,3 +129,46 @@ def test_components(spark):
     found = components(spark.createDataFrame(edges, "u bigint, v bigint"))
     assert {r.node: r.label for r in found.collect()} == {x: root(x) for x in label if root(x) != x}
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def near_misses(n, edits, seed=9, words=120):
+    """Texts around one base with some words changed, so that many pairs just miss the similarity."""
+    draw = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for p in draw.sample(range(words), draw.choice(edits)):
+            text[p] = f"x{draw.randrange(10_000)}" if draw.random() < 0.7 else f"y{p}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("edits", [[2], [3], [2, 3, 4, 5, 9], [1, 2, 4, 6, 30, 60]])
+def test_near_misses_around_one_text(spark, monkeypatch, edits):
+    monkeypatch.setattr(ngramjoin, "LARGE_BUCKET", 8)
+    rows = near_misses(150, edits) + [(1000 + i, t.replace("b", "c")) for i, t in near_misses(60, edits, 4)]
+    rows += [(2000 + i, t.replace("b1", "d1")) for i, t in near_misses(60, edits, 5)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    got = ngramjoin.similar_components(df, 4, 85)
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str)
+    assert found == plain(rows, 4, 85)
+
+
+def test_few_pairs_of_a_large_group_are_compared(spark, monkeypatch):
+    """Of the quarter of a million pairs of near misses about as many as there are texts are compared."""
+    monkeypatch.setattr(ngramjoin, "PIVOTS", 1)
+    compared = []
+    inner = ngramjoin.similar
+
+    def counted(pairs, cut, percent):
+        compared.append(pairs.count())
+        return inner(pairs, cut, percent)
+
+    monkeypatch.setattr(ngramjoin, "similar", counted)
+    rows = near_misses(700, [3, 4, 5, 6], words=200)
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA)
+    got = ngramjoin.similar_components(df, 4, 85)
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str)
+    assert found == plain(rows, 4, 85)
+    assert sum(compared[2:]) < 7000, compared
