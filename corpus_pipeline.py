@@ -1,44 +1,79 @@
-"""From raw documents to a training mix: five stages over the documents table."""
+"""From raw documents to a training mix: five stages over the documents table.
+
+What a stage writes for itself lies in a folder of its own. A stage that starts removes those of the
+stages before, unless its documents still read from them: so write a stage's result down before you
+start another one on something else.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobloom.llm import langid, leaks, mixing, ngramjoin, substrings
 from jobloom.llm.ship import ship_package
-from jobloom.session import shared_dir
+from jobloom.operators.publish import remove
+from jobloom.session import scratch, shared_dir
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+_held: list[str] = []
+
+
+def _release(spark: SparkSession, docs: DataFrame) -> None:
+    """Remove the folders of earlier stages that `docs` does not read from."""
+    files = docs.inputFiles() if _held else []
+    for folder in list(_held):
+        name = folder.rsplit("/", 1)[-1]
+        if not any(name in f for f in files):
+            remove(spark, folder)
+            _held.remove(folder)
+
+
+def in_own_scratch(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        _release(spark, docs)
+        with scratch(spark, stage.__name__) as folder:
+            _held.append(folder)
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
+@in_own_scratch
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter, whichever language the mixture infers: no score is asked for, as no
     bound has been checked on clean documents. So only those without a letter go, also if no language
     can be learned."""
-    ship_package(spark)
     return langid.keep_identified(docs)
 
 
+@in_own_scratch
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
-    ship_package(spark)
     return ngramjoin.keep_one_row(docs, n=5, percent=80)
 
 
+@in_own_scratch
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of repeated passages are cut out of the texts; n_chars follows."""
-    ship_package(spark)
     cut = substrings.remove_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@in_own_scratch
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
-    ship_package(spark)
     return leaks.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@in_own_scratch
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents that it takes words of, with how many; the others go."""
-    ship_package(spark)
     return mixing.mix_documents(docs)
 
 
@@ -61,6 +96,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES):
         done = stage(spark, docs, sf_dir)
         done.write.parquet(f"{folder}/{i}")
+        if i:
+            remove(spark, f"{folder}/{i - 1}")
         docs = spark.read.parquet(f"{folder}/{i}")
     return docs
 

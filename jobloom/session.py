@@ -5,6 +5,8 @@ from __future__ import annotations
 import importlib.util
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -114,15 +116,17 @@ def use_runtime_settings(spark: SparkSession) -> SparkSession:
 
 
 _local_root: str | None = None
+_below: list[str] = []
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for `name` below the cluster's shared checkpoint folder.
+    """A new folder for `name` below the cluster's shared checkpoint folder, or below the innermost
+    open scratch folder.
 
     Only a local master may fall back to a folder of this machine.
     """
     global _local_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = _below[-1] if _below else spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
@@ -130,3 +134,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             _local_root = "file://" + tempfile.mkdtemp(prefix="jobloom-")
         root = _local_root
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A shared folder below which the shared folders asked for meanwhile lie, so that all of them can
+    be removed at once."""
+    _below.append(shared_dir(spark, name))
+    try:
+        yield _below[-1]
+    finally:
+        _below.pop()
