@@ -106,3 +106,17 @@ def test_one_row_of_each_group_goes_through_two_stages(spark):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         found = Counter((r.doc_id, r.text or None) for r in docs.collect())
         assert found == Counter((i, t or None) for i, t in expected), stage
+
+
+def test_stages_remove_what_earlier_ones_wrote(spark, tmp_path, folder):
+    path = folder[0]
+    docs, held = spark.read.parquet(f"{path}/documents.parquet"), []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:3]):
+        stage(spark, docs, path).write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        held += [f for f in corpus_pipeline._held if f not in held]
+        assert corpus_pipeline._held == held[-1:]
+    # Documents that still read from a folder keep it.
+    lazy = corpus_pipeline.drop_near_copies(spark, docs, path)
+    corpus_pipeline.cut_repeats(spark, lazy, path)
+    assert len(corpus_pipeline._held) == 2
