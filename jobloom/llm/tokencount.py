@@ -166,9 +166,13 @@ class Full(Exception):
 
 
 class CountMachine:
-    """The second transducer. Its states are made when needed, at most `limit` of them."""
+    """The second transducer. Its states are made when needed, at most `limit` of them.
+
+    An entry of its table holds the next state and the change of the count, in a field that is wide
+    enough for the longest token: between two places that one token spans, the counts differ by
+    less than its bytes.
+    """
 
-    BIAS = 8
     MISSING = -1
 
     def __init__(self, tokens: dict[bytes, int], ranks: dict[tuple[bytes, bytes], int],
@@ -189,12 +193,15 @@ class CountMachine:
                 node = below
             self.token_at[node] = number
         self.fits: dict[tuple[int, int], bool] = {}
+        self.bias = max(map(len, tokens), default=1)
+        self.width = (2 * self.bias).bit_length()
         self.reset()
 
     def reset(self) -> None:
         first = ((-1, 0, 0),)
         self.states, self.keys = {first: 0}, [first]
-        self.table = np.full((min(1024, self.limit), 256), self.MISSING, np.int32)
+        kind = np.int32 if self.limit << max(self.width, 8) < 1 << 31 else np.int64
+        self.table = np.full((min(1024, self.limit), 256), self.MISSING, kind)
 
     def merged(self, text: bytes) -> list[bytes]:
         """Plain BPE of a short text."""
@@ -240,12 +247,13 @@ class CountMachine:
             if to >= self.limit:
                 raise Full
             if to >= len(self.table):
-                more = np.full((min(len(self.table) * 2, self.limit), 256), self.MISSING, np.int32)
+                more = np.full((min(len(self.table) * 2, self.limit), 256), self.MISSING,
+                               self.table.dtype)
                 more[:len(self.table)] = self.table
                 self.table = more
             self.states[key] = to
             self.keys.append(key)
-        self.table[state, byte] = entry = to << 4 | (change + self.BIAS)
+        self.table[state, byte] = entry = to << self.width | (change + self.bias)
         return entry
 
     def counts(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -264,7 +272,8 @@ class CountMachine:
         order = np.argsort(-lengths, kind="stable")
         at, lengths = starts[order], lengths[order]
         total = np.zeros(len(order), np.int32)
-        state = np.zeros(len(order), np.int32)
+        state = np.zeros(len(order), self.table.dtype)
+        change = (1 << self.width) - 1
         steps = int(lengths[0]) if len(lengths) else 0
         active = np.searchsorted(-lengths, -np.arange(1, steps + 1), side="right")
         for k, n in enumerate(active.tolist()):
@@ -275,8 +284,8 @@ class CountMachine:
                 for pair in np.unique(key[missing]).tolist():
                     self.make(pair >> 8, pair & 255)
                 entry = self.table.ravel()[key]
-            total[:n] += (entry & 15) - self.BIAS
-            state[:n] = entry >> 4
+            total[:n] += (entry & change) - self.bias
+            state[:n] = entry >> self.width
         out = np.empty(len(order), np.int64)
         out[order] = total
         self.stuck = None

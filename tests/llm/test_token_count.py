@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -65,6 +66,22 @@ def test_full_table_begins_anew(library):
     assert counts(texts, machine, limit=1) == expected(library, texts)
 
 
+@pytest.mark.parametrize("size, limit", [(16, 1 << 17), (40, 1 << 17), (200, 1 << 17), (16, 1 << 30)])
+def test_long_token_whose_prefixes_are_single_bytes(size, limit):
+    whole = bytes(range(33, 33 + size))
+    tokens = {bytes([b]): b for b in range(256)}
+    ranks = {}
+    for at in range(size - 2, -1, -1):
+        ranks[whole[at:at + 1], whole[at + 1:]] = len(ranks)
+        tokens[whole[at:]] = 256 + len(ranks)
+    machine = tc.CountMachine(tokens, ranks, limit)
+    data = [whole + whole[:-1] + b"!" + whole + b"x", whole[:-1], whole, whole * 3]
+    joined = np.frombuffer(b"".join(data), np.uint8)
+    lengths = np.array([len(d) for d in data])
+    found = machine.counts(joined, np.cumsum(lengths) - lengths, lengths)
+    assert found.tolist() == [len(machine.merged(d)) for d in data]
+
+
 def test_operator(spark, library):
     rows = [(1, "one two", "x"), (1, "one two", "y"), (None, None, None), (4, "", "z")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string")
