@@ -8,8 +8,8 @@ file that nobody reads. The folder is reached through Arrow's file systems (file
 
 Reading: one pass over each archive. The bytes go through an incremental zlib decompressor, whose
 end of member is the end of the record; the header gives the length of the block, and block and
-payload digests are verified on the way. Memory is that of one record (without payloads, of one
-piece of 64 KB). Archives are dealt out to the tasks.
+payload digests are verified on the way. Memory is that of one record (without payloads, of its
+header, of any length, and one piece of 64 KB). Archives are dealt out to the tasks.
 
 Defined cases: a null payload is the empty one; an id of null is written as no id and read back as
 null (it is a revisit if an equal payload has an id, else a response); rows that share the
@@ -35,6 +35,8 @@ LEAST = 100
 ARCHIVE_BYTES = 64 << 20
 PIECE = 1 << 16
 ENDS = b"\r\n\r\n"
+# In this order on writing, backwards on reading: characters that a header field would lose.
+URL_CODES = [("%", "%25"), ("\r", "%0D"), ("\n", "%0A"), (" ", "%20"), ("\t", "%09")]
 MANIFEST = "path string, records bigint, bytes bigint"
 RECORD = ("path string, at bigint, id bigint, url string, record_type string, refers_to bigint, "
           "payload_bytes bigint, payload_digest string")
@@ -83,8 +85,9 @@ def record_bytes(number, url, payload: bytes, digest: str, refers_to) -> bytes:
              f"WARC-Block-Digest: sha256:{seen.hexdigest()}",
              f"WARC-Payload-Digest: sha256:{digest}"]
     if url is not None:
-        plain = url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
-        lines.append(f"WARC-Target-URI: {plain}")
+        for plain, code in URL_CODES:
+            url = url.replace(plain, code)
+        lines.append(f"WARC-Target-URI: {url}")
     if refers_to is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
                   f"WARC-Refers-To: {_uri(refers_to)}"]
@@ -168,7 +171,7 @@ class _Member:
 
 def _fields(lines: list[bytes]) -> dict[str, str]:
     pairs = (x.decode("utf-8", "replace").partition(":") for x in lines)
-    return {k.strip().lower(): v.strip() for k, _, v in pairs}
+    return {k.strip().lower(): v.strip(" \t") for k, _, v in pairs}
 
 
 def _same_digest(said: str | None, seen) -> bool:
@@ -199,13 +202,16 @@ def read_records(stream, with_payload: bool = True) -> Iterator[dict]:
 
 
 def _record(member: _Member, with_payload: bool) -> dict:
-    head = b""
-    while ENDS not in head:
+    read, end = bytearray(), -1
+    while end < 0:
         piece = member.more()
-        if not piece or len(head) > 1 << 20:
+        if not piece:
             raise Damaged("no end of the header")
-        head += piece
-    head, _, rest = head.partition(ENDS)
+        # The end may begin in the piece before.
+        seen = max(len(read) - len(ENDS) + 1, 0)
+        read += piece
+        end = read.find(ENDS, seen)
+    head, rest = bytes(read[:end]), bytes(read[end + len(ENDS):])
     version, *lines = head.split(b"\r\n")
     if not version.startswith(b"WARC/"):
         raise Damaged("no WARC version")
@@ -257,7 +263,9 @@ def _record(member: _Member, with_payload: bool) -> dict:
 
 
 def _unescaped(url: str | None) -> str | None:
-    return url and url.replace("%0D", "\r").replace("%0A", "\n").replace("%25", "%")
+    for plain, code in reversed(URL_CODES):
+        url = url and url.replace(code, plain)
+    return url
 
 
 def read_archives(spark: SparkSession, manifest: DataFrame, folder: str,

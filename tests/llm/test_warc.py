@@ -28,6 +28,13 @@ def test_round_trip_of_records():
     assert warc._unescaped(found[0]["url"]) == "http://a/b\r\n%"
 
 
+@pytest.mark.parametrize("url", ["http://a/" + "x" * (3 << 20), " http://a/b c\t", "\u00a0a\u2028", "%20%2520%0D%", "", " "])
+def test_urls_come_back_as_they_are(url):
+    found = read(one(url=url) + one(b"z" * 100, url=url))
+    assert [warc._unescaped(r["url"]) for r in found] == [url, url]
+    assert [r["payload"] for r in found] == [b"x" * 200, b"z" * 100]
+
+
 def test_each_record_is_a_member():
     assert gzip.decompress(one()).startswith(b"WARC/1.1\r\n")
     assert gzip.decompress(one()).endswith(b"\r\n\r\n")
