@@ -13,7 +13,9 @@ each row; neither side is ever whole in one place.
 
 Defined cases: vectors that are null or hold a null, NaN or infinite component, and rows without
 id, take no part. Of rows with the same id one counts, that with the smallest vector. Missing
-components of shorter vectors count as 0, so an empty vector scores 0. Fewer than k other rows:
+components of shorter vectors count as 0, so an empty vector scores 0. Components beyond 2**62
+after scaling count as 2**62, scores beyond 2**63 - 1 are given as that number (either way with
+their sign) and tie by id across blocks. Fewer than k other rows:
 all are returned. Empty tables give an empty result. Other columns are not read.
 """
 
@@ -28,8 +30,9 @@ from jobloom.session import shared_dir
 SCALE = 1024
 BLOCK_ROWS = 4096
 CHUNK_QUERIES = 64
-# Values this large would not keep sums within 64 bits.
-LARGEST = 1 << 40
+# Values beyond count as this one, so that a block's bitmaps are 64 per dimension at most.
+LARGEST = 1 << 62
+MOST_SCORE = (1 << 63) - 1
 
 INDEX = "block int, ids binary, slices binary, bits int, dims int"
 CHUNK = "chunk int, ids binary, vectors binary, dims int"
@@ -51,9 +54,8 @@ def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
     flat = vectors.combine_chunks()
     lengths = np.diff(flat.offsets.to_numpy())
     out = np.zeros((len(flat), int(lengths.max(initial=0))), np.int64)
-    out[np.arange(out.shape[1]) < lengths[:, None]] = flat.flatten().to_numpy()
-    if np.abs(out).max(initial=0) > LARGEST:
-        raise ValueError(f"a component beyond {LARGEST} after scaling")
+    out[np.arange(out.shape[1]) < lengths[:, None]] = np.clip(
+        flat.flatten().to_numpy(), -LARGEST, LARGEST)
     return out
 
 
@@ -63,7 +65,7 @@ def _build(table: pa.Table) -> pa.Table:
     values = _matrix(table.column("v"))
     bits = int(np.abs(values).max(initial=0)).bit_length() + 1
     rows, dims = values.shape
-    offset = (values + (1 << (bits - 1))).astype(np.uint64)
+    offset = values.astype(np.uint64) + np.uint64(1 << (bits - 1))
     words = -(-rows // 64)
     planes = np.zeros((dims, bits, words * 64), np.uint8)
     for b in range(bits):
@@ -172,11 +174,16 @@ class Block:
         sure, tied = self._positions(sure), self._positions(open_)
         # Rows stand in the order of their ids, so the first of the tied have the smallest.
         chosen = np.concatenate([sure, tied[:k - len(sure)]])
-        scores = np.zeros(len(chosen), np.int64)
+        # Numbers of any size where 64 bits might not hold them.
+        kind = np.int64 if len(slices) < 62 and abs(shift) < 1 << 62 else object
+        scores = np.zeros(len(chosen), kind)
         for place, s in enumerate(slices):
             bit = (s[chosen >> 6] >> (chosen & 63).astype(np.uint64)) & np.uint64(1)
-            scores += bit.astype(np.int64) << place
-        return self.ids[chosen], scores - shift
+            scores += bit.astype(np.int64).astype(kind) << place
+        scores -= shift
+        if kind is object:
+            scores = np.array([max(-MOST_SCORE, min(MOST_SCORE, x)) for x in scores], np.int64)
+        return self.ids[chosen], scores
 
     @staticmethod
     def _positions(bitmap: np.ndarray) -> np.ndarray:

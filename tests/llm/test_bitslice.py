@@ -55,6 +55,18 @@ def test_signed_digits():
         assert all(b[0] - a[0] > 1 for a, b in zip(digits, digits[1:]))
 
 
-def test_too_large(spark):
-    with pytest.raises(Exception, match="beyond"):
-        found(spark, [(0, [1e30]), (1, [1.0])])
+def large(x):
+    return max(-(1 << 62), min(1 << 62, math.floor(1024 * float(np.float32(x)))))
+
+
+def test_large_components(spark):
+    rows = [(0, [1e30, 1.0]), (1, [1.0, 2.0]), (2, [-1e30, 0.5]), (3, [3e12, -1.0]), (4, [-2.0, 1e9]),
+            (5, [0.25, -3e9]), (10, [1e-3, 7.0])]
+    most, out = (1 << 63) - 1, []
+    for q, v in rows:
+        if q % 5 == 0:
+            exact = [(sum(large(a) * large(b) for a, b in zip(v, w)), i) for i, w in rows if i != q]
+            best = sorted((-max(-most, min(most, x)), i) for x, i in exact)[:4]
+            out += [(q, r + 1, i, -x) for r, (x, i) in enumerate(best)]
+    assert found(spark, rows) == sorted(out)
+    assert found(spark, rows, block_rows=2, chunk_queries=1) == sorted(out)
