@@ -2,19 +2,23 @@
 
 1. Word vectors. Words (runs of letters in lower case) and marks (runs of other characters) are
    hashed into a vocabulary of fixed size; each entry has a fixed sparse random index vector. A word's
-   vector is the sum of the index vectors of its neighbours within `SPAN`, over all documents.
-2. A document's vector is the mean of its words' unit vectors, next to a few statistics of its form
-   (length, distinct and repeated words, marks, word length).
+   vector is the sum of the index vectors of its neighbours within `SPAN`, over all documents, at
+   length 1. The same pass counts the documents that hold the word.
+2. A document's features are pooled from the vectors of its words in order: their mean, weighted by
+   the words' rarity, their deviation from it, and the mean product of neighbours, by dimension. The
+   last says how well words fit those beside them. Nothing else is known of a document.
 3. A two-layer network in numpy is fitted on a bounded sample of labelled rows (`SAMPLE`, those whose
-   ids hash lowest) and its logits are divided by a temperature fitted on rows it was not
-   trained on.
+   ids hash lowest) and its logits are divided by a temperature fitted on a fifth of the rows, which
+   it was not trained on.
 
 Word vectors and scores cover all documents and whole texts. Only tables of fixed size are broadcast.
 
 Defined cases: null and empty texts get the score of a document without words; labels that are null
-or belong to no document aren't used; of several labels of a document the least counts; with no
-usable label, or one class only, every score is the share of label 1 (0.5 without labels); repeated
-rows get a score each; an empty table gives an empty result. Other columns are not read.
+or belong to no document aren't used; of several labels of a document the least counts, of several
+texts with one id that of the least hash; with no usable label, or one class only, every score is the
+share of label 1 (0.5 without labels); with fewer than five labels none is set aside and the
+temperature is 1; repeated rows get a score each; an empty table gives an empty result. Other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -29,13 +33,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobloom.llm.batches import LOWER, Texts, Words, map_texts, mix, texts_of, word_hashes
 from jobloom.llm.langid import in_fold
 
-VOCABULARY = 1 << 13
-DIMS = 32
+BITS = 15
+VOCABULARY = 1 << BITS
+DIMS = 64
 NONZERO = 4
 SPAN = 2
-SALTS = 1024
+# Tables of sums are added in groups of a few dozen, this many groups at a time.
+GROUPS = (1024, 32, 1)
+# Words whose vectors are in memory at once.
+PIECE = 1 << 16
 SAMPLE = 20_000
 HIDDEN = 32
+STEPS = 600
 SEED = 7
 
 # Words are runs of letters (ASCII, or any byte of a longer character), marks what is between.
@@ -53,83 +62,100 @@ def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
 
 
 class Tokens:
-    """Vocabulary entries of the words and marks of a slice, in order, and statistics by row."""
+    """Vocabulary entries of the words and marks of a slice, in order, and their rows."""
 
     def __init__(self, t: Texts):
         letters = Texts(t.batch, t.column, LOWER[t.data], t.offsets)
         words, marks = Words(letters, ~_LETTER), Words(letters, _LETTER | _BLANK)
-        starts = np.concatenate([words.starts, marks.starts])
-        order = np.argsort(starts, kind="stable")
+        order = np.argsort(np.concatenate([words.starts, marks.starts]), kind="stable")
         hashes = np.concatenate([word_hashes(letters.data, words), word_hashes(letters.data, marks)])
-        self.ids = (hashes[order] >> np.uint64(64 - 13)).astype(np.int64)
+        self.ids = (hashes[order] >> np.uint64(64 - BITS)).astype(np.int64)
         self.rows = np.concatenate([words.rows, marks.rows])[order]
-        n = len(t)
-        count = lambda rows, w=None: np.bincount(rows, weights=w, minlength=n).astype(float)
-        n_words, n_marks, total = words.counts, marks.counts, count(self.rows)
-        keys = np.unique(self.rows * (1 << 40) + (hashes[order] >> np.uint64(24)).astype(np.int64))
-        distinct = count(keys >> 40)
-        same = (self.ids[1:] == self.ids[:-1]) & (self.rows[1:] == self.rows[:-1])
-        again = count(self.rows[1:][same])
-        letter_bytes = count(words.rows, words.ends - words.starts)
-        mark_bytes = count(marks.rows, marks.ends - marks.starts)
-        some = np.maximum(total, 1)
-        self.form = np.stack([
-            np.log1p(total), distinct / some, again / some, n_marks / some,
-            mark_bytes / np.maximum(letter_bytes + mark_bytes, 1),
-            letter_bytes / np.maximum(n_words, 1), mark_bytes / np.maximum(n_marks, 1),
-            (total == 0).astype(float)], axis=1)
+
+
+class WordVectors:
+    """A unit vector and a weight for each entry of the vocabulary."""
+
+    def __init__(self, sums: np.ndarray, holders: np.ndarray, documents: int):
+        length = np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+        self.vectors = (sums / length).astype(np.float32)
+        self.weights = (np.log((1 + documents) / (1 + holders)) + 1).astype(np.float32)
+
+
+# Sums of vectors, then the documents that hold each entry, then all documents.
+TOTALS = VOCABULARY * DIMS + VOCABULARY + 1
+
+
+def add_counts(total: np.ndarray, t: Texts) -> None:
+    """Add the neighbours and documents of a slice."""
+    place, sign = _index_vectors()
+    tokens = Tokens(t)
+    for step in range(1, SPAN + 1):
+        near = np.flatnonzero(tokens.rows[step:] == tokens.rows[:-step])
+        a, b = tokens.ids[near], tokens.ids[near + step]
+        for own, other in ((a, b), (b, a)):
+            for j in range(NONZERO):
+                np.add.at(total, own * DIMS + place[other, j], sign[other, j])
+    held = np.unique(tokens.rows << BITS | tokens.ids) & (VOCABULARY - 1)
+    total[VOCABULARY * DIMS:-1] += np.bincount(held, minlength=VOCABULARY)
+    total[-1] += len(t)
 
 
 def _sum_packed(table: pa.Table) -> pa.Table:
-    total = np.zeros(VOCABULARY * DIMS, np.int64)
+    total = np.zeros(TOTALS, np.int64)
     for packed in table.column("sums").to_pylist():
         total += np.frombuffer(zlib.decompress(packed), np.int64)
     return pa.table({"salt": pa.array([table.column("salt")[0].as_py()], pa.int32()),
                      "sums": [zlib.compress(total.tobytes(), 1)]})
 
 
-def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Unit vectors of the vocabulary, from all documents."""
+def word_vectors(docs: DataFrame, text: str = "text") -> WordVectors:
+    """The vectors of the vocabulary, from all documents."""
     def work(batches):
-        place, sign = _index_vectors()
-        total = np.zeros(VOCABULARY * DIMS)
+        total = np.zeros(TOTALS, np.int64)
         for batch in batches:
             for t in texts_of(batch, "_text"):
-                tokens = Tokens(t)
-                for step in range(1, SPAN + 1):
-                    near = np.flatnonzero(tokens.rows[step:] == tokens.rows[:-step])
-                    a, b = tokens.ids[near], tokens.ids[near + step]
-                    for own, other in ((a, b), (b, a)):
-                        for j in range(NONZERO):
-                            total += np.bincount(own * DIMS + place[other, j], sign[other, j],
-                                                 VOCABULARY * DIMS)
-        packed = zlib.compress(total.astype(np.int64).tobytes(), 1)
-        salt = TaskContext.get().partitionId() % SALTS
-        yield pa.RecordBatch.from_arrays([pa.array([salt], pa.int32()), pa.array([packed])],
-                                         ["salt", "sums"])
+                add_counts(total, t)
+        salt = TaskContext.get().partitionId() % GROUPS[0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([salt], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)])],
+            ["salt", "sums"])
 
     kind = "salt int, sums binary"
     sums = docs.select(F.col(text).alias("_text")).mapInArrow(work, kind)
-    sums = sums.groupBy("salt").applyInArrow(_sum_packed, kind)
-    sums = sums.withColumn("salt", F.lit(0)).groupBy("salt").applyInArrow(_sum_packed, kind)
-    total = np.zeros(VOCABULARY * DIMS)
+    for n in GROUPS:
+        sums = sums.withColumn("salt", F.col("salt") % n).groupBy("salt").applyInArrow(_sum_packed, kind)
+    total = np.zeros(TOTALS, np.int64)
     for row in sums.collect():
         total += np.frombuffer(zlib.decompress(row.sums), np.int64)
-    total = total.reshape(VOCABULARY, DIMS)
-    total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
-    return total.astype(np.float32)
-
-
-def features(t: Texts, vectors: np.ndarray) -> np.ndarray:
-    """The pooled vector and the form of each row."""
-    tokens = Tokens(t)
-    pooled = np.zeros((len(t), DIMS), np.float32)
-    if len(tokens.ids):
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(tokens.rows) != 0]))
-        sums = np.add.reduceat(vectors[tokens.ids], starts, axis=0)
-        sizes = np.diff(np.append(starts, len(tokens.ids)))
-        pooled[tokens.rows[starts]] = sums / sizes[:, None]
-    return np.concatenate([pooled, tokens.form.astype(np.float32)], axis=1)
+    size = VOCABULARY * DIMS
+    return WordVectors(total[:size].reshape(VOCABULARY, DIMS), total[size:-1], int(total[-1]))
+
+
+def features(t: Texts, known: WordVectors) -> np.ndarray:
+    """The pooled vectors of each row: mean, deviation and mean product of neighbours."""
+    tokens, n = Tokens(t), len(t)
+    sums, squares, products = (np.zeros((n, DIMS)) for _ in range(3))
+    weight, count = np.zeros((n, 1)), np.bincount(tokens.rows, minlength=n)[:, None]
+    for low in range(0, len(tokens.ids), PIECE):
+        # One more word, for the last one's neighbour.
+        ids, rows = (x[low:low + PIECE + 1] for x in (tokens.ids, tokens.rows))
+        vectors = known.vectors[ids]
+        beside = vectors[1:] * vectors[:-1] * (rows[1:] == rows[:-1])[:, None]
+        ids, rows, vectors = ids[:PIECE], rows[:PIECE], vectors[:PIECE]
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(rows) != 0]))
+        own = known.weights[ids][:, None]
+        vectors = vectors * own
+        sums[rows[starts]] += np.add.reduceat(vectors, starts, axis=0)
+        squares[rows[starts]] += np.add.reduceat(vectors * vectors / own, starts, axis=0)
+        weight[rows[starts]] += np.add.reduceat(own, starts, axis=0)
+        if len(beside):
+            starts = starts[starts < len(beside)]
+            products[rows[starts]] += np.add.reduceat(beside, starts, axis=0)
+    weight, count = np.maximum(weight, 1e-9), np.maximum(count, 1)
+    mean = sums / weight
+    deviation = np.sqrt(np.maximum(squares / weight - mean * mean, 0))
+    return np.concatenate([mean, deviation, products / count], axis=1).astype(np.float32)
 
 
 def _logits(x, weights):
@@ -142,13 +168,27 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
+def gradients(x: np.ndarray, y: np.ndarray, weights: list, decay: float) -> list:
+    """Of the mean log loss and half the decay times the squares of the layers' weights."""
+    hidden, z = _logits(x, weights)
+    error = (_sigmoid(z) - y) / len(y)
+    back = np.outer(error, weights[2]) * (hidden > 0)
+    return [x.T @ back + decay * weights[0], back.sum(axis=0),
+            hidden.T @ error + decay * weights[2], np.array([error.sum()])]
+
+
+def log_loss(z: np.ndarray, y: np.ndarray) -> float:
+    p = _sigmoid(z)
+    return float(-np.mean(y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12)))
+
+
 class Network:
     """Two layers with standardised inputs and a temperature."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, epochs: int = 60, rate: float = 3e-3,
                  decay: float = 1e-4):
         self.constant = None
-        if len(y) < 20 or y.min() == y.max():
+        if not len(y) or y.min() == y.max():
             self.constant = float(y.mean()) if len(y) else 0.5
             return
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
@@ -160,26 +200,20 @@ class Network:
         weights = [rng.normal(0, (2 / d) ** 0.5, (d, HIDDEN)), np.zeros(HIDDEN),
                    rng.normal(0, HIDDEN ** -0.5, HIDDEN), np.zeros(1)]
         first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
-        step = 0
-        for _ in range(epochs):
-            for batch in np.array_split(rng.permutation(own), max(1, len(own) // 128)):
+        step, batches = 0, max(1, len(own) // 128)
+        for _ in range(max(epochs, -(-STEPS // batches))):
+            for batch in np.array_split(rng.permutation(own), batches):
                 step += 1
-                hidden, z = _logits(x[batch], weights)
-                error = (_sigmoid(z) - y[batch]) / len(batch)
-                back = np.outer(error, weights[2]) * (hidden > 0)
-                grads = [x[batch].T @ back + decay * weights[0], back.sum(axis=0),
-                         hidden.T @ error + decay * weights[2], np.array([error.sum()])]
-                for i, g in enumerate(grads):
+                for i, g in enumerate(gradients(x[batch], y[batch], weights, decay)):
                     first[i] = 0.9 * first[i] + 0.1 * g
                     second[i] = 0.999 * second[i] + 0.001 * g * g
                     weights[i] = weights[i] - rate * (first[i] / (1 - 0.9**step)) / (
                         np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-        self.weights = weights
-        z, truth = _logits(x[held], weights)[1], y[held]
-        grid = np.exp(np.linspace(np.log(0.25), np.log(8), 61))
-        loss = [-np.mean(truth * np.log(_sigmoid(z / t) + 1e-12)
-                         + (1 - truth) * np.log(1 - _sigmoid(z / t) + 1e-12)) for t in grid]
-        self.temperature = float(grid[int(np.argmin(loss))])
+        self.weights, self.temperature = weights, 1.0
+        if len(held):
+            z = _logits(x[held], weights)[1]
+            grid = np.exp(np.linspace(np.log(0.25), np.log(8), 61))
+            self.temperature = float(grid[int(np.argmin([log_loss(z / t, y[held]) for t in grid]))])
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -194,16 +228,18 @@ def fit(docs: DataFrame, labelled: DataFrame, vectors, sample: int = SAMPLE) ->
 
     def work(slices):
         for t in slices:
-            x = features(t, vectors.value).astype(np.float32)
+            x = features(t, vectors.value)
             yield pa.RecordBatch.from_arrays(
-                [t.values("key"), t.values("label"), pa.array(list(x), pa.list_(pa.float32()))],
-                ["key", "label", "x"])
+                [t.values("key"), t.values("h"), t.values("label"),
+                 pa.array(list(x), pa.list_(pa.float32()))], ["key", "h", "label", "x"])
 
     kind = docs.schema["key"].dataType.simpleString()
-    found = map_texts(rows, "text", f"key {kind}, label double, x array<float>", work)
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    found = map_texts(rows, "text", f"key {kind}, h bigint, label double, x array<float>", work)
     # Rows that repeat a key count once; the order makes the fit the same on each run.
-    found = found.dropDuplicates(["key"]).toPandas().sort_values("key")
-    x = np.stack(found["x"].tolist()).astype(float) if len(found) else np.empty((0, DIMS))
+    found = found.groupBy("key").agg(F.min(F.struct("h", "label", "x")).alias("row"))
+    found = found.select("key", "row.label", "row.x").toPandas().sort_values("key")
+    x = np.stack(found["x"].tolist()).astype(float) if len(found) else np.empty((0, 3 * DIMS))
     return Network(x, found["label"].to_numpy(float))
 
 
