@@ -41,7 +41,7 @@ SPAN = 2
 # Tables of sums are added in groups of a few dozen, this many groups at a time.
 GROUPS = (1024, 32, 1)
 # Words whose vectors are in memory at once.
-PIECE = 1 << 16
+PIECE = 1 << 13
 SAMPLE = 20_000
 HIDDEN = 32
 STEPS = 600
@@ -58,7 +58,7 @@ def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of the non-zero entries of each index vector."""
     ids = np.arange(VOCABULARY * NONZERO, dtype=np.uint64).reshape(VOCABULARY, NONZERO)
     h = mix(ids + np.uint64(0x9E3779B97F4A7C15))
-    return (h % np.uint64(DIMS)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0)
+    return (h % np.uint64(DIMS)).astype(np.int64), np.where(h >> np.uint64(63), 1, -1)
 
 
 class Tokens:
@@ -135,27 +135,26 @@ def word_vectors(docs: DataFrame, text: str = "text") -> WordVectors:
 def features(t: Texts, known: WordVectors) -> np.ndarray:
     """The pooled vectors of each row: mean, deviation and mean product of neighbours."""
     tokens, n = Tokens(t), len(t)
-    sums, squares, products = (np.zeros((n, DIMS)) for _ in range(3))
-    weight, count = np.zeros((n, 1)), np.bincount(tokens.rows, minlength=n)[:, None]
-    for low in range(0, len(tokens.ids), PIECE):
-        # One more word, for the last one's neighbour.
-        ids, rows = (x[low:low + PIECE + 1] for x in (tokens.ids, tokens.rows))
-        vectors = known.vectors[ids]
-        beside = vectors[1:] * vectors[:-1] * (rows[1:] == rows[:-1])[:, None]
-        ids, rows, vectors = ids[:PIECE], rows[:PIECE], vectors[:PIECE]
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(rows) != 0]))
-        own = known.weights[ids][:, None]
-        vectors = vectors * own
-        sums[rows[starts]] += np.add.reduceat(vectors, starts, axis=0)
-        squares[rows[starts]] += np.add.reduceat(vectors * vectors / own, starts, axis=0)
-        weight[rows[starts]] += np.add.reduceat(own, starts, axis=0)
-        if len(beside):
-            starts = starts[starts < len(beside)]
-            products[rows[starts]] += np.add.reduceat(beside, starts, axis=0)
-    weight, count = np.maximum(weight, 1e-9), np.maximum(count, 1)
-    mean = sums / weight
-    deviation = np.sqrt(np.maximum(squares / weight - mean * mean, 0))
-    return np.concatenate([mean, deviation, products / count], axis=1).astype(np.float32)
+    out = np.zeros((n, 3 * DIMS), np.float32)
+    bounds = np.searchsorted(tokens.rows, np.arange(n + 1)).tolist()
+    for row, (start, end) in enumerate(zip(bounds, bounds[1:])):
+        sums, squares, products = np.zeros((3, DIMS))
+        weight = 0.0
+        for low in range(start, end, PIECE):
+            high = min(low + PIECE, end)
+            # One more word, for the last one's neighbour.
+            ids = tokens.ids[low:min(high + 1, end)]
+            vectors, own = known.vectors[ids], known.weights[ids[:high - low]]
+            products += np.einsum("ij,ij->j", vectors[1:], vectors[:-1])
+            vectors = vectors[:high - low]
+            sums += own @ vectors
+            squares += own @ (vectors * vectors)
+            weight += own.sum(dtype=float)
+        if end > start:
+            mean = sums / weight
+            out[row] = np.concatenate([mean, np.sqrt(np.maximum(squares / weight - mean * mean, 0)),
+                                       products / (end - start)])
+    return out
 
 
 def _logits(x, weights):
