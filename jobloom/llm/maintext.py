@@ -3,14 +3,24 @@
 A page is read once into blocks: text between block-level tags, with white space as one blank and
 character references decoded. Each block knows its share of characters in links, its density of
 stop words, and where it stands: in an article, or in an element that never holds main text
-(navigation, header, footer, sidebar, form, advert, notice, comments), by tag, role or class.
+(navigation, header, footer, sidebar, form, advert, notice, comments), by tag, role or class. A form
+around most of the page is a wrapper and says nothing, nor does a class of a layout ("has-sidebar",
+or one beside "content").
+
+Stop words are learned from the pages: of each page language (as the page says) and script the `TOP`
+most frequent words, over the whole texts of all pages. A block's density is compared with that of
+all text of its language and script, so no language is preferred; characters of scripts without
+blanks count as words. Where nothing is known of a script, density says nothing.
 
 First pass, each block alone: what stands in such an element is bad, also what is mostly links;
 a block with many stop words is good if it is long and likely if not; in an article other blocks
-are likely too, without one long blocks with few stop words are bad. Short blocks stay open.
-Second pass: blocks that are open or likely take the label of their nearest decided neighbours in
-the same section; where these differ, likely blocks and headings above a good block are good.
-An article's likely blocks are good by themselves where nothing is decided near them.
+are likely too, without one long blocks with few stop words are bad, and long ones of unknown
+density likely. Short blocks stay open.
+Second pass: on a page without an article or a good block the likely ones are good, or if there are
+none the dense ones of more than `TINY` characters. Then blocks that are open or likely take the label of their nearest decided
+neighbours in the same section (what a menu or footer is does not tell what stands beside it); where these differ, likely blocks and headings above a good block
+are good, and open ones like the nearer neighbour (if both are as near, good if dense).
+An article's likely blocks are good.
 
 Defined cases: a null or empty page, and one without main text, give the empty text; pages of any
 length are read whole, broken and unclosed markup as far as it goes; repeated pages give a row each;
@@ -21,11 +31,12 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-# Common function words by language.
+# Common function words by language, for single pages of which no others are known.
 STOP_WORDS = {
     "en": "a about all an and are as at be been but by for from had has have he her his i if in is "
           "it its no not of on one or our she so than that the their them then there they this to "
@@ -74,12 +85,60 @@ OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<[!?/][^>]*+>?", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""",
                        re.I)
 NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
-WORDS = re.compile(r"[^\W\d_]+")
+# Class names after these, or beside one of these, describe a layout.
+LAYOUT = {"has", "with", "no", "without", "is"}
+CONTENT = {"content", "main", "article", "post", "entry"}
+# Scripts written without blanks (Thai to Khmer, kana, Han) have a word per character.
+WORDS = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]|"
+                   r"[^\W\d_\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]+")
+MARKUP = re.compile(r"<(script|style)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^<>]*>", re.S | re.I)
+PAGE_LANGUAGE = re.compile(r"""<html\b[^<>]*?\blang\s*=\s*["']?\s*([a-z]{2,3})\b""", re.I)
 
 GOOD, LIKELY, OPEN, BAD = "good", "likely", "open", "bad"
-LONG, SHORT = 200, 70
-DENSE, SPARSE, LINKED = 0.3, 0.15, 0.5
+LONG, SHORT, TINY = 200, 70, 20
+# Shares of the density of all text, and of a block's characters.
+DENSE, SPARSE, LINKED = 0.7, 0.35, 0.5
 NEAR = 8
+TOP = 100
+# Longer words are no stop words; no table of a task has more entries.
+LONGEST_STOP, MOST_ENTRIES = 16, 200_000
+
+
+def script_of(word: str) -> int:
+    """A number for the script of a word: that of its first character, in blocks of code points."""
+    code = ord(word[0])
+    if code < 0x370 or 0x1E00 <= code < 0x1F00:
+        return 0
+    return 0x3400 >> 8 if 0x3040 <= code < 0xA000 else code >> 8
+
+
+def page_language(page: str) -> str:
+    """As the page says, else empty."""
+    found = PAGE_LANGUAGE.search(page)
+    return found[1].lower() if found else ""
+
+
+class StopWords:
+    """Stop words by page language and script, each with their share of all words there."""
+
+    def __init__(self, groups: dict[tuple[str, int], tuple[frozenset[str], float]]):
+        self.groups = groups
+
+    @classmethod
+    def fixed(cls, words: frozenset[str], share: float = 0.43) -> "StopWords":
+        """For pages of any language in Latin script."""
+        return cls({("", 0): (words, share)} if words else {})
+
+    def density(self, text: str, language: str) -> float | None:
+        """The text's share of stop words by that of all text; None where nothing is known."""
+        words = WORDS.findall(text.lower())
+        if not words:
+            return None
+        script = Counter(map(script_of, words)).most_common(1)[0][0]
+        known = self.groups.get((language, script)) or self.groups.get(("", script))
+        if known is None:
+            return None
+        return sum(w in known[0] for w in words) / len(words) / known[1]
 
 
 class Block:
@@ -90,7 +149,7 @@ class Block:
     def __init__(self, text: str, linked: int, heading: bool, article: int, barred: bool):
         self.text, self.linked, self.heading = text, linked, heading
         self.article, self.barred = article, barred
-        self.stops, self.label = 0.0, OPEN
+        self.stops, self.label = None, OPEN
 
 
 def _hints(attributes: str) -> tuple[set[str], bool]:
@@ -107,7 +166,11 @@ def _hints(attributes: str) -> tuple[set[str], bool]:
         elif name == "role":
             words |= {f"role:{value.lower()}"}
         else:
-            words |= {p.lower() for p in NAME_PARTS.findall(value)}
+            tokens = [[p.lower() for p in NAME_PARTS.findall(x)] for x in value.split()]
+            layout = any(len(x) == 1 and x[0] in CONTENT for x in tokens)
+            for x in tokens:
+                if x and x[0] not in LAYOUT:
+                    words |= set(x) & COMMENTS if layout else set(x)
     return words, hidden
 
 
@@ -242,7 +305,8 @@ def blocks_of(page: str) -> list[Block]:
                 if not firm and not article:
                     articles += 1
                     article = articles
-            firm |= hidden or tag in NEVER and not (tag == "header" and article)
+            wrapper = tag == "form" and ((tags.end_of(m) or len(page)) - m.start()) * 2 > len(page)
+            firm |= hidden or tag in NEVER and not wrapper and not (tag == "header" and article)
             firm |= any(f"role:{r}" in words for r in ROLES) or bool(words & COMMENTS)
             if tag not in ("html", "body", "article", "main"):
                 named |= bool(words & NAMES) and not (tag in HEADINGS and article)
@@ -257,24 +321,34 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def _first_pass(blocks: list[Block], stop_words: frozenset[str]) -> None:
+def _first_pass(blocks: list[Block], stop_words: StopWords, language: str) -> None:
     for b in blocks:
         size = len(b.text)
         if b.barred or b.linked > LINKED * size:
             b.label = BAD
             continue
-        words = WORDS.findall(b.text.lower())
-        b.stops = sum(w in stop_words for w in words) / len(words) if words else 0.0
-        if b.stops >= DENSE and size > LONG:
+        b.stops = stops = stop_words.density(b.text, language)
+        if stops is None:
+            b.label = LIKELY if b.article or size > LONG else OPEN
+        elif stops >= DENSE and size > LONG:
             b.label = GOOD
-        elif b.article or b.stops >= DENSE and size > SHORT or b.stops >= SPARSE and size > LONG:
+        elif b.article or stops >= DENSE and size > SHORT or stops >= SPARSE and size > LONG:
             b.label = LIKELY
         elif size > LONG:
             b.label = BAD
 
 
+def _dense(b: Block) -> bool:
+    return b.stops is not None and b.stops >= DENSE
+
+
 def _second_pass(blocks: list[Block]) -> None:
     """Undecided blocks inherit from the nearest decided ones of their section."""
+    if not any(b.label == GOOD or b.article for b in blocks):
+        # No block is long and dense: the likely ones are the best there are, or else dense ones.
+        likely = [b for b in blocks if b.label == LIKELY]
+        for b in likely or [b for b in blocks if b.label == OPEN and _dense(b) and len(b.text) > TINY]:
+            b.label = GOOD
     first = [b.label for b in blocks]
     n = len(blocks)
     before, after = [None] * n, [None] * n
@@ -284,39 +358,91 @@ def _second_pass(blocks: list[Block]) -> None:
             if blocks[i].article != section:
                 last, section = None, blocks[i].article
             near[i] = last
-            if first[i] in (GOOD, BAD):
+            if first[i] in (GOOD, BAD) and not blocks[i].barred:
                 last = (first[i], i)
     for i, b in enumerate(blocks):
         if first[i] in (GOOD, BAD):
             continue
-        labels = {x[0] for x in (before[i], after[i]) if x}
+        near = {x[0]: abs(x[1] - i) for x in (before[i], after[i]) if x}
         if b.article:
             b.label = GOOD
-        elif labels == {GOOD}:
-            b.label = GOOD
-        elif labels == {GOOD, BAD}:
-            ahead = after[i] and after[i][0] == GOOD and after[i][1] - i <= NEAR
-            b.label = GOOD if first[i] == LIKELY or b.heading and ahead else BAD
+        elif BAD not in near:
+            b.label = GOOD if near or first[i] == LIKELY else BAD
+        elif GOOD not in near:
+            b.label = BAD
         else:
-            b.label = GOOD if first[i] == LIKELY and not labels else BAD
+            ahead = after[i][0] == GOOD and near[GOOD] <= NEAR
+            nearer = near[GOOD] < near[BAD] or near[GOOD] == near[BAD] and _dense(b)
+            b.label = GOOD if first[i] == LIKELY or nearer or b.heading and ahead else BAD
 
 
-def main_text(page: str | None, stop_words: frozenset[str]) -> str:
+def main_text(page: str | None, stop_words: StopWords | frozenset[str]) -> str:
+    known = stop_words if isinstance(stop_words, StopWords) else StopWords.fixed(stop_words)
     blocks = blocks_of(page or "")
-    _first_pass(blocks, stop_words)
+    _first_pass(blocks, known, page_language(page or ""))
     _second_pass(blocks)
     return "\n\n".join(b.text for b in blocks if b.label == GOOD)
 
 
-def extract(pages: DataFrame, stop_words: dict[str, str] = STOP_WORDS, *, key: str = "page_id",
+def count_words(page: str, counts: Counter) -> None:
+    """Add the page's words by language and script; under the empty word, all of them."""
+    language = page_language(page)
+    text = entities.unescape(MARKUP.sub(" ", page)).lower()
+    for word, n in Counter(WORDS.findall(text)).items():
+        script = script_of(word)
+        counts[language, script, ""] += n
+        if len(word) <= LONGEST_STOP:
+            counts[language, script, word] += n
+
+
+def learn_stop_words(pages: DataFrame, html: str = "html", top: int = TOP) -> StopWords:
+    """From the whole texts of all pages. What comes to the driver is `top` words and a total for each
+    code of up to three letters and script, however many pages there are."""
+    def rows(counts):
+        keys = list(counts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
+             pa.array([k[2] for k in keys], pa.string()),
+             pa.array([counts[k] for k in keys], pa.int64())], ["lang", "script", "word", "n"])
+
+    def work(batches):
+        counts = Counter()
+        for batch in batches:
+            for page in batch.column(0).to_pylist():
+                count_words(page or "", counts)
+                if len(counts) > MOST_ENTRIES:
+                    yield rows(counts)
+                    counts = Counter()
+        yield rows(counts)
+
+    found = pages.select(F.col(html).alias("_html")).mapInArrow(
+        work, "lang string, script int, word string, n bigint")
+    found = found.groupBy("lang", "script", "word").agg(F.sum("n").alias("n"))
+    # The total is the largest count of its group, or ties with its only word.
+    order = Window.partitionBy("lang", "script").orderBy(F.desc("n"), "word")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top + 1)
+    groups: dict[tuple[str, int], dict[str, int]] = {}
+    for r in best.select("lang", "script", "word", "n").collect():
+        groups.setdefault((r.lang, r.script), {})[r.word] = r.n
+    known = {}
+    for key, words in groups.items():
+        total = words.pop("")
+        if words:
+            known[key] = frozenset(words), sum(words.values()) / total
+    return StopWords(known)
+
+
+def extract(pages: DataFrame, stop_words: StopWords | None = None, *, key: str = "page_id",
             url: str = "url", html: str = "html") -> DataFrame:
-    """key, url, text and n_chars of each page. One pass without a shuffle."""
-    words = frozenset(" ".join(stop_words.values()).split())
+    """key, url, text and n_chars of each page. One pass without a shuffle, after one that learns the
+    stop words if none are given."""
+    known = learn_stop_words(pages, html) if stop_words is None else stop_words
+    words = pages.sparkSession.sparkContext.broadcast(known)
     kind = pages.schema[key].dataType.simpleString()
 
     def work(batches):
         for batch in batches:
-            texts = [main_text(p, words) for p in batch.column(2).to_pylist()]
+            texts = [main_text(p, words.value) for p in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], ["_key", "_url", "text", "n_chars"])

@@ -1,8 +1,11 @@
 import html
+import random
 import re
+from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from jobloom.llm import maintext
 
@@ -109,3 +112,128 @@ def test_elements_left_open_do_not_take_the_page(tag):
 @pytest.mark.parametrize("tag", sorted(maintext.RAW))
 def test_raw_text_left_open_takes_the_page(tag):
     assert text(f"<article><p>Text.</p><{tag}><p>{PROSE}</p></article>") == "Text."
+
+
+RUSSIAN = ("В начале года он вернулся в город, где не был много лет, и сразу пошёл к дому, в котором они жили с братом. "
+           "На улице было тихо, и он не знал, что сказать тем, кто ещё помнил его и ждал от него ответа на старый вопрос. ")
+POLISH = ("Na początku roku wrócił do miasta, w którym nie był od wielu lat, i od razu poszedł do domu, gdzie mieszkał z bratem. "
+          "Na ulicy było cicho i nie wiedział, co ma powiedzieć tym, którzy jeszcze go pamiętali i na niego czekali. ")
+CHINESE = "年初的时候他回到了那个多年没有去过的城市，马上就去了他和他的弟弟住过的房子。街上很安静，他不知道应该对那些还记得他的人说什么。" * 4
+
+
+def learned(spark, pages):
+    return maintext.learn_stop_words(spark.createDataFrame([(p,) for p in pages], "html string").repartition(2))
+
+
+@pytest.mark.parametrize("prose, language", [(RUSSIAN, "ru"), (POLISH, "pl"), (CHINESE, "zh"), (PROSE * 2, "en"),
+                                             (RUSSIAN, None)])
+def test_prose_of_any_language_in_plain_blocks(spark, prose, language):
+    prose = prose.strip()
+    tag = f'<html lang="{language}-x">' if language else "<html>"
+    page = (f"{tag}<body><nav>{prose}</nav><div><a href=1>{prose}</a></div><div><p>{prose}</p>"
+            f"<div>{prose}</div></div><footer>{prose}</footer></body></html>")
+    words = learned(spark, [page] * 3 + [f'<html lang="en"><p>{PROSE}</p></html>'])
+    assert maintext.main_text(page, words) == f"{prose}\n\n{prose}"
+    # No words are known of the script: density says nothing.
+    assert maintext.main_text(page, maintext.StopWords({})) == f"{prose}\n\n{prose}"
+
+
+def test_wrappers_say_nothing():
+    prose = (PROSE + PROSE).strip()
+    assert text(f"<form id=f><nav>{prose}</nav><article><p>{prose}</p></article></form>") == prose
+    assert text(f"<form id=f><input><div><p>{prose}</p></div><p>{prose}</p></form>") == f"{prose}\n\n{prose}"
+    assert text(f"<p>{prose}</p><p>{prose}</p><form>{PROSE}</form>") == f"{prose}\n\n{prose}"
+    for names in ("content has-sidebar", "with-sidebar", "main sidebar-left", "no-menu entry"):
+        assert text(f'<div class="{names}"><p>{prose}</p></div><div class="sidebar">{prose}</div>') == prose
+    for names in ("sidebar-content", "ad-container", "content comments", "main-menu"):
+        assert text(f'<div class="{names}"><p>{prose}</p></div>') == ""
+
+
+def test_one_short_dense_block_is_the_text():
+    assert text("<div>It was the end of the road for all of us.</div>") == "It was the end of the road for all of us."
+    assert text(f"<nav>{PROSE}</nav><div>{PROSE}</div><footer>{PROSE}</footer>") == PROSE.strip()
+
+
+def test_stop_words_decide():
+    junk = "qq zz " * 60
+    page = f"<div>{PROSE * 2}</div><div>{junk}</div>"
+    assert text(page) == (PROSE * 2).strip()
+    assert maintext.main_text(page, frozenset()) != text(page)
+
+
+def test_stop_words_against_a_plain_count(spark):
+    pages = [f'<html lang="EN-gb"><script>the the the</script><p>{PROSE}</p>', f"<p>{RUSSIAN} and &amp; the</p><!-- the",
+             None, "", f'<html class=x lang=en><b>{PROSE}</b> {"y" * 40} <STYLE>p</STYLE>']
+    found = learned(spark, pages).groups
+    plain = {("en", 0): re.findall("[a-z]+", PROSE.lower()) * 2 + ["y" * 40],
+             ("", 4): re.findall("[а-яё]+", RUSSIAN.lower()), ("", 0): ["and", "the"]}
+    assert set(found) == set(plain)
+    for key, words in plain.items():
+        number = {w: words.count(w) for w in words if len(w) <= maintext.LONGEST_STOP}
+        best = sorted(number, key=lambda w: (-number[w], w))[:maintext.TOP]
+        assert found[key] == (frozenset(best), sum(number[w] for w in best) / len(words))
+
+
+def plain_labels(blocks):
+    """The second pass, block by block."""
+    first = [b.label for b in blocks]
+    if not any(b.article for b in blocks) and "good" not in first:
+        kind = ["likely"] if "likely" in first else ["open"]
+        first = ["good" if x in kind and (x == "likely" or b.stops is not None and b.stops >= maintext.DENSE
+                                          and len(b.text) > maintext.TINY)
+                 else x for b, x in zip(blocks, first)]
+    out = []
+    for i, b in enumerate(blocks):
+        if first[i] in ("good", "bad"):
+            out.append(first[i])
+            continue
+
+        def nearest(places):
+            for j in places:
+                if blocks[j].article != b.article:
+                    return None
+                if first[j] in ("good", "bad") and not blocks[j].barred:
+                    return first[j], abs(j - i)
+            return None
+
+        left, right = nearest(range(i - 1, -1, -1)), nearest(range(i + 1, len(blocks)))
+        seen = {x[0] for x in (left, right) if x}
+        if b.article or seen == {"good"} or not seen and first[i] == "likely":
+            out.append("good")
+        elif seen != {"good", "bad"}:
+            out.append("bad")
+        else:
+            good, bad = (left, right) if left[0] == "good" else (right, left)
+            dense = b.stops is not None and b.stops >= maintext.DENSE
+            out.append("good" if first[i] == "likely" or good[1] < bad[1] or good[1] == bad[1] and dense
+                       or b.heading and good is right and good[1] <= maintext.NEAR else "bad")
+    return out
+
+
+def test_second_pass_against_a_plain_one():
+    draw = random.Random(9)
+    for _ in range(4000):
+        blocks, section = [], 0
+        for _ in range(draw.randrange(12)):
+            section = draw.choice([section] * 6 + [0, 1])
+            b = maintext.Block("x" * draw.choice([3, 50]), 0, draw.random() < 0.2, section if draw.random() < 0.8 else 0, draw.random() < 0.2)
+            b.label = "bad" if b.barred else draw.choice(["good", "bad", "open", "open", "likely"])
+            b.stops = draw.choice([None, 0.1, 1.0])
+            blocks.append(b)
+        expected = plain_labels(blocks)
+        maintext._second_pass(blocks)
+        assert [b.label for b in blocks] == expected
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+def test_articles_without_their_tag(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    plain = pages.withColumn("html", F.regexp_replace("html", "(</?)article>", "$1div>"))
+    wanted = {r.page_id: r.text for r in maintext.extract(pages).collect()}
+    blocks = missed = more = 0
+    for r in maintext.extract(plain).collect():
+        want, got = (Counter(x.split("\n\n")) for x in (wanted[r.page_id], r.text))
+        blocks += want.total()
+        missed += (want - got).total()
+        more += (got - want).total()
+    assert missed + more <= 0.05 * blocks
