@@ -101,7 +101,7 @@ DENSE, SPARSE, LINKED = 0.7, 0.35, 0.5
 NEAR = 8
 TOP = 100
 # Longer words are no stop words; no table of a task has more entries.
-LONGEST_STOP, MOST_ENTRIES = 16, 200_000
+LONGEST_STOP, MOST_ENTRIES = 16, 500_000
 
 
 def script_of(word: str) -> int:
@@ -384,36 +384,42 @@ def main_text(page: str | None, stop_words: StopWords | frozenset[str]) -> str:
     return "\n\n".join(b.text for b in blocks if b.label == GOOD)
 
 
-def count_words(page: str, counts: Counter) -> None:
-    """Add the page's words by language and script; under the empty word, all of them."""
-    language = page_language(page)
-    text = entities.unescape(MARKUP.sub(" ", page)).lower()
-    for word, n in Counter(WORDS.findall(text)).items():
-        script = script_of(word)
-        counts[language, script, ""] += n
-        if len(word) <= LONGEST_STOP:
-            counts[language, script, word] += n
+def count_words(page: str, counts: dict[str, Counter]) -> None:
+    """Add the page's words to those of its language."""
+    text = MARKUP.sub(" ", page)
+    if "&" in text:
+        text = entities.unescape(text)
+    counts.setdefault(page_language(page), Counter()).update(WORDS.findall(text.lower()))
+
+
+def word_rows(counts: dict[str, Counter]) -> pa.RecordBatch:
+    """Language, script, word and count; under the empty word, all words of the script."""
+    rows, totals = [], Counter()
+    for language, words in counts.items():
+        for word, n in words.items():
+            script = script_of(word)
+            totals[language, script] += n
+            if len(word) <= LONGEST_STOP:
+                rows.append((language, script, word, n))
+    rows += [(*key, "", n) for key, n in totals.items()]
+    columns = list(zip(*rows)) or [()] * 4
+    kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                      ["lang", "script", "word", "n"])
 
 
 def learn_stop_words(pages: DataFrame, html: str = "html", top: int = TOP) -> StopWords:
     """From the whole texts of all pages. What comes to the driver is `top` words and a total for each
     code of up to three letters and script, however many pages there are."""
-    def rows(counts):
-        keys = list(counts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-             pa.array([k[2] for k in keys], pa.string()),
-             pa.array([counts[k] for k in keys], pa.int64())], ["lang", "script", "word", "n"])
-
     def work(batches):
-        counts = Counter()
+        counts: dict[str, Counter] = {}
         for batch in batches:
             for page in batch.column(0).to_pylist():
                 count_words(page or "", counts)
-                if len(counts) > MOST_ENTRIES:
-                    yield rows(counts)
-                    counts = Counter()
-        yield rows(counts)
+                if sum(map(len, counts.values())) > MOST_ENTRIES:
+                    yield word_rows(counts)
+                    counts = {}
+        yield word_rows(counts)
 
     found = pages.select(F.col(html).alias("_html")).mapInArrow(
         work, "lang string, script int, word string, n bigint")
