@@ -6,15 +6,18 @@
 3. Packing: a source's documents, in a pseudorandom order, form one stream of words that is cut
    into blocks of `block_words`. The position of a document in its stream is a sum over buckets
    plus a sum within its bucket; both have about the square root of the documents.
-4. Drawing: all output slots are put in a pseudorandom order and dealt to shards of
-   `shard_slots`. A shard's counts per source are a multinomial draw given the sources' totals,
-   so that the totals meet the targets and only the shards vary.
+4. Drawing: all output slots are put in a pseudorandom order and dealt to shards of `shard_slots`.
+   That draws each shard's counts per source as independent multinomial draws would give them if
+   only outcomes whose totals meet the targets are kept (the multivariate hypergeometric law), so
+   the totals are exact and only the shards vary.
 5. Slots: the j-th slot of a source takes block p(j) of it, p a keyed pseudorandom permutation of
    the block numbers for each time round; so no block is taken more than `most` times.
-6. Blocks and slots meet by source and block number.
+6. Slots and the documents' parts of blocks are joined by source and block number: `mixed_blocks`
+   says which words of which document stand in each slot of each shard. What a document gives is
+   summed over these, shard by shard.
 
 Permutations are arithmetic (rounds of keyed hashes on a pair of digits, walked until the number is
-below the count), so nothing is sorted, and a source of any size spreads over all tasks.
+below the count), so nothing is sorted, and a source of any size spreads over all tasks. The number of tasks that make slots grows with the slots.
 
 Defined cases: a null text and one without words have size 0 and are taken 0 times; null is a source,
 the last; a source without words has target 0; repeated rows are documents of their own; empty tables
@@ -32,6 +35,8 @@ MOST = 3
 BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
+SLOTS_PER_TASK = 1 << 16
+MOST_TASKS = 20_000
 HALF_ROUNDS = 4
 WALK = 64
 
@@ -109,10 +114,13 @@ def permuted(value: Column, count: Column, *key: Column) -> Column:
 
 def slot_plan(targets: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 0) -> DataFrame:
     """(shard, slot, number, block): which block fills each slot of each output shard."""
+    # With a count of its own, AQE does not fold the few rows that make many slots into one task.
+    slots = targets.agg(F.sum("slots")).head()[0] or 0
+    tasks = min(max(-(-slots // SLOTS_PER_TASK), 1), MOST_TASKS)
     piece = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("slots") - 1) / shard_slots)))
     pieces = (targets.filter("slots > 0")
               .select("number", "blocks", "slots", "offset", "all_slots", piece.alias("piece"))
-              .repartition(F.col("number"), F.col("piece")))
+              .repartition(tasks, F.col("number"), F.col("piece")))
     first = F.col("piece") * shard_slots
     j = F.explode(F.sequence(first, F.least(first + shard_slots, F.col("slots")) - 1))
     slots = pieces.select("number", "blocks", "offset", "all_slots", j.alias("j"))
@@ -143,10 +151,9 @@ def packed(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.join(sums, ["number", "bucket"]).withColumn("start", start).drop("bucket", "base")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
-        block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 0, *,
-        key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, h, size, source_size, target and taken (words the mix takes, with repeats)."""
+def _placed(docs: DataFrame, weights: tuple[int, ...], most: int, block_words: int, key: str,
+            text: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """The documents in their sources' streams and the sources' targets, both written down."""
     spark = docs.sparkSession
     sized = _sized(docs, key, text, source)
     path = shared_dir(spark, "mix-targets")
@@ -156,35 +163,69 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     placed = packed(sized, targets)
     path = shared_dir(spark, "mix-packed")
     placed.write.parquet(path)
-    placed = spark.read.schema(placed.schema).parquet(path)
-    takes = (slot_plan(targets, shard_slots, seed).groupBy("number", "block")
-             .agg(F.count("*").alias("times")))
+    return spark.read.schema(placed.schema).parquet(path), targets
+
+
+def _blocks(placed: DataFrame, targets: DataFrame, block_words: int, shard_slots: int,
+            seed: int) -> DataFrame:
+    """(shard, slot, number, block, start, low, high): the stream's words [low, high) of the document
+    that starts at `start` stand in the slot."""
     first = F.floor(F.col("start") / block_words)
     last = F.floor((F.col("start") + F.col("size") - 1) / block_words)
     parts = placed.filter("size > 0").select(
-        "number", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
+        "number", "start", "size", "doc_id", F.explode(F.sequence(first, last)).alias("block"))
     low = F.greatest(F.col("start"), F.col("block") * block_words)
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
+    slots = slot_plan(targets, shard_slots, seed)
     # Spark does not see that explode makes many rows of few, and must not broadcast them.
-    taken = (parts.hint("merge").join(takes, ["number", "block"]).groupBy("number", "start")
-             .agg(F.sum((high - low) * F.col("times")).alias("taken"))
-             .select(F.col("number").alias("_number"), F.col("start").alias("_start"), "taken"))
+    return parts.withColumn("low", low).withColumn("high", high).drop("size").hint("merge").join(
+        slots, ["number", "block"])
+
+
+def mixed_blocks(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
+                 block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 0, *,
+                 key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mix itself: per shard and slot the documents whose words fill it, with their place in the
+    block (`at`), the document's first word there (from 0) and how many words. A source's last block
+    may be shorter than `block_words`."""
+    placed, targets = _placed(docs, weights, most, block_words, key, text, source)
+    found = _blocks(placed, targets, block_words, shard_slots, seed)
+    return found.select(
+        "shard", "slot", (F.col("low") - F.col("block") * block_words).alias("at"),
+        F.col("doc_id").alias(key), (F.col("low") - F.col("start")).alias("first_word"),
+        (F.col("high") - F.col("low")).alias("words"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
+        block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 0, *,
+        key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """doc_id, h, size, source_size, target, taken (words the mix takes, with repeats) and shards (how
+    many output shards hold words of the document)."""
+    placed, targets = _placed(docs, weights, most, block_words, key, text, source)
+    taken = (_blocks(placed, targets, block_words, shard_slots, seed)
+             .groupBy("number", "start", "shard").agg(F.sum(F.col("high") - F.col("low")).alias("words"))
+             .groupBy("number", "start").agg(F.sum("words").alias("taken"), F.count("*").alias("shards"))
+             .withColumnsRenamed({"number": "_number", "start": "_start"}))
     same = ((placed["number"] == taken["_number"]) & (placed["start"] == taken["_start"])
             & (placed["size"] > 0))
     return placed.hint("merge").join(taken, same, "left").select(
         F.col("doc_id").alias(key), "h", "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+        F.coalesce("shards", F.lit(0)).cast("bigint").alias("shards"))
 
 
 def mix_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that the mix takes words of, with size, source_size, target and taken.
 
-    Columns of docs with these names are replaced. Rows that repeat both id and text each get the
-    largest of their takes.
+    Columns of docs with these names are replaced. Rows that repeat both id and text share what is
+    taken of them evenly, rounded up, so the totals exceed the mix by less than a word a repeated row.
+    Where such rows differ in their source, all get the largest source_size and target of theirs.
     """
-    made = ("size", "source_size", "target", "taken")
+    made = ("size", "source_size", "target")
     found = mix(docs, key=key, text=text, **options).groupBy("h").agg(
-        *(F.max(c).alias(c) for c in made)).withColumnRenamed("h", "_h").filter("taken > 0")
-    rows = docs.drop(*made)
+        *(F.max(c).alias(c) for c in made),
+        F.ceil(F.sum("taken") / F.count("*")).cast("bigint").alias("taken"),
+    ).withColumnRenamed("h", "_h").filter("taken > 0")
+    rows = docs.drop(*made, "taken")
     same = F.xxhash64(rows[key], rows[text]) == found["_h"]
     return rows.join(found.hint("merge"), same).drop(found["_h"])

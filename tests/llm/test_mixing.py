@@ -87,6 +87,35 @@ def test_slots_fill_all_shards_once(spark):
         assert abs(n / 256 - hot.slots / len(plan)) < 0.2
 
 
+def test_blocks_hold_the_words_that_documents_give(spark):
+    table = docs(spark)
+    pieces = mixing.mixed_blocks(table, shard_slots=256).collect()
+    held, shards, filled = defaultdict(int), defaultdict(set), defaultdict(list)
+    sizes = {r.doc_id: len(re.findall(mixing.WORD, r.text or "")) for r in table.collect()}
+    for r in pieces:
+        assert 0 <= r.first_word and r.words > 0 and r.first_word + r.words <= sizes[r.doc_id]
+        held[r.doc_id] += r.words
+        shards[r.doc_id].add(r.shard)
+        filled[r.shard, r.slot].append((r["at"], r.words))
+    # Slots are filled from their start without gaps, and shards but the last have all their slots.
+    for parts in filled.values():
+        parts.sort()
+        assert [a for a, _ in parts] == [sum(w for _, w in parts[:i]) for i in range(len(parts))]
+        assert sum(w for _, w in parts) <= mixing.BLOCK_WORDS
+    assert sorted(s * 256 + i for s, i in filled) == list(range(len(filled)))
+    found = [r for r in mixing.mix(table, shard_slots=256).collect() if r.doc_id != 1500]
+    assert {r.doc_id: r.taken for r in found if r.taken} == {k: n for k, n in held.items() if k != 1500}
+    assert all(r.shards == len(shards[r.doc_id]) for r in found)
+
+
+def test_repeated_rows_share_what_is_taken(spark):
+    rows = [(1, "again and again " * 30, "a", "x")] * 40 + [(2, "once only here", "b", "x")]
+    table = spark.createDataFrame(rows, DOCS)
+    in_all = sum(r.taken for r in mixing.mix(table).collect() if r.doc_id == 1)
+    mixed = [r.taken for r in mixing.mix_documents(table).collect() if r.doc_id == 1]
+    assert len(mixed) == 40 and 0 <= sum(mixed) - in_all < 40
+
+
 def test_mixed_documents(spark):
     mixed = mixing.mix_documents(docs(spark))
     assert mixed.columns == ["doc_id", "text", "source", "size", "source_size", "target", "taken"]
