@@ -5,9 +5,10 @@ a-z and characters from U+0080 on, with one space between them. The automaton ho
 `window` consecutive item words; an item with fewer words, but not none, is one window. A document
 is scanned once; each match is mapped back to words and to character offsets of the original text.
 
-The automaton is broadcast only up to `shard_bytes` of windows. A larger benchmark is dealt into
-shards by the hash of the window; every shard then scans all documents, and what the shards find
-of a document is put together.
+The automaton is broadcast only up to `shard_bytes` of windows and the ids of their items. A larger
+benchmark is dealt into shards by the hash of window and id, so that a window that many items share
+spreads as well; every shard then scans all documents, and what the shards find of a document is put
+together.
 
 Defined cases: a null or empty text has no words, in documents and items; an item without id marks
 words but isn't counted or named; a repeated item counts once; a repeated document keeps a row
@@ -140,14 +141,24 @@ def _joined_hits(hits: Column) -> Column:
     return F.aggregate(F.array_sort(hits), empty, add)
 
 
-def _written_windows(items: DataFrame, window: int, item: str, text: str, shard_bytes: int):
-    """The windows with their items, where they are written, and how many shards they need."""
+def _written_windows(items: DataFrame, window: int, item: str, text: str) -> tuple[str, DataFrame]:
+    """The distinct (item_id, window, words) of all items and where they are written."""
     path = shared_dir(items.sparkSession, "leak-windows")
-    (item_windows(items, window, item, text).groupBy("window", "words")
-     .agg(F.array_sort(F.collect_set("item_id")).alias("ids")).write.parquet(path))
-    windows = items.sparkSession.read.parquet(path)
-    size = windows.agg(F.sum(F.octet_length("window"))).head()[0] or 0
-    return path, windows, -(-size // shard_bytes)
+    found = item_windows(items, window, item, text)
+    found.write.parquet(path)
+    return path, items.sparkSession.read.schema(found.schema).parquet(path)
+
+
+def _shards(windows: DataFrame, shard_bytes: int, *columns: str) -> int:
+    """How many shards hold these columns in `shard_bytes` each."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0).cast("bigint"))
+    return -(-(windows.agg(F.sum(size)).head()[0] or 0) // shard_bytes)
+
+
+def _with_items(windows: DataFrame) -> list[tuple[str, int, list[str]]]:
+    """One shard on the driver: its windows, each with those of its items that lie in the shard."""
+    return [tuple(r) for r in windows.groupBy("window", "words")
+            .agg(F.sort_array(F.collect_set("item_id"))).collect()]
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, *, key: str = "doc_id",
@@ -156,17 +167,18 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, *, key:
     """Per document: key, n_words, n_hit, hits (runs of hit words with character offsets of the
     original text) and item_ids (items with a window in it, sorted)."""
     spark = docs.sparkSession
-    path, windows, shards = _written_windows(items, window, item, item_text, shard_bytes)
+    path, windows = _written_windows(items, window, item, item_text)
+    shards = _shards(windows, shard_bytes, "window", "item_id")
     if shards <= 1:
-        return _find(docs, [tuple(r) for r in windows.collect()], path, key, text)
+        return _find(docs, _with_items(windows), path, key, text)
     keyed = shared_dir(spark, "leak-documents")
     (docs.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"))
                  .alias("_row"), F.col(text).alias("_text")).write.parquet(keyed))
     parts = []
     for shard in range(shards):
-        own = windows.filter(F.pmod(F.xxhash64("window"), F.lit(shards)) == shard)
-        parts.append(_find(spark.read.parquet(keyed), [tuple(r) for r in own.collect()],
-                           f"{path}/{shard}", "_row", "_text"))
+        own = windows.filter(F.pmod(F.xxhash64("window", "item_id"), F.lit(shards)) == shard)
+        parts.append(_find(spark.read.parquet(keyed), _with_items(own), f"{path}/{shard}", "_row",
+                           "_text"))
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
@@ -188,14 +200,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, *, ke
     One pass without a join where the windows fit one automaton. Otherwise a row goes if its
     key and text have a hit, so rows that repeat both go together.
     """
-    path, windows, shards = _written_windows(items, window, item, item_text, shard_bytes)
-    if shards > 1:
+    path, windows = _written_windows(items, window, item, item_text)
+    distinct = windows.select("window", "words").distinct()
+    if _shards(distinct, shard_bytes, "window") > 1:
         row = F.xxhash64(F.col(key), F.col(text))
         keyed = docs.select(row.alias("row"), F.col(text).alias("text"))
         dirty = find_leaks(keyed, items, window, key="row", item=item, item_text=item_text,
                            shard_bytes=shard_bytes).filter("n_hit > 0").select("row").distinct()
         return docs.join(dirty, F.xxhash64(docs[key], docs[text]) == dirty["row"], "left_anti")
-    found = [tuple(r) for r in windows.collect()]
+    found = [(r.window, r.words, []) for r in distinct.collect()]
     shared = docs.sparkSession.sparkContext.broadcast(found)
 
     def work(slices):

@@ -69,3 +69,12 @@ def test_clean_documents_stay(spark, shard_bytes):
     kept = leaks.decontaminate(docs, items, 4, shard_bytes=shard_bytes)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5, 5, 7, 8]
+
+
+def test_a_window_that_many_items_share(spark):
+    items = [(i, "one two three four") for i in range(500)]
+    docs = spark.createDataFrame(DOCS, "doc_id bigint, text string")
+    found = leaks.find_leaks(docs, spark.createDataFrame(items, "item_id bigint, text string"), 4,
+                             shard_bytes=3000).collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in found), key=str)
+    assert got == plain(DOCS, items, 4)
