@@ -11,15 +11,12 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
+from jobloom.llm.written import written
 from jobloom.session import shared_dir
 
-EDGES = "u bigint, v bigint"
-
 
 def _written(df: DataFrame, folder: str) -> DataFrame:
-    path = f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(EDGES).parquet(path)
+    return written(df, f"{folder}/{uuid.uuid4().hex}")
 
 
 def _smallest(sides: DataFrame, folder: str) -> DataFrame:

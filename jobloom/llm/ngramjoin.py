@@ -46,12 +46,14 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom.llm.batches import (
     LOWER, Texts, Words, map_texts, mix, run_hashes, texts_of, word_hashes,
 )
 from jobloom.llm.components import components
+from jobloom.llm.written import written
 from jobloom.session import shared_dir
 
 WORDS = 4
@@ -342,8 +344,7 @@ class Join:
             own.select("class", "size", "outline").join(held, "class", "left_semi"), "outlines")
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.folder}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+        return written(df, f"{self.folder}/{name}")
 
     def _buckets(self, own: DataFrame) -> DataFrame:
         """(gram, class, size, place, first) of prefix n-grams that several classes hold."""
@@ -564,21 +565,37 @@ def keep_one(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, *, key: st
     return docs.join(gone, docs[key] == gone["_gone"], "left_anti")
 
 
+def _with_row_id(docs: DataFrame, name: str, folder: str) -> DataFrame:
+    """docs with an id of each row: what its file and place hash to, if docs are the rows of Parquet files,
+    else a number that is written down with the rows."""
+    relation = docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation"
+    if relation and docs.inputFiles():
+        try:
+            return docs.withColumn(name, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+        except AnalysisException:  # files of another format
+            pass
+    return written(docs.withColumn(name, F.monotonically_increasing_id()), f"{folder}/rows")
+
+
 def keep_one_row(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, *, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
     """One row of each component, with all columns; each row is taken by its own text, also those
     that repeat a row, share an id or have none. The smallest id stays (none counts as the largest),
-    then the smallest hash of the text. Empty texts are linked with nothing and stay."""
+    then the smallest hash of the text. Empty texts are linked with nothing and stay.
+
+    The rows of Parquet files are read again where they are needed, others are written down first."""
     folder = shared_dir(docs.sparkSession, "keep-one-row")
-    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(f"{folder}/rows")
-    rows = docs.sparkSession.read.parquet(f"{folder}/rows")
-    found = similar_components(rows, n, percent, key="_row", text=text).filter("n_shingles > 0")
-    found = found.select(F.col("doc_id").alias("_row"), "component_id")
-    names = rows.select("_row", F.struct(
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = _with_row_id(docs, row, folder)
+    found = similar_components(rows, n, percent, key=row, text=text).filter("n_shingles > 0")
+    found = found.select(F.col("doc_id").alias("row"), "component_id")
+    names = rows.select(F.col(row).alias("row"), F.struct(
         F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.xxhash64(text).alias("hash"),
-        F.col("_row").alias("row")).alias("name"))
-    found.join(names, "_row").write.parquet(f"{folder}/found")
-    found = docs.sparkSession.read.parquet(f"{folder}/found")
+        F.col(row).alias("row")).alias("name"))
+    found = written(found.join(names, "row"), f"{folder}/found")
     stay = found.groupBy("component_id").agg(F.min("name").alias("name"))
-    gone = found.select("_row").join(stay.select(F.col("name.row").alias("_row")), "_row", "left_anti")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    gone = found.select("row").join(stay.select(F.col("name.row").alias("row")), "row", "left_anti")
+    gone = written(gone.withColumnRenamed("row", "_gone"), f"{folder}/gone")
+    return rows.join(gone, rows[row] == gone["_gone"], "left_anti").select(*docs.columns)

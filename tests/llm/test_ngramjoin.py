@@ -172,3 +172,25 @@ def test_few_pairs_of_a_large_group_are_compared(spark, monkeypatch):
     found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str)
     assert found == plain(rows, 4, 85)
     assert sum(compared[2:]) < 7000, compared
+
+
+def test_rows_of_files_are_not_written_again(spark, tmp_path):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base, "a"), (1, base, "a"), (None, base + " more", "b"), (3, "other words " * 9, "c"),
+            (4, None, None), (5, "", "e"), (None, "x y", "f")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, _row string")
+    expected = sorted(map(str, [rows[0], *rows[3:]]))
+    table.repartition(3).write.parquet(f"{tmp_path}/rows")
+    for docs in (table, spark.read.parquet(f"{tmp_path}/rows")):
+        kept = ngramjoin.keep_one_row(docs, n=5, percent=80)
+        assert kept.columns == docs.columns
+        assert sorted(str(tuple(r)) for r in kept.collect()) == expected
+    assert all(str(tmp_path) in f or "gone" in f for f in kept.inputFiles())
+
+
+def test_settings_of_the_session_stay(spark, tmp_path):
+    from jobloom.llm.written import RELEASE, written
+
+    before = spark.conf.get(RELEASE, None)
+    assert written(spark.range(5).repartition(2), f"{tmp_path}/t").count() == 5
+    assert spark.conf.get(RELEASE, None) == before
