@@ -10,7 +10,9 @@ from jobloom.operators.route import COMPLETE
 from jobloom.sources.files import FILE_COLUMN, bare_path
 
 
-# Up to this many jobs with large outputs are broadcast (an id and a number each).
+# A job of more files than fill this many parts is spread over tasks, each part by itself.
+SPREAD_PARTS = 8
+# Up to this many spread jobs are broadcast (an id and two numbers each).
 BROADCAST_JOBS = 200_000
 SALTS = 256
 # A job table is laid out by this hash of the id; the number belongs to the layout.
@@ -19,50 +21,65 @@ ID_PART, ID_PARTS = "id_part", 256
 NOT_COMPLETE_TEXT = "No complete event found for job "
 
 
-def _with_parts(files: DataFrame, large: DataFrame) -> DataFrame:
-    """Add the number of parts to the files of large jobs. Never exchanges on the bare id, as
-    one job may own a large share of the files."""
-    if large.count() <= BROADCAST_JOBS:
+def _with_parts(files: DataFrame, large: DataFrame, salts: int) -> DataFrame:
+    """Add the number of parts to the files of spread jobs. Never exchanges on the bare id, as
+    one job may own a large share of the files. Broadcast unless there are salts."""
+    if not salts:
         return files.join(F.broadcast(large), "id", "left")
-    salt = F.pmod(F.xxhash64("file"), F.lit(SALTS)).cast("int")
-    salted = large.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return files.withColumn("_salt", salt).join(salted, ["id", "_salt"], "left").drop("_salt")
+    salt = F.pmod(F.xxhash64("file"), F.lit(salts)).cast("int")
+    salted = large.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Repeated rows are small in an exchange, so that Spark would take them to fit a broadcast.
+    return files.withColumn("_salt", salt).join(
+        salted.hint("merge"), ["id", "_salt"], "left").drop("_salt")
 
 
 def build_jobs(headers: DataFrame, files: DataFrame, part_size: int = 10_000) -> DataFrame:
     """Job documents from header rows (one per `id`) and file rows (id, file, crc64nvme).
 
     The files of a job are nested in parts of about `part_size`, so that a job that owns a
-    large share of all files is never one group. Part 0 always exists. Counts the large jobs
-    when called.
+    large share of all files is never one group. Part 0 always exists. Files are exchanged once,
+    by job, and cut into parts where they meet; a job beyond SPREAD_PARTS parts is exchanged by
+    part. Counts these jobs when called.
     """
-    files = files.select("id", "file", "crc64nvme")
-    counts = output_counts(files)
+    # A file without a job meets no header; all of them would be one group.
+    files = files.select("id", "file", "crc64nvme").filter("id is not null")
+    body = [F.col(f"`{c}`") for c in headers.columns if c != "id"]
     parts = F.ceil(F.col("output_file_count") / part_size).cast("int")
-    large = counts.filter(F.col("output_file_count") > part_size).select(
-        "id", parts.alias("_parts")
-    )
-    part = F.when(F.col("_parts").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64("file", "crc64nvme"), "_parts")
-    )
+    large = output_counts(files).filter(
+        F.col("output_file_count") > part_size * SPREAD_PARTS
+    ).select("id", F.col("output_file_count").alias("_total"), parts.alias("_parts"))
+    keys, total, first = ["id"], F.lit(None).cast("bigint"), F.lit(0)
+    if n_large := large.count():
+        # So few salts that the salted jobs are fewer than the files.
+        salts = min(SALTS, part_size) if n_large > BROADCAST_JOBS else 0
+        part = F.coalesce(F.pmod(F.xxhash64("file", "crc64nvme"), "_parts").cast("int"), F.lit(0))
+        files = _with_parts(files, large, salts).withColumn("_part", part)
+        spread = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+        headers = headers.join(large if salts else F.broadcast(large), "id", "left").withColumn(
+            "_part", spread)
+        keys, total, first = ["id", "_part"], F.col("_total"), F.col("_part")
     nested = (
-        _with_parts(files, large)
-        .withColumn("outputs_part", part.cast("int"))
+        files
         # Collecting does not shrink the rows, so it is not worth doing before the exchange.
-        .repartition("id", "outputs_part")
-        .groupBy("id", "outputs_part")
-        .agg(F.sort_array(F.collect_list(F.struct("file", "crc64nvme"))).alias("outputs"))
+        .repartition(*keys)
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(F.struct("file", "crc64nvme"))).alias("_files"))
     )
-    last_part = F.greatest(F.coalesce(parts, F.lit(1)), F.lit(1)) - 1
-    none = F.array().cast("array<struct<file:string,crc64nvme:string>>")
+    own = F.coalesce("_files", F.array().cast("array<struct<file:string,crc64nvme:string>>"))
+
+    def of_part(p: Column) -> Column:
+        return F.filter(own, lambda f: F.pmod(F.xxhash64(f["file"], f["crc64nvme"]), parts) == p)
+
+    # A spread job comes in its parts already.
+    cut = F.when(total.isNull() & (F.col("output_file_count") > part_size),
+                 F.transform(F.sequence(F.lit(0), parts - 1), of_part)).otherwise(F.array(own))
     return (
-        headers.join(counts, "id", "left")
-        .withColumn("outputs_part", F.explode(F.sequence(F.lit(0), last_part)))
-        .join(nested, ["id", "outputs_part"], "left")
-        .withColumns({
-            "output_file_count": F.coalesce("output_file_count", F.lit(0)),
-            "outputs": F.coalesce("outputs", none),
-        })
+        headers.join(nested, keys, "left")
+        .withColumn("output_file_count", F.coalesce(total, F.size(own).cast("bigint")))
+        .select("id", *body, "output_file_count", first.alias("_first"),
+                F.posexplode(cut).alias("_at", "outputs"))
+        .select("id", (F.col("_first") + F.col("_at")).alias("outputs_part"), *body,
+                "output_file_count", "outputs")
     )
 
 

@@ -23,11 +23,17 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def build_jobs(spark: SparkSession, sf: str) -> DataFrame:
     """Documents, summed up again over their parts."""
-    return _documents(spark, sf).groupBy("id", "user", "output_file_count").agg(
-        F.sum(F.size("outputs")).alias("n_outputs"),
-        F.min(F.array_min("outputs")["file"]).alias("first_file"),
-        F.max(F.array_max("outputs")["file"]).alias("last_file"),
-        F.max(F.size("transition_times")).alias("n_transitions"),
+    # Of a part, only what is summed up is sorted by job.
+    parts = _documents(spark, sf).select(
+        "id", "user", "output_file_count", F.size("outputs").alias("n"),
+        F.array_min("outputs")["file"].alias("first"), F.array_max("outputs")["file"].alias("last"),
+        F.size("transition_times").alias("steps"),
+    )
+    return parts.groupBy("id", "user", "output_file_count").agg(
+        F.sum("n").alias("n_outputs"),
+        F.min("first").alias("first_file"),
+        F.max("last").alias("last_file"),
+        F.max("steps").alias("n_transitions"),
     )
 
 

@@ -36,6 +36,58 @@ def test_hot_job_is_nested_in_parts_and_nothing_is_lost(spark, monkeypatch, limi
     assert j.job_headers(jobs).count() == 3
 
 
+def plain_plan(df):
+    """The physical plan with no join broadcast for its size."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.autoBroadcastJoinThreshold")
+    conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def some_jobs(spark, sizes):
+    rows = [(f"j{i}", f"b/{i}/{k}", f"{k:012d}") for i, n in enumerate(sizes) for k in range(n)]
+    files = spark.createDataFrame(rows, "id string, file string, crc64nvme string")
+    return rows, headers(spark, [f"j{i}" for i in range(len(sizes))]), files
+
+
+def test_many_jobs_of_several_parts_are_exchanged_once(spark, monkeypatch):
+    """However many jobs have more than one part: headers and files meet by job, no row is repeated."""
+    monkeypatch.setattr(j, "BROADCAST_JOBS", 0)
+    rows, heads, files = some_jobs(spark, [6] * 100)
+    plan = plain_plan(j.build_jobs(heads, files, part_size=4))
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Generate") == 1
+    jobs = j.build_jobs(heads, files, part_size=4).select("id", "outputs_part", "outputs").collect()
+    assert sorted((x.id, x.outputs_part) for x in jobs) == sorted(
+        (f"j{i}", p) for i in range(100) for p in (0, 1))
+    assert sorted((x.id, *o) for x in jobs for o in x.outputs) == sorted(rows)
+
+
+@pytest.mark.parametrize("limit", [j.BROADCAST_JOBS, 0])
+@pytest.mark.parametrize("spread", [1, 8])
+def test_parts_do_not_depend_on_how_jobs_are_spread(spark, monkeypatch, limit, spread):
+    """A file's part is its hash's; parts that no file falls into are there. Files without a job and
+    headers that repeat change nothing."""
+    monkeypatch.setattr(j, "BROADCAST_JOBS", limit)
+    monkeypatch.setattr(j, "SPREAD_PARTS", spread)
+    sizes = [0, 1, 4, 5, 8, 9, 33, 200]
+    rows, heads, files = some_jobs(spark, sizes)
+    lost = spark.createDataFrame([(None, "b", "c"), ("none", "b", "c")] * 20, files.schema)
+    jobs = j.build_jobs(heads.union(heads.filter("id = 'j7'")), files.union(lost), part_size=4)
+    n_parts = {f"j{i}": max(1, -(-n // 4)) for i, n in enumerate(sizes)}
+    hashed = files.select("*", F.xxhash64("file", "crc64nvme").alias("h")).collect()
+    want = {(i, p): [] for i, n in n_parts.items() for p in range(n)}
+    for x in hashed:
+        want[x.id, x.h % n_parts[x.id]].append((x.file, x.crc64nvme))
+    got = [((x.id, x.outputs_part), x.output_file_count, [tuple(o) for o in x.outputs])
+           for x in jobs.collect()]
+    twice = [k for k in want if k[0] == "j7"]
+    assert sorted(got) == sorted(
+        (k, sizes[int(k[0][1:])], sorted(want[k])) for k in [*want, *twice])
+
+
 def test_completion_is_the_last_one(spark):
     df = spark.createDataFrame([
         ([("created", "t0", "a", True), ("complete", "t1", "b", True),
