@@ -88,6 +88,30 @@ def test_parts_do_not_depend_on_how_jobs_are_spread(spark, monkeypatch, limit, s
         (k, sizes[int(k[0][1:])], sorted(want[k])) for k in [*want, *twice])
 
 
+def test_exploded_outputs_move_each_file_once(spark, monkeypatch):
+    monkeypatch.setattr(j, "BROADCAST_JOBS", 0)
+    rows, heads, files = some_jobs(spark, [6] * 100)
+    out = j.explode_outputs(j.build_jobs(heads, files, part_size=4))
+    plan = plain_plan(out)
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Generate") == 2
+    assert sorted(map(tuple, out.collect())) == sorted(rows)
+
+
+def test_salted_jobs_are_fewer_than_the_files(spark, monkeypatch):
+    """Nor are they broadcast, however small Spark takes them to be."""
+    seen, with_parts = [], j._with_parts
+    monkeypatch.setattr(j, "BROADCAST_JOBS", 0)
+    monkeypatch.setattr(j, "_with_parts", lambda files, large, salts: seen.append(
+        large.count() * salts) or with_parts(files, large, salts))
+    rows, heads, files = some_jobs(spark, [40] * 20)
+    out = j.explode_outputs(j.build_jobs(heads, files, part_size=4))
+    assert seen == [80] and len(rows) == 800
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    salted = [x for x in plan.splitlines() if "Join" in x and "_salt" in x]
+    assert salted and all("SortMergeJoin" in x for x in salted)
+    assert sorted(map(tuple, out.collect())) == sorted(rows)
+
+
 def test_completion_is_the_last_one(spark):
     df = spark.createDataFrame([
         ([("created", "t0", "a", True), ("complete", "t1", "b", True),
